@@ -172,8 +172,8 @@ def check_suite(spark, sf_dir):
 @query(
     SUITE_SQL
     + """
-    select count(*) as executed, count_if(status = 'pass') as passed,
-           count_if(status = 'fail') as failed
+    select count(*) as executed, count(*) filter (where status = 'pass') as passed,
+           count(*) filter (where status = 'fail') as failed
     from results
     """
 )
@@ -213,9 +213,9 @@ EVENT_CONTRACT = declare(
     + FAULTY_EVENTS_SQL
     + """,
     counts as (
-        select count(*) as n, count_if(event_type is null) as no_type,
-               count_if(value is null) as no_value,
-               count_if(props is not null and try_cast(props as bigint) is null) as lost
+        select count(*) as n, count(*) filter (where event_type is null) as no_type,
+               count(*) filter (where value is null) as no_value,
+               count(*) filter (where props is not null and try_cast(props as bigint) is null) as lost
         from faulty
     )
     select 'user_id' as "column", 'moved' as problem, '1' as expected, '2' as actual, n as n_rows

@@ -230,7 +230,7 @@ def export_job_status(spark, sf_dir):
         from lineitem group by 1, 2
     ),
     gate as (
-        select sum(n_rows) as n_input, count_if(sound) as n_accepted from spread
+        select sum(n_rows) as n_input, count(*) filter (where sound) as n_accepted from spread
     )
     select 'run' as section, 'pipeline_run_id' as item, 'run-2' as value
     union all select 'run', 'dataset_id', 'LINES'
@@ -242,8 +242,8 @@ def export_job_status(spark, sf_dir):
     union all select 'gate', 'quarantined_rows', cast(n_input - n_accepted as varchar) from gate
     union all select 'artifact', 'json', sha256(html) from pages
     union all select 'checks', 'executed', cast(count(*) as varchar) from results
-    union all select 'checks', 'passed', cast(count_if(status = 'pass') as varchar) from results
-    union all select 'checks', 'failed', cast(count_if(status = 'fail') as varchar) from results
+    union all select 'checks', 'passed', cast(count(*) filter (where status = 'pass') as varchar) from results
+    union all select 'checks', 'failed', cast(count(*) filter (where status = 'fail') as varchar) from results
     """
 )
 def evidence_long(spark, sf_dir):

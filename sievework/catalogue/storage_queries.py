@@ -157,8 +157,8 @@ def sink_roundtrip_quarantined(spark, sf_dir):
     LINES_SQL
     + """
     select 'run-2' as pipeline_run_id, 'LINES' as dataset_id, '1998' as edition, 3 as version,
-           count(*) as input_rows, count_if(quality_rule is null) as accepted_rows,
-           count_if(quality_rule is not null) as quarantined_rows
+           count(*) as input_rows, count(*) filter (where quality_rule is null) as accepted_rows,
+           count(*) filter (where quality_rule is not null) as quarantined_rows
     from gated
     """
 )

@@ -163,8 +163,8 @@ def layer_reconcile(spark, sf_dir):
     LINES_SQL
     + """
     select (select count(*) from lines) as input_rows,
-           count_if(quality_rule is null) as accepted_rows,
-           count_if(quality_rule is not null) as quarantined_rows,
+           count(*) filter (where quality_rule is null) as accepted_rows,
+           count(*) filter (where quality_rule is not null) as quarantined_rows,
            true as balanced
     from gated
     """

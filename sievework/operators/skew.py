@@ -43,6 +43,7 @@ def heavy_keys(
             F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"),
             F.count(F.lit(1)).alias("n"),
         )
+        .groupBy(F.lit(1))  # no row at all, rather than an error, for an empty input
         .agg(
             F.expr(
                 f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {limit})"
@@ -54,7 +55,7 @@ def heavy_keys(
     found = merged.select(
         F.transform(F.filter("top", lambda item: item["count"] >= floor), lambda i: i["item"])
     ).first()
-    return sorted(found[0] or [])
+    return sorted(found[0]) if found else []
 
 
 def is_heavy(key: Sequence[str], heavy: Sequence[int]) -> Column:

@@ -19,6 +19,14 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+}
 
 
 def plain(value):
@@ -49,6 +57,10 @@ def differences(spark, connection, sf_dir: str, name: str) -> str | None:
     columns = [d[0] for d in result.description]
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(columns)}"
+    types = dict(zip(columns, (str(d[1]) for d in result.description)))
+    mine_types = {f.name: TYPES.get(f.dataType.simpleString()) for f in frame.schema.fields}
+    if types != mine_types:
+        return f"types {mine_types} != {types}"
     theirs = rows(columns, result.fetchall())
     if mine != theirs:
         return f"only Spark {list((mine - theirs).items())[:3]}, only SQL {list((theirs - mine).items())[:3]}"
@@ -69,7 +81,8 @@ def main() -> int:
         except Exception as error:  # a failing query must not hide the others
             problem = f"{type(error).__name__}: {str(error)[:700]}"
         bad += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s", problem or "")
+        verdict = "ok  " if problem is None else "FAIL"
+        print(f"{verdict} {name} {time.time() - start:.2f}s", problem or "", flush=True)
     print(f"{len(names) - bad} of {len(names)} agree")
     return bad
 
