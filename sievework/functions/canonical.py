@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# One JSON token per match: a \uXXXX escape, another escape, or a single character.
-_TOKENS = r"(?s)\\u[0-9A-Fa-f]{4}|\\.|."
+# One piece per match: a \uXXXX escape, another escape, a run of plain ASCII, or another character.
+_PIECES = r"(?s)\\u[0-9A-Fa-f]{4}|\\.|[\x20-\x7E&&[^\\]]+|."
 
 
 def _unicode_escape(code: Column) -> Column:
     return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
 
 
-def _ascii_token(token: Column) -> Column:
-    """Token with everything beyond ASCII written as lower-case ``\\uXXXX`` (UTF-16 pairs)."""
-    code = F.ascii(token)
+def _ascii_piece(piece: Column) -> Column:
+    """Piece with everything beyond ASCII written as lower-case ``\\uXXXX`` (UTF-16 pairs)."""
+    code = F.ascii(piece)
     offset = code - 0x10000
     high = F.shiftright(offset, 10) + 0xD800
     low = offset.bitwiseAND(0x3FF) + 0xDC00
     return (
-        F.when(token.startswith("\\u"), F.lower(token))
-        .when(code < 0x7F, token)
+        F.when(piece.startswith("\\u"), F.lower(piece))
+        .when(code < 0x7F, piece)
         .when(code < 0x10000, _unicode_escape(code))
         .otherwise(F.concat(_unicode_escape(high), _unicode_escape(low)))
     )
@@ -33,12 +33,8 @@ def canonical_json(document: Column) -> Column:
     Variant keeps objects key-sorted and keeps explicit nulls, so no schema is needed.
     """
     compact = F.to_json(F.try_parse_json(document))
-    # only texts with such characters pay for the token-wise rewrite
-    needs_escape = compact.rlike(r"[^\x00-\x7E]|\\u")
-    escaped = F.array_join(
-        F.transform(F.regexp_extract_all(compact, F.lit(_TOKENS), F.lit(0)), _ascii_token), ""
-    )
-    return F.when(needs_escape, escaped).otherwise(compact)
+    pieces = F.regexp_extract_all(compact, F.lit(_PIECES), F.lit(0))
+    return F.array_join(F.transform(pieces, _ascii_piece), "")
 
 
 def canonical_hash(document: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sievework.operators.gate import accepted_rows, quarantined_rows
 from sievework.operators.provenance import RunMetadata
@@ -64,7 +65,8 @@ def write_gate_result(
         .partitionBy(staged_outcome)
         .parquet(stage_path)
     )
-    staged = read_layer(spark, stage_path, gated.schema.add(staged_outcome, "string"))
+    staged_schema = StructType([*gated.schema.fields]).add(staged_outcome, "string")
+    staged = read_layer(spark, stage_path, staged_schema)
     passed = staged.filter(F.col(staged_outcome) == ACCEPTED).drop(staged_outcome)
     failed = staged.filter(F.col(staged_outcome) != ACCEPTED).drop(staged_outcome)
     accepted = accepted_rows(passed)
