@@ -10,8 +10,9 @@ from sievework.catalogue.gate_queries import gated_lines
 from sievework.catalogue.registry import line_quantities, query, table
 from sievework.functions.canonical import canonical_hash
 from sievework.functions.status import job_status, parse_status
+from sievework.operators.checks import gate_counts
+from sievework.operators.definitions import definition_violations
 from sievework.operators.evidence import collect_evidence
-from sievework.operators.gate import accepted_rows, quarantined_rows
 from sievework.operators.ledger import (
     LandingRun,
     build_manifest,
@@ -81,6 +82,35 @@ def json_canonical_text_hash(spark, sf_dir):
     )
 
 
+@query(
+    """
+    with problems as (
+        select 'F' as status, 'no_unknown_field' as rule
+        union all select 'F', 'edition_is_text'
+        union all select 'P', 'version_is_positive'
+        union all select 'P', 'dimensions_are_objects'
+    )
+    select o_orderkey, rule from orders join problems on status = o_orderstatus
+    union all
+    select o_orderkey, 'population_type_is_text' from orders where o_orderpriority = '5-LOW'
+    """
+)
+def definition_constraints(spark, sf_dir):
+    """One definition per order; finished and pending ones break two rules each."""
+    status = F.col("o_orderstatus")
+    content = F.concat(
+        F.lit('{"dataset":{"id":"TS","version":'),
+        F.when(status == "P", "0").otherwise("2"),
+        F.when(status == "F", "").otherwise(',"edition":"2021"'),
+        F.lit("}"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(',"population_type":"UR"'),
+        F.when(status == "F", ',"extra":1').otherwise(""),
+        F.when(status == "P", ',"dimensions":[1]}').otherwise(',"dimensions":[{"name":"sex"}]}'),
+    )
+    docs = table(spark, sf_dir, "orders").select("o_orderkey", content.alias("content"))
+    return definition_violations(docs, "o_orderkey", "content")
+
+
 RUN = LandingRun(
     run_id="run-1",
     created_at="2026-01-01 00:00:00",
@@ -247,9 +277,7 @@ def export_job_status(spark, sf_dir):
     """
 )
 def evidence_long(spark, sf_dir):
-    gated = gated_lines(spark, sf_dir)
     run = RunMetadata("LINES", "1998", 3, "a" * 64, "run-2")
-    summary = run_summary(
-        line_quantities(spark, sf_dir), accepted_rows(gated), quarantined_rows(gated), run
-    )
+    counts = gate_counts(line_quantities(spark, sf_dir), gated_lines(spark, sf_dir))
+    summary = run_summary(counts, run)
     return collect_evidence(summary, page_manifest(spark, sf_dir), suite_results(spark, sf_dir))

@@ -15,7 +15,7 @@ from sievework.catalogue.registry import (
     query,
     table,
 )
-from sievework.operators.gate import accepted_rows, quarantined_rows
+from sievework.operators.checks import gate_counts
 from sievework.operators.model import build_dimension
 from sievework.operators.provenance import RunMetadata, with_provenance
 from sievework.operators.rules import classify, count_by_outcome, standard_rules
@@ -163,12 +163,9 @@ def sink_roundtrip_quarantined(spark, sf_dir):
     """
 )
 def summary_roundtrip(spark, sf_dir):
-    gated = gated_lines(spark, sf_dir)
     path = fresh_folder(spark, "summary")
-    summary = run_summary(
-        line_quantities(spark, sf_dir), accepted_rows(gated), quarantined_rows(gated), RUN
-    )
-    write_json(summary, path)
+    counts = gate_counts(line_quantities(spark, sf_dir), gated_lines(spark, sf_dir))
+    write_json(run_summary(counts, RUN), path)
     return read_json_objects(spark, path, SUMMARY_SCHEMA)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from sievework.catalogue.gate_queries import gated_lines
 from sievework.catalogue.registry import LINES_SQL, line_quantities, query, table
-from sievework.operators.checks import gate_balance, layer_mismatch, total_mismatches
-from sievework.operators.gate import accepted_rows, quarantined_rows
+from sievework.operators.checks import gate_balance, gate_counts, layer_mismatch, total_mismatches
+from sievework.operators.gate import accepted_rows
 from sievework.operators.model import (
     build_dimension,
     build_fact,
@@ -170,10 +170,8 @@ def layer_reconcile(spark, sf_dir):
     """
 )
 def input_equals_accepted_plus_quarantined(spark, sf_dir):
-    gated = gated_lines(spark, sf_dir)
-    return gate_balance(
-        line_quantities(spark, sf_dir), accepted_rows(gated), quarantined_rows(gated)
-    )
+    counts = gate_counts(line_quantities(spark, sf_dir), gated_lines(spark, sf_dir))
+    return gate_balance(counts)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.operators.model import layer_counts
+from sievework.operators.rules import OUTCOME
 
 # Which result statuses count as healthy and which as broken.
 PASSED_STATUSES = ("success", "pass")
@@ -65,17 +66,27 @@ def layer_mismatch(counts: DataFrame) -> DataFrame:
     ).filter(F.col("minimum_count") != F.col("maximum_count"))
 
 
-def gate_balance(source: DataFrame, accepted: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """One row: input, accepted and quarantined rows and whether they balance."""
-    sizes = layer_counts({"input": source, "accepted": accepted, "quarantined": quarantined})
-    pick = {
-        f"{name}_rows": F.coalesce(
-            F.sum(F.when(F.col("layer") == name, F.col("row_count"))), F.lit(0)
-        )
+def gate_counts(source: DataFrame, gated: DataFrame) -> DataFrame:
+    """``(layer, row_count)`` of the input and both parts of a gate result, from one gate run."""
+    parts = gated.agg(
+        F.count_if(F.col(OUTCOME).isNull()).alias("accepted"),
+        F.count_if(F.col(OUTCOME).isNotNull()).alias("quarantined"),
+    ).unpivot([], ["accepted", "quarantined"], "layer", "row_count")
+    return layer_counts({"input": source}).unionAll(parts)
+
+
+def gate_balance(counts: DataFrame) -> DataFrame:
+    """One row: input, accepted and quarantined rows and whether they balance.
+
+    ``counts`` comes from :func:`gate_counts`, or from :func:`layer_counts` over saved layers.
+    """
+    rows = {
+        name: F.coalesce(F.sum(F.when(F.col("layer") == name, F.col("row_count"))), F.lit(0))
         for name in ("input", "accepted", "quarantined")
     }
     balanced = F.col("input_rows") == F.col("accepted_rows") + F.col("quarantined_rows")
-    return sizes.agg(*[c.alias(n) for n, c in pick.items()]).withColumn("balanced", balanced)
+    sums = counts.agg(*[total.alias(f"{name}_rows") for name, total in rows.items()])
+    return sums.withColumn("balanced", balanced)
 
 
 def total_mismatches(

@@ -20,7 +20,7 @@ from sievework.operators.model import (
 )
 from sievework.operators.provenance import RunMetadata, with_provenance
 from sievework.sinks.parquet import save_layer, write_gate_result
-from sievework.sinks.reports import run_summary
+from sievework.sinks.reports import run_summary, write_json
 
 
 @dataclass(frozen=True)
@@ -104,12 +104,16 @@ def build_layers(
         f"{out}/quarantined",
         stage_path,
     )
+    spark = source.sparkSession
     lazy = model_layers(accepted, spec)
     dimensions = {
         name: save_layer(lazy[f"dim_{name}"], f"{out}/dim_{name}") for name in spec.dimensions
     }
     fact = save_layer(lazy["fact"], f"{out}/fact")
     mart = save_layer(mart_of(fact, dimensions[spec.mart_dimension], spec), f"{out}/mart")
+    counts = layer_counts({"input": source, "accepted": accepted, "quarantined": quarantined})
+    summary = run_summary(counts, run)
+    write_json(summary, f"{out}/summary")
     return Layers(
         accepted=accepted,
         quarantined=quarantined,
@@ -117,7 +121,7 @@ def build_layers(
         dimensions=dimensions,
         fact=fact,
         mart=mart,
-        summary=run_summary(source, accepted, quarantined, run),
+        summary=spark.read.schema(summary.schema).json(f"{out}/summary"),
         audit=layer_counts({"raw": accepted, "staging": lazy["staging"], "fact": fact}),
     )
 

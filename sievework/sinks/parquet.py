@@ -52,8 +52,8 @@ def write_gate_result(
     """Save accepted rows by edition and version, quarantined rows also by rule; read both back.
 
     The gate runs once: its result is staged in a table partitioned by outcome (by default in the
-    shared folder), and both layers are narrow copies of their part of it. The staged table may be
-    dropped afterwards.
+    shared folder), and both layers are narrow copies of their part of it. The staged table is
+    emptied once both are written.
     """
     spark: SparkSession = gated.sparkSession
     stage_path = stage_path or fresh_folder(spark, "gate")
@@ -74,14 +74,16 @@ def write_gate_result(
     quarantined = quarantined_rows(failed).hint("rebalance", F.col(OUTCOME))
     replace_version(accepted, curated_path, run.edition, run.version)
     replace_version(quarantined, quarantine_path, run.edition, run.version, [OUTCOME])
+    spark.createDataFrame([], gated.schema).write.mode("overwrite").parquet(stage_path)
     return (
-        _saved(spark, curated_path, accepted, run),
-        _saved(spark, quarantine_path, quarantined, run),
+        _saved(spark, curated_path, accepted.schema, run),
+        _saved(spark, quarantine_path, quarantined.schema, run),
     )
 
 
-def _saved(spark: SparkSession, path: str, written: DataFrame, run: RunMetadata) -> DataFrame:
-    saved = read_layer(spark, path, written.schema).select(*written.columns)
+def _saved(spark: SparkSession, path: str, schema: StructType, run: RunMetadata) -> DataFrame:
+    # partition columns come back last; select restores the declared order
+    saved = read_layer(spark, path, schema).select(*schema.names)
     return saved.filter((F.col("edition") == run.edition) & (F.col("version") == run.version))
 
 

@@ -14,16 +14,14 @@ SUMMARY_SCHEMA = (
 )
 
 
-def run_summary(
-    source: DataFrame, accepted: DataFrame, quarantined: DataFrame, run: RunMetadata
-) -> DataFrame:
-    """One row: run identity and the three counts.
-
-    Counts come from the source and from the saved layers, not from metrics of the writing job,
-    which count a task twice when it runs again after a lost executor. Over Parquet they need the
-    footers only.
+def run_summary(counts: DataFrame, run: RunMetadata) -> DataFrame:
+    """One row: run identity and the three counts of :func:`gate_balance`.
+
+    Counts are best taken from the source and the saved layers, not from metrics of the writing
+    job, which may count a task twice when it runs again after a lost executor. Over Parquet they
+    need the footers only.
     """
-    return gate_balance(source, accepted, quarantined).select(
+    return gate_balance(counts).select(
         F.lit(run.pipeline_run_id).alias("pipeline_run_id"),
         F.lit(run.dataset_id).alias("dataset_id"),
         F.lit(run.edition).alias("edition"),

@@ -12,6 +12,7 @@ from sievework.operators.checks import (
     Related,
     Unique,
     gate_balance,
+    gate_counts,
     layer_mismatch,
     negative_rows,
     null_counts,
@@ -106,8 +107,12 @@ def test_layers_and_balance(spark):
     assert rows(layer_counts({"a": three, "b": two})) == {("a", 3), ("b", 2)}
     assert rows(layer_mismatch(layer_counts({"a": three, "b": two}))) == {(2, 3)}
     assert rows(layer_mismatch(layer_counts({"a": three, "b": three}))) == set()
-    assert rows(gate_balance(spark.range(5), three, two)) == {(5, 3, 2, True)}
-    assert rows(gate_balance(spark.range(6), three, two)) == {(6, 3, 2, False)}
+    saved = {"accepted": three, "quarantined": two}
+    assert rows(gate_balance(layer_counts({"input": spark.range(5), **saved}))) == {(5, 3, 2, True)}
+    assert rows(gate_balance(layer_counts({"input": spark.range(6), **saved}))) == {(6, 3, 2, False)}
+    gated = spark.createDataFrame([(None,), (None,), ("x",)], "quality_rule string")
+    assert rows(gate_balance(gate_counts(three, gated))) == {(3, 2, 1, True)}
+    assert rows(gate_balance(gate_counts(three, gated.limit(0)))) == {(3, 0, 0, False)}
 
 
 def test_total_mismatches_see_changed_unexpected_and_missing_keys(spark):

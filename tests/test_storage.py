@@ -10,9 +10,11 @@ from conftest import FAULT_ROWS, SAMPLE_ROWS, SAMPLE_TOTALS, csv_text, metadata_
 from sievework import session as session_module
 from sievework.errors import SchemaContractError
 from sievework.operators.ledger import with_object_key
+from sievework.operators.model import layer_counts
 from sievework.operators.provenance import PROVENANCE, RunMetadata
 from sievework.operators.rules import OUTCOME
 from sievework.plans import census
+from sievework.plans.landing import land_artifacts, read_definition
 from sievework.plans.warehouse import gate_and_stamp
 from sievework.schemas import declare
 from sievework.session import fresh_folder, shared_folder
@@ -121,10 +123,11 @@ def test_gate_result_round_trip(spark, tmp_path):
     assert accepted.columns == [*census.SOURCE_COLUMNS, *PROVENANCE]
     assert rows(accepted) == rows(gated.filter("quality_rule is null").drop(OUTCOME))
     assert rows(quarantined.select(gated.columns)) == rows(gated.filter("quality_rule is not null"))
+    assert spark.read.parquet(str(tmp_path / "stage")).count() == 0
     assert (tmp_path / "a/edition=2021/version=1").is_dir()
     assert (tmp_path / "q/edition=2021/version=1/quality_rule=exact_duplicate").is_dir()
-    summary = run_summary(source, accepted, quarantined, run())
-    write_json(summary, str(tmp_path / "summary"))
+    counts = layer_counts({"input": source, "accepted": accepted, "quarantined": quarantined})
+    write_json(run_summary(counts, run()), str(tmp_path / "summary"))
     saved = read_json_objects(spark, str(tmp_path / "summary"), SUMMARY_SCHEMA)
     assert tuple(saved.first()) == ("run-1", "TS009", "2021", 1, 15, 9, 6)
 
@@ -285,3 +288,75 @@ def test_object_key_binds_identity_and_bytes(spark):
     frame = spark.createDataFrame([("csv", "d" * 64)], "kind string, sha256 string")
     keyed = with_object_key(frame, F.lit("TS009"), F.lit("2021"), F.lit(1), F.lit("f" * 64))
     assert keyed.first()["object_key"].endswith(f"/csv/{'d' * 64}")
+
+
+DEFINITION = {
+    "dataset": {"id": "TS009", "edition": "2021", "version": 1},
+    "population_type": "UR",
+    "dimensions": [{"name": "ltla", "is_area_type": True, "options": ["E1", "E2"]}, {"name": "sex"}],
+}
+
+
+def land(spark, tmp_path, run_id="run-1"):
+    specs = [
+        ("x.csv", "csv", "https://example.org/x.csv", "text/csv", None),
+        ("x.csvw", "csvw", "https://example.org/x.csvw", "application/csvm+json", None),
+    ]
+    artifacts = spark.createDataFrame(
+        specs, "name string, kind string, source_url string, content_type string, etag string"
+    )
+    return land_artifacts(
+        spark,
+        artifacts,
+        str(tmp_path / "files"),
+        str(tmp_path / "definition.json"),
+        str(tmp_path / "ledger"),
+        str(tmp_path / "manifest"),
+        run_id,
+        "filter-1",
+        "output-1",
+        "2026-01-01 00:00:00",
+    )
+
+
+def test_landing_is_repeatable(spark, tmp_path):
+    write(tmp_path / "definition.json", json.dumps(DEFINITION, indent=2))
+    write(tmp_path / "files" / "x.csv", "example")
+    write(tmp_path / "files" / "x.csvw", "{}")
+    first = {r["kind"]: r.asDict() for r in land(spark, tmp_path).collect()}
+    reordered = {k: DEFINITION[k] for k in ("dimensions", "population_type", "dataset")}
+    write(tmp_path / "definition.json", json.dumps(reordered))
+    again = {r["kind"]: r.asDict() for r in land(spark, tmp_path).collect()}
+    assert first == again and set(first) == {"csv", "csvw"}
+    canonical = json.dumps(DEFINITION, sort_keys=True, separators=(",", ":"))
+    assert first["csv"]["filter_hash"] == hashlib.sha256(canonical.encode()).hexdigest()
+    digest = hashlib.sha256(b"example").hexdigest()
+    assert first["csv"]["object_key"] == (
+        f"landing/ons/TS009/edition=2021/version=1/filter={first['csv']['filter_hash']}/csv/{digest}"
+    )
+    assert first["csv"]["size_bytes"] == 7
+    assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
+
+
+@pytest.mark.parametrize(
+    ("change", "rule"),
+    [
+        ({"extra": 1}, "no_unknown_field"),
+        ({"dataset": {"id": "T", "edition": "2021", "version": 1, "title": "x"}}, "no_unknown_dataset_field"),
+        ({"dataset": {"id": "T", "edition": "2021", "version": 0}}, "version_is_positive"),
+        ({"dataset": {"id": "T", "version": 1}}, "edition_is_text"),
+        ({"dataset": {"id": 7, "edition": "2021", "version": 1}}, "dataset_id_is_text"),
+        ({"population_type": None}, "population_type_is_text"),
+        ({"dimensions": [{"name": "sex"}, None]}, "dimensions_are_objects"),
+        ({"dimensions": "sex"}, "dimensions_are_objects"),
+    ],
+)
+def test_definition_rules(spark, tmp_path, change, rule):
+    path = write(tmp_path / "definition.json", json.dumps({**DEFINITION, **change}))
+    with pytest.raises(SchemaContractError, match=rule):
+        read_definition(spark, path)
+
+
+def test_definition_with_no_dimensions_is_sound(spark, tmp_path):
+    path = write(tmp_path / "definition.json", json.dumps({**DEFINITION, "dimensions": []}))
+    assert read_definition(spark, path)["source_version"] == 1
