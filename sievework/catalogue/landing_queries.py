@@ -246,9 +246,10 @@ def export_job_status(spark, sf_dir):
             F.struct(csv.alias("csv"), csvw.alias("csvw")).alias("downloads"),
         )
     )
-    return table(spark, sf_dir, "events").select(
-        "event_id", job_status(parse_status(document)).alias("status")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", parse_status(document).alias("document")
     )
+    return events.select("event_id", job_status(F.col("document")).alias("status"))
 
 
 @query(

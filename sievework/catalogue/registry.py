@@ -71,8 +71,9 @@ LINES_SQL = """
 
 def faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with faults where the payload number says so: blank or NULL types, no or negative value."""
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    number = F.get_json_object("props", "$.k").cast("int")
+    events = table(spark, sf_dir, "events").withColumn("k", number)
+    k = F.col("k")
     return events.select(
         "event_id",
         "ts",

@@ -95,10 +95,13 @@ def metadata_drift(
     ``datatype`` where the measure is not one of ``datatypes``. Row-local, hence no shuffle; a text
     that is no such document has no columns at all.
     """
-    columns = F.coalesce(
+    parsed = F.coalesce(
         F.from_json(F.col(content), METADATA_SCHEMA)["tableSchema"]["columns"],
         F.array().cast("array<struct<name:string,datatype:string,required:boolean>>"),
     )
+    # a column of its own, so that each document is parsed once and not once per position
+    docs = docs.select(doc_id, parsed.alias("_columns"))
+    columns = F.col("_columns")
     expected = F.array(*[F.lit(n) for n in names])
     slots = F.sequence(F.lit(0), F.greatest(F.size(expected), F.size(columns)) - 1)
 

@@ -25,7 +25,9 @@ def _only(document: Column, allowed: tuple[str, ...]) -> Column:
 def definition_violations(docs: DataFrame, doc_id: str, content: str) -> DataFrame:
     """``(doc_id, rule)`` for every rule a definition breaks; row-local."""
     text = F.col(content)
-    parsed = F.try_parse_json(text)
+    # a column of its own, so that each document is parsed once and not once per rule
+    docs = docs.withColumn("_parsed", F.try_parse_json(text))
+    parsed = F.col("_parsed")
     dimensions = F.try_variant_get(parsed, "$.dimensions", "array<variant>")
     version = F.try_variant_get(parsed, "$.dataset.version", "bigint")
     return constraint_violations(

@@ -72,7 +72,7 @@ def quality_gate(
     tagged = classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
     valid = F.col(OUTCOME).isNull()
     if heavy is None:
-        heavy = heavy_keys(tagged.filter(valid), spec.key, heavy_share, heavy_rows)
+        heavy = heavy_keys(tagged, spec.key, heavy_share, heavy_rows, among=valid)
     if not heavy:
         return _settle_by_window(tagged, spec, df.columns)
     large = valid & is_heavy(spec.key, heavy)

@@ -28,19 +28,23 @@ def heavy_keys(
     key: Sequence[str],
     share: float = HEAVY_SHARE,
     min_rows: int = HEAVY_ROWS,
+    among: Column | None = None,
 ) -> list[int]:
     """Routing hashes of the keys that hold at least ``share`` and ``min_rows`` of the rows.
 
+    ``among`` restricts the rows that count.
+
     One job over the key columns with a frequent-items sketch per task: only sketches are
     shuffled, never rows. The list only chooses between two exact ways to treat a key, so a
     missed or extra key (or a hash collision) costs time and never changes a result.
     """
-    # An input of fewer rows has no such key. This reads partitions until there are enough rows,
-    # so it is quick for a large input as well.
+    # An input of fewer rows has no such key. This reads no column, and partitions only until
+    # there are enough rows, so it is quick for a large input as well.
     if df.select(F.lit(1)).offset(min_rows - 1).isEmpty():
         return []
     limit = int(1 / share)
-    hashed = df.select(key_hash(key).alias("h"))
+    rows = df if among is None else df.filter(among)
+    hashed = rows.select(key_hash(key).alias("h"))
     merged = (
         hashed.groupBy((F.spark_partition_id() % _MERGE_LANES).alias("lane"))
         .agg(

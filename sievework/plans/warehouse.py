@@ -19,7 +19,7 @@ from sievework.operators.model import (
     layer_counts,
 )
 from sievework.operators.provenance import RunMetadata, with_provenance
-from sievework.sinks.parquet import save_layer, write_gate_result
+from sievework.sinks.parquet import save_gated, save_layer
 from sievework.sinks.reports import run_summary, write_json
 
 
@@ -94,16 +94,10 @@ def build_layers(
     run: RunMetadata,
     out: str,
     heavy: Sequence[int] | None = None,
-    stage_path: str | None = None,
 ) -> Layers:
     """Run everything below ``out``. Each layer is built from the saved one before it."""
-    accepted, quarantined = write_gate_result(
-        gate_and_stamp(source, spec, run, heavy),
-        run,
-        f"{out}/accepted",
-        f"{out}/quarantined",
-        stage_path,
-    )
+    gated = gate_and_stamp(source, spec, run, heavy)
+    accepted, quarantined = save_gated(gated, f"{out}/gated", run)
     spark = source.sparkSession
     lazy = model_layers(accepted, spec)
     dimensions = {

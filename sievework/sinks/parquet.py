@@ -42,6 +42,17 @@ def replace_version(
     )
 
 
+def save_gated(gated: DataFrame, path: str, run: RunMetadata) -> tuple[DataFrame, DataFrame]:
+    """Save a gate result once, partitioned by edition, version and rule; (accepted, quarantined).
+
+    Accepted rows are the partition without a rule, so each part is read without the other and
+    nothing is written twice.
+    """
+    replace_version(gated, path, run.edition, run.version, [OUTCOME])
+    saved = _saved(gated.sparkSession, path, gated.schema, run)
+    return accepted_rows(saved), quarantined_rows(saved)
+
+
 def write_gate_result(
     gated: DataFrame,
     run: RunMetadata,
@@ -49,9 +60,10 @@ def write_gate_result(
     quarantine_path: str,
     stage_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Save accepted rows by edition and version, quarantined rows also by rule; read both back.
+    """Save accepted rows by edition and version, quarantined rows also by rule, in two places.
 
-    The gate runs once: its result is staged in a table partitioned by outcome (by default in the
+    For readers that need separate folders; :func:`save_gated` spares the extra copy. Returns both
+    parts as read back. The gate runs once: its result is staged in a table partitioned by outcome (by default in the
     shared folder), and both layers are narrow copies of their part of it. The staged table is
     emptied once both are written.
     """

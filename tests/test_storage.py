@@ -19,7 +19,7 @@ from sievework.plans.warehouse import gate_and_stamp
 from sievework.schemas import declare
 from sievework.session import fresh_folder, shared_folder
 from sievework.sinks.jdbc import write_jdbc
-from sievework.sinks.parquet import replace_version, version_path, write_gate_result
+from sievework.sinks.parquet import replace_version, save_gated, version_path, write_gate_result
 from sievework.sinks.reports import SUMMARY_SCHEMA, run_summary, write_json
 from sievework.sinks.tables import materialize
 from sievework.sources.artifacts import scan_artifacts, source_checksum
@@ -132,6 +132,22 @@ def test_gate_result_round_trip(spark, tmp_path):
     assert tuple(saved.first()) == ("run-1", "TS009", "2021", 1, 15, 9, 6)
 
 
+def test_gated_rows_are_saved_once_and_read_by_part(spark, tmp_path):
+    source = spark.createDataFrame(SAMPLE_ROWS + FAULT_ROWS, census.source_schema())
+    gated = gate_and_stamp(source, census.MODEL, run())
+    for _ in range(2):
+        accepted, quarantined = save_gated(gated, str(tmp_path / "g"), run())
+        assert accepted.columns == [*census.SOURCE_COLUMNS, *PROVENANCE]
+        assert rows(accepted) == rows(gated.filter("quality_rule is null").drop(OUTCOME))
+        assert rows(quarantined) == rows(gated.filter("quality_rule is not null"))
+    plan = accepted._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]  # Spark shortens the list
+    assert "edition" in filters and "version" in filters and "isnull(qual" in filters
+    later = gate_and_stamp(source.limit(0), census.MODEL, run(version=2))
+    accepted, quarantined = save_gated(later, str(tmp_path / "g"), run(version=2))
+    assert (accepted.count(), quarantined.count()) == (0, 0)
+
+
 def test_empty_quarantine_can_be_read(spark, tmp_path):
     source = spark.createDataFrame(SAMPLE_ROWS, census.source_schema())
     accepted, quarantined = write_gate_result(
@@ -227,7 +243,7 @@ def test_census_extract_end_to_end(spark, tmp_path, sample_csv):
     # a rerun replaces, and another version is added next to it
     again = census.run_extract(spark, sample_csv, metadata, out, "run-2", version=2)
     assert again.accepted.count() == 8
-    both = read_layer(spark, f"{out}/accepted", layers.accepted.schema)
+    both = read_layer(spark, f"{out}/gated", layers.quarantined.schema)
     assert {tuple(r) for r in both.groupBy("version").count().collect()} == {(1, 8), (2, 8)}
 
 
