@@ -23,7 +23,7 @@ def _preferred(frame: DataFrame, section: str, items: list[tuple]) -> DataFrame:
 
     An aggregate has a row even over an empty frame, so absent evidence needs no special case.
     """
-    maxima = frame.agg(*[F.max(F.col(c).cast("string")).alias(c) for c in {i[1] for i in items}])
+    maxima = frame.agg(*[F.max(F.col(c).cast("string")).alias(c) for c in dict.fromkeys(i[1] for i in items)])
     rows = F.array(
         *[
             F.struct(

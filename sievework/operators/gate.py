@@ -67,7 +67,8 @@ def quality_gate(
     """All rows of ``df``, cleaned, with their outcome in ``quality_rule``.
 
     Invalid rows take no part in conflict or duplicate detection. ``heavy`` may pass a known result
-    of :func:`heavy_keys` (``[]`` when no key is large); by default one job finds it.
+    of :func:`heavy_keys` (``[]`` when no key is large); by default one job finds it. With heavy
+    keys the input is read more than once, so save a costly or random input before.
     """
     tagged = classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
     valid = F.col(OUTCOME).isNull()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from sievework.operators.checks import (
     layer_mismatch,
     negative_rows,
     run_checks,
+    source_freshness,
     total_mismatches,
 )
 from sievework.operators.contracts import metadata_drift
@@ -27,6 +29,7 @@ from sievework.operators.provenance import PROVENANCE, RunMetadata
 from sievework.operators.rules import OUTCOME
 from sievework.plans.warehouse import Layers, ModelSpec, build_layers, gate_and_stamp, model_results
 from sievework.schemas import declare
+from sievework.sinks.jdbc import write_jdbc
 from sievework.sources.artifacts import source_checksum
 from sievework.sources.delimited import read_delimited
 from sievework.sources.documents import read_documents
@@ -159,16 +162,34 @@ def transform(frame: DataFrame, run: RunMetadata) -> tuple[DataFrame, DataFrame]
 
 
 def run_extract(
-    spark: SparkSession, csv_path: str, metadata_path: str, out: str, run_id: str, **run: object
+    spark: SparkSession,
+    csv_path: str,
+    metadata_path: str,
+    out: str,
+    run_id: str,
+    jdbc: Mapping[str, object] | None = None,
+    **run: object,
 ) -> Layers:
-    """Check the metadata, gate the extract, save all layers below ``out``."""
+    """Check the metadata, gate the extract, save all layers below ``out``.
+
+    ``run`` overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`)
+    also refills a database table with the accepted rows.
+    """
     validate_metadata(spark, metadata_path)
     identity = RunMetadata(
         **{**DATASET, **run},
         source_checksum=source_checksum(spark, csv_path),
         pipeline_run_id=run_id,
     )
-    return build_layers(read_source(spark, csv_path), MODEL, identity, out)
+    layers = build_layers(read_source(spark, csv_path), MODEL, identity, out)
+    if jdbc:
+        write_jdbc(layers.accepted, mode="overwrite", **jdbc)
+    return layers
+
+
+def freshness(layers: Layers, now: datetime | str) -> DataFrame:
+    """Age of the loaded rows against the declared limits."""
+    return source_freshness(layers.accepted, "loaded_at", now, **FRESHNESS_DAYS)
 
 
 def table_checks(expected_totals: Mapping[str, int] | None = None) -> list[Check]:

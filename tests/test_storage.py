@@ -9,6 +9,7 @@ from conftest import FAULT_ROWS, SAMPLE_ROWS, SAMPLE_TOTALS, csv_text, metadata_
 
 from sievework import session as session_module
 from sievework.errors import SchemaContractError
+from sievework.operators.evidence import collect_evidence
 from sievework.operators.ledger import with_object_key
 from sievework.operators.model import layer_counts
 from sievework.operators.provenance import PROVENANCE, RunMetadata
@@ -254,6 +255,39 @@ def test_census_extract_end_to_end(spark, tmp_path, sample_csv):
     assert {tuple(r) for r in both.groupBy("version").count().collect()} == {(1, 8), (2, 8)}
 
 
+def test_evidence_of_a_whole_run(spark, tmp_path):
+    """Landing, gate, layers, checks and evidence of the same extract."""
+    write(tmp_path / "definition.json", json.dumps(DEFINITION))
+    csv = write(tmp_path / "files" / "x.csv", csv_text(census.RAW_HEADERS, SAMPLE_ROWS))
+    metadata = write(tmp_path / "files" / "x.csvw", json.dumps(metadata_document()))
+    manifest = land(spark, tmp_path)
+    layers = census.run_extract(spark, csv, metadata, str(tmp_path / "out"), "run-9")
+    evidence = collect_evidence(layers.summary, manifest, census.run_suite(layers, SAMPLE_TOTALS))
+    found = {(r["section"], r["item"]): r["value"] for r in evidence.collect()}
+    digests = {r["kind"]: r["sha256"] for r in manifest.collect()}
+    assert digests["csv"] == layers.accepted.first()["source_checksum"]
+    assert found == {
+        ("run", "pipeline_run_id"): "run-9",
+        ("run", "dataset_id"): "TS009",
+        ("run", "edition"): "2021",
+        ("run", "version"): "1",
+        ("run", "filter_hash"): manifest.first()["filter_hash"],
+        ("gate", "input_rows"): "8",
+        ("gate", "accepted_rows"): "8",
+        ("gate", "quarantined_rows"): "0",
+        ("artifact", "csv"): digests["csv"],
+        ("artifact", "csvw"): digests["csvw"],
+        ("checks", "executed"): "63",
+        ("checks", "passed"): "63",
+        ("checks", "failed"): "0",
+    }
+    statuses = [
+        census.freshness(layers, now).first()["status"]
+        for now in ("2030-01-01 00:00:00", "2036-01-01 00:00:00", "2046-01-01 00:00:00")
+    ]
+    assert statuses == ["pass", "warn", "error"]
+
+
 def test_census_suite_reports_what_is_wrong(spark, tmp_path, sample_csv):
     metadata = write(tmp_path / "extract.csvw", json.dumps(metadata_document()))
     layers = census.run_extract(spark, sample_csv, metadata, str(tmp_path / "out"), "run-1")
