@@ -107,9 +107,9 @@ def _settle_by_summary(rows: DataFrame, spec: GateSpec, columns: Sequence[str])
     conflict: Column = F.lit(False)
     if spec.measure:
         conflict = F.min(spec.measure) != F.max(spec.measure)
-    # One row per heavy key, combined map-side.
+    # One row per heavy key, combined map-side. A conflict needs no first row.
     summary = rows.groupBy(*[F.col(c).alias(f"_k_{c}") for c in spec.key]).agg(
-        conflict.alias("_conflict"), F.min(ranking).alias("_first")
+        conflict.alias("_conflict"), F.when(~conflict, F.min(ranking)).alias("_first")
     )
     same_key = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in spec.key))
     known = rows.join(F.broadcast(summary), same_key).withColumn(

@@ -119,7 +119,8 @@ def append_to_ledger(
 ) -> None:
     """Append new keys to the Parquet ledger at ``path``; refuse the batch if any key conflicts.
 
-    Repeating a batch adds nothing, because its keys are then known.
+    Repeating a batch adds nothing, because its keys are then known. ``incoming`` is read twice and
+    should be saved if it is costly.
     """
     classified = classify_artifacts(incoming, ledger, key)
     example = conflicting_artifacts(classified).select(key).first()

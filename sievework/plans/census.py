@@ -30,6 +30,7 @@ from sievework.operators.rules import OUTCOME
 from sievework.plans.warehouse import Layers, ModelSpec, build_layers, gate_and_stamp, model_results
 from sievework.schemas import declare
 from sievework.sinks.jdbc import write_jdbc
+from sievework.sinks.parquet import save_layer
 from sievework.sources.artifacts import source_checksum
 from sievework.sources.delimited import read_delimited
 from sievework.sources.documents import read_documents
@@ -172,7 +173,7 @@ def run_extract(
 ) -> Layers:
     """Check the metadata, gate the extract, save all layers below ``out``.
 
-    ``run`` overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`)
+    The text is parsed once, into a saved columnar copy that all later passes read. ``run`` overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`)
     also refills a database table with the accepted rows.
     """
     validate_metadata(spark, metadata_path)
@@ -181,7 +182,8 @@ def run_extract(
         source_checksum=source_checksum(spark, csv_path),
         pipeline_run_id=run_id,
     )
-    layers = build_layers(read_source(spark, csv_path), MODEL, identity, out)
+    source = save_layer(read_source(spark, csv_path), f"{out}/source")
+    layers = build_layers(source, MODEL, identity, out)
     if jdbc:
         write_jdbc(layers.accepted, mode="overwrite", **jdbc)
     return layers

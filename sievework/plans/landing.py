@@ -14,6 +14,8 @@ from sievework.operators.ledger import (
     with_object_key,
 )
 from sievework.schemas import declare
+from sievework.session import fresh_folder
+from sievework.sinks.parquet import save_layer
 from sievework.sinks.reports import write_json
 from sievework.sources.artifacts import scan_artifacts
 from sievework.sources.documents import read_documents
@@ -60,7 +62,9 @@ def land_artifacts(
     identity = read_definition(spark, definition_path)
     run = LandingRun(run_id, created_at, filter_id, filter_output_id, **identity)
     name = F.regexp_extract("path", r"[^/]+$", 0)
-    found = scan_artifacts(spark, files).withColumn("name", name).drop("path")
+    scanned = scan_artifacts(spark, files).withColumn("name", name).drop("path")
+    # saved, so that the files are read once for all the steps below
+    found = save_layer(scanned, fresh_folder(spark, "fingerprints"))
     described = with_object_key(
         artifacts.join(found, "name"),
         F.lit(run.source_id),
