@@ -215,7 +215,8 @@ EVENT_CONTRACT = declare(
     counts as (
         select count(*) as n, count(*) filter (where event_type is null) as no_type,
                count(*) filter (where value is null) as no_value,
-               count(*) filter (where props is not null and try_cast(props as bigint) is null) as lost
+               count(*) filter (where props is not null and try_cast(props as bigint) is null)
+                   as lost
         from faulty
     )
     select 'user_id' as "column", 'moved' as problem, '1' as expected, '2' as actual, n as n_rows

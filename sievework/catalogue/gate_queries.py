@@ -224,7 +224,8 @@ def rename_projection(spark, sf_dir):
 
 @query(
     """
-    select doc_id, trim('  ' || lang || ' ') as lang, trim(' ' || source || chr(9) || ' ') as source,
+    select doc_id, trim('  ' || lang || ' ') as lang,
+           trim(' ' || source || chr(9) || ' ') as source,
            sha256(trim(text)) as text_sha, length(trim(text)) as text_length
     from documents
     """

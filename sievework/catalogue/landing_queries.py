@@ -77,9 +77,8 @@ def json_canonical_text_hash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         F.concat_ws(" ", "lang", "source", "text").alias("text"), F.col("doc_id").alias("id")
     )
-    return docs.select(
-        F.col("id").alias("doc_id"), canonical_hash(F.to_json(F.struct("text", "id"))).alias("text_hash")
-    )
+    document = F.to_json(F.struct("text", "id"))
+    return docs.select(F.col("id").alias("doc_id"), canonical_hash(document).alias("text_hash"))
 
 
 @query(
@@ -165,7 +164,8 @@ def artifact_manifest(spark, sf_dir):
 @query()
 def binary_artifact_scan(spark, sf_dir):
     """The files of two tables as binary artifacts (their bytes are not visible to SQL)."""
-    files = scan_artifacts(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in ("pages", "orders")])
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("pages", "orders")]
+    files = scan_artifacts(spark, paths)
     return files.withColumn("path", F.regexp_extract("path", r"[^/]+$", 0))
 
 
@@ -273,8 +273,10 @@ def export_job_status(spark, sf_dir):
     union all select 'gate', 'quarantined_rows', cast(n_input - n_accepted as varchar) from gate
     union all select 'artifact', 'json', sha256(html) from pages
     union all select 'checks', 'executed', cast(count(*) as varchar) from results
-    union all select 'checks', 'passed', cast(count(*) filter (where status = 'pass') as varchar) from results
-    union all select 'checks', 'failed', cast(count(*) filter (where status = 'fail') as varchar) from results
+    union all
+    select 'checks', 'passed', cast(count(*) filter (where status = 'pass') as varchar) from results
+    union all
+    select 'checks', 'failed', cast(count(*) filter (where status = 'fail') as varchar) from results
     """
 )
 def evidence_long(spark, sf_dir):

@@ -70,7 +70,7 @@ LINES_SQL = """
 
 
 def faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with faults where the payload number says so: blank or NULL types, no or negative value."""
+    """events with blank or no type, no or negative value, where the payload number says so."""
     number = F.get_json_object("props", "$.k").cast("int")
     events = table(spark, sf_dir, "events").withColumn("k", number)
     k = F.col("k")

@@ -60,7 +60,7 @@ def csv_typed_scan(spark, sf_dir):
     """
 )
 def csv_malformed_measure(spark, sf_dir):
-    """Clicks carry a fraction where the contract says integer: the value becomes NULL, not an error."""
+    """Clicks carry a fraction where an integer is declared: NULL, not an error."""
     path = fresh_folder(spark, "events-csv")
     whole = F.col("value").cast("long").cast("string")
     faulty_events(spark, sf_dir).select(

@@ -146,7 +146,8 @@ def layer_row_counts(spark, sf_dir):
 @query(
     LINES_SQL
     + """
-    select least(n_lines, n_accepted) as minimum_count, greatest(n_lines, n_accepted) as maximum_count
+    select least(n_lines, n_accepted) as minimum_count,
+           greatest(n_lines, n_accepted) as maximum_count
     from (select (select count(*) from lines) as n_lines,
                  (select count(*) from accepted) as n_accepted)
     where n_lines <> n_accepted

@@ -18,6 +18,10 @@ def _kind(document: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
 
 
+def _is_object(document: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+
+
 def _only(document: Column, allowed: tuple[str, ...]) -> Column:
     return F.size(unknown_fields(document, allowed)) == 0
 
@@ -38,11 +42,10 @@ def definition_violations(docs: DataFrame, doc_id: str, content: str) -> DataFra
             "no_unknown_dataset_field": _only(F.get_json_object(text, "$.dataset"), DATASET_FIELDS),
             "dataset_id_is_text": _kind(parsed, "$.dataset.id") == "STRING",
             "edition_is_text": _kind(parsed, "$.dataset.edition") == "STRING",
-            "version_is_positive": (_kind(parsed, "$.dataset.version") == "BIGINT") & (version >= 1),
+            "version_is_positive": (_kind(parsed, "$.dataset.version") == "BIGINT")
+            & (version >= 1),
             "population_type_is_text": _kind(parsed, "$.population_type") == "STRING",
-            "dimensions_are_objects": F.forall(
-                dimensions, lambda d: F.coalesce(F.schema_of_variant(d).startswith("OBJECT"), F.lit(False))
-            ),
+            "dimensions_are_objects": F.forall(dimensions, _is_object),
         },
     )
 

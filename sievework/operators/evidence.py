@@ -23,7 +23,8 @@ def _preferred(frame: DataFrame, section: str, items: list[tuple]) -> DataFrame:
 
     An aggregate has a row even over an empty frame, so absent evidence needs no special case.
     """
-    maxima = frame.agg(*[F.max(F.col(c).cast("string")).alias(c) for c in dict.fromkeys(i[1] for i in items)])
+    columns = dict.fromkeys(column for _, column, _ in items)
+    maxima = frame.agg(*[F.max(F.col(c).cast("string")).alias(c) for c in columns])
     rows = F.array(
         *[
             F.struct(
@@ -66,7 +67,8 @@ def collect_evidence(summary: DataFrame, manifest: DataFrame, results: DataFrame
         ]
     )
     candidates = candidates.unionByName(summary.agg(F.count(F.lit(1))).select(F.inline(fallback)))
-    chosen = candidates.groupBy("section", "item").agg(F.min_by("value", "preference").alias("value"))
+    best = F.min_by("value", "preference").alias("value")
+    chosen = candidates.groupBy("section", "item").agg(best)
     artifacts = manifest.select(
         F.lit("artifact").alias("section"),
         F.coalesce(F.col("kind"), F.lit("unknown")).alias("item"),

@@ -129,7 +129,8 @@ def raw_source_schema() -> StructType:
 
 def read_source(spark: SparkSession, path: str) -> DataFrame:
     """Typed scan of the extract, header checked, renamed to internal names."""
-    return rename_columns(read_delimited(spark, path, raw_source_schema()), RAW_HEADERS, SOURCE_COLUMNS)
+    raw = read_delimited(spark, path, raw_source_schema())
+    return rename_columns(raw, RAW_HEADERS, SOURCE_COLUMNS)
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -173,8 +174,9 @@ def run_extract(
 ) -> Layers:
     """Check the metadata, gate the extract, save all layers below ``out``.
 
-    The text is parsed once, into a saved columnar copy that all later passes read. ``run`` overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`)
-    also refills a database table with the accepted rows.
+    The text is parsed once, into a saved columnar copy that all later passes read. ``run``
+    overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`) also
+    refills a database table with the accepted rows.
     """
     validate_metadata(spark, metadata_path)
     identity = RunMetadata(

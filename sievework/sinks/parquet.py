@@ -63,9 +63,9 @@ def write_gate_result(
     """Save accepted rows by edition and version, quarantined rows also by rule, in two places.
 
     For readers that need separate folders; :func:`save_gated` spares the extra copy. Returns both
-    parts as read back. The gate runs once: its result is staged in a table partitioned by outcome (by default in the
-    shared folder), and both layers are narrow copies of their part of it. The staged table is
-    emptied once both are written.
+    parts as read back. The gate runs once: its result is staged in a table partitioned by outcome
+    (by default in the shared folder), and both layers are narrow copies of their part of it. The
+    staged table is emptied once both are written.
     """
     spark: SparkSession = gated.sparkSession
     stage_path = stage_path or fresh_folder(spark, "gate")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from sievework.operators.ledger import with_fingerprint
 
 
-def scan_artifacts(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+def scan_artifacts(
+    spark: SparkSession, path: str | list[str], glob: str | None = None
+) -> DataFrame:
     """``path, sha256, size_bytes`` of every file below ``path``.
 
     One row per file and hashed where it is read; Spark limits one file to 2 GiB here.
