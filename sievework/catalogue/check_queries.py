@@ -193,7 +193,8 @@ def check_suite_summary(spark, sf_dir):
            case when age_days > 60 then 'error' when age_days > 20 then 'warn' else 'pass' end
                as status
     from ages
-    """
+    """,
+    name="source_freshness",
 )
 def source_age(spark, sf_dir):
     result = source_freshness(
@@ -327,7 +328,8 @@ def row_constraints(spark, sf_dir):
     select event_id,
            case when event_type in ('view', 'click') then 'z' else event_type || ',z' end as fields
     from events
-    """
+    """,
+    name="unknown_fields",
 )
 def rejected_fields(spark, sf_dir):
     """Payloads with one field named after the event type and one that no type declares."""

@@ -167,7 +167,10 @@ def gate_heavy_keys(spark, sf_dir):
     )
 
 
-@query(LINES_SQL + "select l_orderkey, l_linenumber from spread where n_values > 1")
+@query(
+    LINES_SQL + "select l_orderkey, l_linenumber from spread where n_values > 1",
+    name="conflicting_keys",
+)
 def conflicting_line_keys(spark, sf_dir):
     return conflicting_keys(line_quantities(spark, sf_dir), LINE_KEY, "quantity")
 
@@ -308,7 +311,9 @@ _ORDER_HASH_SQL = """
 """
 
 
-@query(f"select o_orderkey, {_ORDER_HASH_SQL} as record_hash from orders")
+@query(
+    f"select o_orderkey, {_ORDER_HASH_SQL} as record_hash from orders", name="row_fingerprint"
+)
 def row_fingerprints(spark, sf_dir):
     orders = _order_texts(spark, sf_dir)
     return orders.select("o_orderkey", row_fingerprint(orders.columns).alias("record_hash"))

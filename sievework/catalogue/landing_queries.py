@@ -230,7 +230,8 @@ def ledger_conflicts(spark, sf_dir):
            case when k < 70 and event_type <> 'view' and k <> 20 then 'ready'
                 when event_type = 'error' then 'error' else 'pending' end as status
     from (select *, cast(json_extract_string(props, '$.k') as integer) as k from events)
-    """
+    """,
+    name="job_status",
 )
 def export_job_status(spark, sf_dir):
     """One status document per event, with missing links, skipped downloads and error events."""

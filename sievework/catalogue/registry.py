@@ -13,13 +13,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its name, with the equivalent SQL if there is one."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or a given name, with the equivalent SQL if there is one."""
 
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = sql.strip()
+            ORACLES[key] = sql.strip()
         return function
 
     return register

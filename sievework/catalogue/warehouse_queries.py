@@ -54,6 +54,16 @@ def dim_customer(spark, sf_dir):
     return build_dimension(table(spark, sf_dir, "customer"), "customer", "c_custkey", "c_name")
 
 
+@query(
+    """
+    select md5(c_mktsegment) as segment_key, c_mktsegment, max(c_name) as c_name
+    from customer group by c_mktsegment
+    """
+)
+def dim_segment(spark, sf_dir):
+    return build_dimension(table(spark, sf_dir, "customer"), "segment", "c_mktsegment", "c_name")
+
+
 @query(
     "select md5(p_brand) as brand_key, p_brand, max(p_type) as p_type from part group by p_brand"
 )
@@ -133,7 +143,8 @@ def mart_sales_by_nation(spark, sf_dir):
     select 'raw' as layer, count(*) as row_count from lineitem
     union all select 'staging', count(*) from lineitem
     union all select 'fact', count(*) from lineitem
-    """
+    """,
+    name="layer_counts",
 )
 def layer_row_counts(spark, sf_dir):
     staged = staged_lines(spark, sf_dir)

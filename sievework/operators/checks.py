@@ -26,13 +26,12 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """``(column, n)`` of the values that occur more than once; NULLs are ignored."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
+    """``(column, n)`` of the values that occur more than once; NULLs are ignored.
+
+    Counting the column gives NULL no count. A null filter would be pushed below a computed column
+    (a digest of a long text, say) and compute it twice.
+    """
+    return df.groupBy(column).agg(F.count(column).alias("n")).filter(F.col("n") > 1)
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
