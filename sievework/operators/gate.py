@@ -70,6 +70,8 @@ def quality_gate(
     of :func:`heavy_keys` (``[]`` when no key is large); by default one job finds it. With heavy
     keys the input is read more than once, so save a costly or random input before.
     """
+    if OUTCOME in df.columns:
+        raise ValueError(f"the input already has a column {OUTCOME}")
     tagged = classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
     valid = F.col(OUTCOME).isNull()
     if heavy is None:

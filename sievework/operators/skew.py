@@ -42,7 +42,7 @@ def heavy_keys(
     # there are enough rows, so it is quick for a large input as well.
     if df.select(F.lit(1)).offset(min_rows - 1).isEmpty():
         return []
-    limit = int(1 / share)
+    limit = min(int(1 / share), SKETCH_ITEMS)
     rows = df if among is None else df.filter(among)
     hashed = rows.select(key_hash(key).alias("h"))
     merged = (

@@ -197,6 +197,12 @@ def test_null_keys_form_one_group_without_a_missing_rule(spark):
     assert outcomes(quality_gate(frame, spec, heavy=heavy)) == expected
 
 
+def test_gated_input_is_refused(spark):
+    gated = quality_gate(spark.createDataFrame([], SCHEMA), SPEC)
+    with pytest.raises(ValueError, match="quality_rule"):
+        quality_gate(gated, SPEC)
+
+
 def test_empty_input(spark):
     gated = quality_gate(spark.createDataFrame([], SCHEMA), SPEC)
     assert gated.columns == ["a", "b", "m", "d", "e", "quality_rule"]
