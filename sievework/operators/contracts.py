@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from sievework.errors import SchemaContractError
 
@@ -30,6 +31,17 @@ def enforce_contract(df: DataFrame, contract: StructType) -> DataFrame:
     return df
 
 
+def _lost_by_cast(df: DataFrame, column: str, target: DataType) -> Column:
+    """Values a type cannot hold; all of them where there is no cast between the two types."""
+    present = F.col(column).isNotNull()
+    held = F.col(column).try_cast(target)
+    try:
+        df.select(held)  # analysis only
+    except AnalysisException:
+        return present
+    return present & held.isNull()
+
+
 def contract_drift(df: DataFrame, contract: StructType) -> DataFrame:
     """Every deviation from ``contract`` with the number of rows it touches, in one pass.
 
@@ -50,9 +62,9 @@ def contract_drift(df: DataFrame, contract: StructType) -> DataFrame:
         if at != position:
             findings.append((name, "moved", str(position), str(at), every))
         if have.dataType != field.dataType:
-            lost = F.col(name).isNotNull() & F.col(name).try_cast(field.dataType).isNull()
             got = have.dataType.simpleString()
-            findings.append((name, "retyped", want, got, F.count_if(lost)))
+            lost = F.count_if(_lost_by_cast(df, name, field.dataType))
+            findings.append((name, "retyped", want, got, lost))
         if not field.nullable:
             nulls = F.count_if(F.col(name).isNull())
             findings.append((name, "null_in_required", "not null", None, nulls))

@@ -175,15 +175,14 @@ def run_extract(
     """Check the metadata, gate the extract, save all layers below ``out``.
 
     The text is parsed once, into a saved columnar copy that all later passes read. ``run``
-    overrides fields of :class:`RunMetadata`; ``jdbc`` (arguments of :func:`write_jdbc`) also
+    overrides fields of :class:`RunMetadata` (a known ``source_checksum`` spares hashing the file,
+    which is limited to 2 GiB); ``jdbc`` (arguments of :func:`write_jdbc`) also
     refills a database table with the accepted rows.
     """
     validate_metadata(spark, metadata_path)
-    identity = RunMetadata(
-        **{**DATASET, **run},
-        source_checksum=source_checksum(spark, csv_path),
-        pipeline_run_id=run_id,
-    )
+    if "source_checksum" not in run:
+        run["source_checksum"] = source_checksum(spark, csv_path)
+    identity = RunMetadata(**{**DATASET, "pipeline_run_id": run_id, **run})
     source = save_layer(read_source(spark, csv_path), f"{out}/source")
     layers = build_layers(source, MODEL, identity, out)
     if jdbc:

@@ -189,6 +189,15 @@ def test_contract_drift(spark):
         enforce_contract(frame, CONTRACT)
 
 
+def test_retyped_columns_without_a_cast_lose_every_value(spark):
+    frame = spark.createDataFrame([([1], "2026-01-01"), (None, "x")], "a array<int>, d string")
+    frame = frame.withColumn("d", F.col("d").try_cast("date"))
+    assert rows(contract_drift(frame, declare("a int, d boolean"))) == {
+        ("a", "retyped", "int", "array<int>", 1),
+        ("d", "retyped", "boolean", "date", 1),
+    }
+
+
 def test_contract_drift_without_any_rule(spark):
     frame = spark.createDataFrame([("x",)], "a string")
     assert contract_drift(frame, declare("a string")).count() == 0
