@@ -20,6 +20,7 @@ from sievework.operators.gate import (
     GateSpec,
     accepted_rows,
     conflicting_keys,
+    count_outcomes,
     mark_duplicates,
     quality_gate,
     quarantined_rows,
@@ -45,17 +46,26 @@ def gated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gate(line_quantities(spark, sf_dir), LINE_GATE)
 
 
-@query(
+_COUNTS_SQL = (
     LINES_SQL
     + """
     select coalesce(quality_rule, 'accepted') as quality_rule, count(*) as n
     from gated group by 1
     """
 )
+
+
+@query(_COUNTS_SQL)
 def gate_rule_counts(spark, sf_dir):
     return count_by_outcome(gated_lines(spark, sf_dir))
 
 
+@query(_COUNTS_SQL)
+def gate_outcome_counts(spark, sf_dir):
+    """The same counts from sums per key."""
+    return count_outcomes(line_quantities(spark, sf_dir), LINE_GATE)
+
+
 @query(
     LINES_SQL
     + "select l_orderkey, l_linenumber, quantity, l_returnflag, l_linestatus from accepted"

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.text import trim_columns
 from sievework.operators.rules import (
+    ACCEPTED,
     CONFLICTING_DUPLICATE,
     EXACT_DUPLICATE,
     OUTCOME,
@@ -70,9 +71,7 @@ def quality_gate(
     of :func:`heavy_keys` (``[]`` when no key is large); by default one job finds it. With heavy
     keys the input is read more than once, so save a costly or random input before.
     """
-    if OUTCOME in df.columns:
-        raise ValueError(f"the input already has a column {OUTCOME}")
-    tagged = classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
+    tagged = _apply_row_rules(df, spec)
     valid = F.col(OUTCOME).isNull()
     if heavy is None:
         heavy = heavy_keys(tagged, spec.key, heavy_share, heavy_rows, among=valid)
@@ -84,6 +83,12 @@ def quality_gate(
     return by_window.unionByName(by_summary)
 
 
+def _apply_row_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
+    if OUTCOME in df.columns:
+        raise ValueError(f"the input already has a column {OUTCOME}")
+    return classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
+
+
 def _settle_by_window(tagged: DataFrame, spec: GateSpec, columns: Sequence[str]) -> DataFrame:
     # Invalid rows share missing keys. They pass through in one lane per input partition instead
     # of one group, which spares a second scan. The partition number is stable when a lost task
@@ -159,6 +164,39 @@ def _repeat_rows(df: DataFrame, times: str) -> DataFrame:
     )
 
 
+def count_outcomes(df: DataFrame, spec: GateSpec) -> DataFrame:
+    """``(quality_rule, n)`` of :func:`quality_gate` without making its rows.
+
+    For a look at a source before a run: sums per key, combined map-side, instead of a window.
+    """
+    tagged = _apply_row_rules(df, spec)
+    valid = F.col(OUTCOME).isNull()
+    # invalid rows need no key, so they are one group per rule
+    keys = [F.when(valid, F.col(c)).alias(f"_k{i}") for i, c in enumerate(spec.key)]
+    conflict: Column = F.lit(False)
+    if spec.measure:
+        conflict = F.min(spec.measure) != F.max(spec.measure)
+    per_key = tagged.groupBy(OUTCOME, *keys).agg(
+        F.count(F.lit(1)).alias("_n"), conflict.alias("_conflict")
+    )
+
+    def share(rule: Column, n: Column) -> Column:
+        return F.struct(rule.alias(OUTCOME), n.cast("long").alias("n"))
+
+    accepted, rest = F.lit(ACCEPTED), F.lit(EXACT_DUPLICATE)
+    shares = (
+        F.when(F.col(OUTCOME).isNotNull(), F.array(share(F.col(OUTCOME), F.col("_n"))))
+        .when(F.col("_conflict"), F.array(share(F.lit(CONFLICTING_DUPLICATE), F.col("_n"))))
+        .otherwise(F.array(share(accepted, F.lit(1)), share(rest, F.col("_n") - 1)))
+    )
+    return (
+        per_key.select(F.inline(shares))
+        .filter(F.col("n") > 0)
+        .groupBy(OUTCOME)
+        .agg(F.sum("n").alias("n"))
+    )
+
+
 def accepted_rows(gated: DataFrame) -> DataFrame:
     """Rows that passed, without the outcome column."""
     return gated.filter(F.col(OUTCOME).isNull()).drop(OUTCOME)

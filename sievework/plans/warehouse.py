@@ -21,6 +21,7 @@ from sievework.operators.model import (
 from sievework.operators.provenance import RunMetadata, with_provenance
 from sievework.sinks.parquet import save_gated, save_layer
 from sievework.sinks.reports import run_summary, write_json
+from sievework.sinks.tables import materialize, register_table
 
 
 @dataclass(frozen=True)
@@ -120,6 +121,19 @@ def build_layers(
     )
 
 
+def publish(layers: Layers, out: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Make the layers of a run below ``out`` available by name.
+
+    Dimensions, fact and mart become tables over their saved files, staging and audit views.
+    """
+    spark = layers.fact.sparkSession
+    saved = [*(f"dim_{name}" for name in layers.dimensions), "fact", "mart"]
+    relations = {n: register_table(spark, f"{prefix}{n}", f"{out}/{n}") for n in saved}
+    for name in ("staging", "audit"):
+        relations[name] = materialize(layers.tables()[name], f"{prefix}{name}")
+    return relations
+
+
 def model_results(layers: Layers) -> DataFrame:
     """One ``success`` row per built model, in the shape of check results."""
     models = {name: df for name, df in layers.tables().items() if name != "raw"}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
@@ -18,3 +18,12 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
     else:
         raise ValueError(f"kind must be view or table, not {kind!r}")
     return df.sparkSession.table(name)
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Catalog table over an already saved Parquet layer; nothing is copied.
+
+    A rerun points the name at the new place; dropping such a table leaves its files alone.
+    """
+    spark.sql(f"drop table if exists {name}")
+    return spark.catalog.createTable(name, path=path, source="parquet")

@@ -13,6 +13,7 @@ from sievework.operators.gate import (
     GateSpec,
     accepted_rows,
     conflicting_keys,
+    count_outcomes,
     mark_duplicates,
     quality_gate,
     quarantined_rows,
@@ -101,7 +102,13 @@ def test_gate_equals_brute_force_on_both_ways(spark, seed, heavy):
         .collect()
     ]
     chosen = {"none": [], "some": hot, "all": hashes}[heavy]
-    assert rows(quality_gate(frame, SPEC, heavy=chosen)) == expected_gate(data)
+    expected = expected_gate(data)
+    assert rows(quality_gate(frame, SPEC, heavy=chosen)) == expected
+    counts = Counter()
+    for row, n in expected.items():
+        counts[row[-1] or "accepted"] += n
+    found = {r["quality_rule"]: r["n"] for r in count_outcomes(frame, SPEC).collect()}
+    assert found == counts
 
 
 def test_heavy_keys_are_found_and_used(spark):

@@ -16,7 +16,7 @@ from sievework.operators.provenance import PROVENANCE, RunMetadata
 from sievework.operators.rules import OUTCOME
 from sievework.plans import census
 from sievework.plans.landing import land_artifacts, read_definition
-from sievework.plans.warehouse import gate_and_stamp
+from sievework.plans.warehouse import gate_and_stamp, publish
 from sievework.schemas import declare
 from sievework.session import fresh_folder, shared_folder
 from sievework.sinks.jdbc import write_jdbc
@@ -248,6 +248,22 @@ def test_census_extract_end_to_end(spark, tmp_path, sample_csv):
     statuses = [r["status"] for r in results.collect()]
     assert len(statuses) == 63
     assert statuses.count("pass") == 56 and statuses.count("success") == 7
+    for _ in range(2):
+        relations = publish(layers, out, "sw_census_")
+    assert {t: spark.table(f"sw_census_{t}").count() for t in relations} == {
+        "dim_geography": 2,
+        "dim_age": 2,
+        "dim_sex": 2,
+        "fact": 8,
+        "mart": 2,
+        "staging": 8,
+        "audit": 3,
+    }
+    joined = spark.sql(
+        "select g.geography_label, sum(f.observation) as n from sw_census_fact f "
+        "join sw_census_dim_geography g using (geography_key) group by 1"
+    )
+    assert rows(joined) == {("Northumberland", 273000), ("Birmingham", 962000)}
     # a rerun replaces, and another version is added next to it
     again = census.run_extract(spark, sample_csv, metadata, out, "run-2", version=2)
     assert again.accepted.count() == 8
