@@ -9,5 +9,9 @@ class SchemaContractError(SieveworkError):
     """A source or a model does not match its declared contract."""
 
 
+class ArtifactError(SieveworkError):
+    """A described file is missing or cannot be told from another."""
+
+
 class ObjectConflictError(SieveworkError):
     """A landing key already belongs to different content."""

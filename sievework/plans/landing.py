@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.errors import SchemaContractError
+from sievework.errors import ArtifactError, SchemaContractError
+from sievework.operators.checks import repeated_values
 from sievework.operators.definitions import definition_identity, definition_violations
 from sievework.operators.ledger import (
     LandingRun,
@@ -41,6 +42,15 @@ def open_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
+def _require_files(artifacts: DataFrame, found: DataFrame) -> None:
+    missing = artifacts.join(found, "name", "left_anti").first()
+    if missing:
+        raise ArtifactError(f"there is no file {missing['name']}")
+    twice = repeated_values(found.join(artifacts, "name", "left_semi"), "name").first()
+    if twice:
+        raise ArtifactError(f"there are {twice['n']} files {twice['name']}")
+
+
 def land_artifacts(
     spark: SparkSession,
     artifacts: DataFrame,
@@ -55,8 +65,8 @@ def land_artifacts(
 ) -> DataFrame:
     """Describe the files of an extract in the ledger and in a manifest; returns the manifest.
 
-    ``artifacts`` has ``name`` (file name below ``files``), ``kind``, ``source_url``,
-    ``content_type`` and ``etag``. Files are hashed where they are read; only their fingerprints
+    ``artifacts`` has ``name`` (of a file, at any depth below ``files``), ``kind``, ``source_url``,
+    ``content_type`` and ``etag``. Each must be there exactly once. Files are hashed where they are read; only their fingerprints
     meet the descriptions. Repeating a run changes nothing, other bytes for a known key are refused.
     """
     identity = read_definition(spark, definition_path)
@@ -65,6 +75,7 @@ def land_artifacts(
     scanned = scan_artifacts(spark, files).withColumn("name", name).drop("path")
     # saved, so that the files are read once for all the steps below
     found = save_layer(scanned, fresh_folder(spark, "fingerprints"))
+    _require_files(artifacts, found)
     described = with_object_key(
         artifacts.join(found, "name"),
         F.lit(run.source_id),

@@ -8,7 +8,7 @@ import pytest
 from conftest import FAULT_ROWS, SAMPLE_ROWS, SAMPLE_TOTALS, csv_text, metadata_document
 
 from sievework import session as session_module
-from sievework.errors import SchemaContractError
+from sievework.errors import ArtifactError, SchemaContractError
 from sievework.operators.evidence import collect_evidence
 from sievework.operators.ledger import with_object_key
 from sievework.operators.model import layer_counts
@@ -411,6 +411,17 @@ def test_landing_is_repeatable(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
 
 
+def test_landing_needs_each_file_once(spark, tmp_path):
+    write(tmp_path / "definition.json", json.dumps(DEFINITION))
+    write(tmp_path / "files" / "x.csv", "example")
+    with pytest.raises(ArtifactError, match="no file x.csvw"):
+        land(spark, tmp_path)
+    write(tmp_path / "files" / "x.csvw", "{}")
+    write(tmp_path / "files" / "old" / "x.csv", "other")
+    with pytest.raises(ArtifactError, match="2 files x.csv"):
+        land(spark, tmp_path)
+
+
 @pytest.mark.parametrize(
     ("change", "rule"),
     [
