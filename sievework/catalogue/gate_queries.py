@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.catalogue.registry import (
     FAULTY_EVENTS_SQL,
     LINES_SQL,
+    document_digests,
     faulty_events,
     line_quantities,
     query,
@@ -217,7 +218,7 @@ def non_conflict_rows(spark, sf_dir):
 )
 def exact_dedup_documents(spark, sf_dir):
     # the digest of the whole text stands for it, so texts are not shuffled
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha"))
+    docs = document_digests(spark, sf_dir).select("doc_id", "text_sha")
     return mark_duplicates(docs, ["text_sha"], ["doc_id"])
 
 

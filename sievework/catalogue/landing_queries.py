@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.catalogue.check_queries import SUITE_SQL, suite_results
 from sievework.catalogue.gate_queries import gated_lines
-from sievework.catalogue.registry import line_quantities, query, table
+from sievework.catalogue.registry import document_digests, line_quantities, query, table
 from sievework.functions.canonical import canonical_hash
 from sievework.functions.status import job_status, parse_status
 from sievework.operators.checks import gate_counts
@@ -174,10 +174,10 @@ def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The coarse key makes all three outcomes occur.
     """
-    docs = table(spark, sf_dir, "documents").select(
+    docs = document_digests(spark, sf_dir).select(
         "doc_id",
         F.concat_ws("/", "lang", F.col("n_chars").cast("string")).alias("object_key"),
-        F.sha2("text", 256).alias("sha256"),
+        F.col("text_sha").alias("sha256"),
     )
     labels = table(spark, sf_dir, "labels").select("doc_id")
     ledger = (

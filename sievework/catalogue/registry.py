@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.session import fresh_folder
+from sievework.sinks.parquet import save_layer
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -70,6 +73,17 @@ LINES_SQL = """
 """
 
 
+def document_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with the digest of the whole text in place of the text.
+
+    Saved, so that operators with several passes read and hash the texts once.
+    """
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "n_chars", F.sha2("text", 256).alias("text_sha")
+    )
+    return save_layer(docs, fresh_folder(spark, "digests"))
+
+
 def faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with blank or no type, no or negative value, where the payload number says so."""
     number = F.get_json_object("props", "$.k").cast("int")

@@ -223,5 +223,8 @@ def mark_duplicates(
     order_by: Sequence[str] = (),
     heavy: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Deterministic de-duplication: all rows but the first of each key get ``exact_duplicate``."""
+    """Deterministic de-duplication: all rows but the first of each key get ``exact_duplicate``.
+
+    For long texts use a saved table of their digests as input.
+    """
     return quality_gate(df, GateSpec(key=key, order_by=order_by, rules=()), heavy=heavy)
