@@ -20,6 +20,7 @@ from sievework.operators.rules import (
     ACCEPTED,
     CONFLICTING_DUPLICATE,
     EXACT_DUPLICATE,
+    INVALID_OBSERVATION,
     OUTCOME,
     Rule,
     classify,
@@ -48,9 +49,12 @@ class GateSpec:
     all_whitespace: bool = False
 
     def row_rules(self) -> Sequence[Rule]:
-        if self.rules is not None:
+        """Own or standard rules; a row without its measure is invalid in any case."""
+        if self.rules is None:
+            return standard_rules(self.dimensions, self.measure)
+        if self.measure is None:
             return self.rules
-        return standard_rules(self.dimensions, self.measure)
+        return [*self.rules, Rule(INVALID_OBSERVATION, F.col(self.measure).isNull())]
 
     def ranking(self, columns: Sequence[str]) -> list[str]:
         """Columns that order the rows of one key: total over the row, hence repeatable."""

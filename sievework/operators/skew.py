@@ -40,7 +40,7 @@ def heavy_keys(
     """
     # An input of fewer rows has no such key. This reads no column, and partitions only until
     # there are enough rows, so it is quick for a large input as well.
-    if df.select(F.lit(1)).offset(min_rows - 1).isEmpty():
+    if df.select(F.lit(1)).offset(max(min_rows - 1, 0)).isEmpty():
         return []
     limit = min(int(1 / share), SKETCH_ITEMS)
     rows = df if among is None else df.filter(among)

@@ -195,6 +195,15 @@ def test_own_rules_replace_the_standard_ones(spark):
     assert outcomes(quality_gate(frame, spec)) == {"too_small": 2}
 
 
+@pytest.mark.parametrize("large", [False, True])
+def test_a_row_without_measure_is_invalid_under_any_rules(spark, large):
+    data = [("k", 1, None, "x", 1), ("k", 1, 5, "x", 1), ("k", 1, None, "x", 1), ("l", 1, None, "x", 1)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    heavy = [r[0] for r in frame.select(key_hash(["a"])).distinct().collect()] if large else []
+    gated = quality_gate(frame, GateSpec(key=["a"], measure="m", rules=()), heavy=heavy)
+    assert outcomes(gated) == {"accepted": 1, "invalid_observation": 3}
+
+
 def test_null_keys_form_one_group_without_a_missing_rule(spark):
     frame = spark.createDataFrame([(None, 1, 5, "x", 1), (None, 1, 5, "x", 1)], SCHEMA)
     spec = GateSpec(key=["a", "b"], measure="m")
