@@ -342,8 +342,9 @@ def provenance_stamp(spark, sf_dir):
     orders = _order_texts(spark, sf_dir)
     run = RunMetadata("TS009", "2021", 1, "a" * 64, "run-1")
     stamped = with_provenance(orders, run, orders.columns)
+    loaded_utc = F.to_utc_timestamp("loaded_at", F.current_timezone())
     return stamped.drop(*[c for c in orders.columns if c != "o_orderkey"]).withColumn(
-        "loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss")
+        "loaded_at", F.date_format(loaded_utc, "yyyy-MM-dd HH:mm:ss")
     )
 
 

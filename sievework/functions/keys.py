@@ -32,7 +32,7 @@ def row_fingerprint(columns: Sequence[str]) -> Column:
     """SHA-256 over the columns in order, NULL written as a visible token.
 
     Floating-point columns should be cast to a decimal or integer first: their text form is an
-    engine detail.
+    engine detail. That of timestamps follows the session time zone.
     """
     texts = [F.coalesce(F.col(c).cast("string"), F.lit(FINGERPRINT_NULL)) for c in columns]
     return F.sha2(F.concat_ws(FINGERPRINT_SEPARATOR, *texts), 256)
