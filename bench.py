@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default: all) the local
 threads. Each query runs once to warm up and then BENCH_RUNS times (default 2; once if that
-takes over a second) into a sink that discards the rows; the fastest counts. ``reference_shape`` times the gate written as aggregate, two
+takes over a second) into a sink that discards the rows; the fastest counts. ``join_shaped`` times the gate written as aggregate, two
 joins and a window, for comparison with the single-window gate.
 """
 
@@ -72,7 +72,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "sf": os.path.basename(sf_dir).removeprefix("sf"),
-        "reference_shape": {"gate_with_joins": shape},
+        "join_shaped": {"gate_with_joins": shape},
     }
     print(json.dumps(report))
     spark.stop()

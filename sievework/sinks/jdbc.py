@@ -22,16 +22,14 @@ def write_jdbc(
     whatever the number of partitions. Partitions commit on their own, so after a failed append the
     table should be refilled with ``overwrite``.
     """
-    (
-        df.write.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("user", user)
-        .option("password", password)
-        .option("driver", driver)
-        .option("truncate", "true")
-        .option("numPartitions", connections)
-        .option("batchsize", batch_rows)
-        .mode(mode)
-        .save()
-    )
+    settings = {
+        "url": url,
+        "dbtable": table,
+        "user": user,
+        "password": password,
+        "driver": driver,
+        "truncate": True,
+        "numPartitions": connections,
+        "batchsize": batch_rows,
+    }
+    df.write.format("jdbc").options(**settings).mode(mode).save()

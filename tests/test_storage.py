@@ -168,14 +168,14 @@ class FakeWriter:
     """Records what would reach a database; none is started for tests."""
 
     def __init__(self):
-        self.options, self.calls = {}, []
+        self.settings, self.calls = {}, []
 
     def format(self, name):
         self.calls.append(("format", name))
         return self
 
-    def option(self, name, value):
-        self.options[name] = value
+    def options(self, **settings):
+        self.settings = settings
         return self
 
     def mode(self, name):
@@ -191,13 +191,13 @@ def test_jdbc_options(mode):
     frame = type("Frame", (), {"write": FakeWriter()})()
     write_jdbc(frame, "jdbc:postgresql://h/db", "raw.t", "u", "p", mode=mode, connections=4)
     assert frame.write.calls == [("format", "jdbc"), ("mode", mode), ("save", None)]
-    assert frame.write.options == {
+    assert frame.write.settings == {
         "url": "jdbc:postgresql://h/db",
         "dbtable": "raw.t",
         "user": "u",
         "password": "p",
         "driver": "org.postgresql.Driver",
-        "truncate": "true",
+        "truncate": True,
         "numPartitions": 4,
         "batchsize": 10_000,
     }
