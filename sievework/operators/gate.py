@@ -28,6 +28,8 @@ from sievework.operators.rules import (
 )
 from sievework.operators.skew import HEAVY_ROWS, HEAVY_SHARE, heavy_keys, is_heavy
 
+# Invalid rows of one input partition spread over this many groups.
+_LANES = 16
 # Identical copies of one row are written out again in pieces of this size.
 _COPY_CHUNK = 100_000
 
@@ -94,14 +96,15 @@ def _apply_row_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
 
 
 def _settle_by_window(tagged: DataFrame, spec: GateSpec, columns: Sequence[str]) -> DataFrame:
-    # Invalid rows share missing keys. They pass through in one lane per input partition instead
-    # of one group, which spares a second scan. The partition number is stable when a lost task
-    # runs again, unlike a random salt.
-    lanes = tagged.withColumn(
-        "_lane", F.when(F.col(OUTCOME).isNotNull(), F.spark_partition_id())
-    )
     measure = [spec.measure] if spec.measure else []
-    rows = Window.partitionBy(*spec.key, "_lane").orderBy(*measure, *spec.ranking(columns))
+    order = [*measure, *spec.ranking(columns)]
+    # Invalid rows share missing keys. They pass through in a few lanes per input partition
+    # instead of one group, which spares a second scan. Partition number and row hash are the same
+    # when a lost task runs again, unlike a random salt.
+    slot = F.pmod(F.xxhash64(F.lit(0), *order), F.lit(_LANES))
+    lane = F.spark_partition_id().cast("long") * _LANES + slot
+    lanes = tagged.withColumn("_lane", F.when(F.col(OUTCOME).isNotNull(), lane))
+    rows = Window.partitionBy(*spec.key, "_lane").orderBy(*order)
     # With the measure leading the order, its extremes are the first and last value and the rank
     # within a conflict-free key is the rank within (key, measure): one window serves all.
     rank = F.row_number().over(rows)
