@@ -173,15 +173,14 @@ def class_copies(rated: DataFrame, most: int = MOST) -> DataFrame:
             (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap")
         )
         room = F.when(F.col("gap") > 0, F.col("n") * most - F.col("copies")).otherwise(F.col("copies"))
-        # a class fits while one copy brings the sum nearer to the target
-        fits = (F.col("size") > 0) & (room > 0) & (F.col("size") < 2 * F.abs("gap"))
+        fits = (F.col("size") > 0) & (room > 0) & (F.col("size") <= F.abs("gap"))
         chosen = (
             _with_source(whole, gaps)
             .filter(fits)
             .groupBy("source")
             .agg(F.max(F.struct("size", "gap", room.alias("room"))).alias("c"))
             .select(F.col("source").alias("_source"), F.col("c.size").alias("_size"),
-                    (F.signum("c.gap") * F.least(F.greatest(F.round(F.abs("c.gap") / F.col("c.size")), F.lit(1)), F.col("c.room"))).cast("long").alias("_more"))
+                    (F.signum("c.gap") * F.least(F.floor(F.abs("c.gap") / F.col("c.size")), F.col("c.room"))).cast("long").alias("_more"))
         )
         if chosen.isEmpty():
             break
