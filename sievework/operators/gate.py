@@ -1,8 +1,9 @@
 """Quality gate: every row gets an outcome, NULL meaning accepted.
 
-Ordinary keys take one shuffle, one sort and one window. Keys that hold a large share of the rows
-(:mod:`sievework.operators.skew`) never meet in one task: their verdict comes from a small
-aggregate that is broadcast back to the rows. Both ways give the same multiset of rows.
+Ordinary keys take one shuffle, one sort and one window. The rows of keys too large for one task
+(:mod:`sievework.operators.skew`) are ranked in lanes, saved, and settled by a small summary per key that is
+broadcast back to them. Either way the rows themselves pass through unchanged, and the order that
+chooses among duplicates is total over their exact values.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.functions.text import trim_columns
 from sievework.operators.rules import (
@@ -26,12 +28,14 @@ from sievework.operators.rules import (
     classify,
     standard_rules,
 )
-from sievework.operators.skew import HEAVY_ROWS, HEAVY_SHARE, heavy_keys, is_heavy
+from sievework.operators.skew import HEAVY_ROWS, heavy_keys, is_heavy
+from sievework.session import saved
 
-# Invalid rows of one input partition spread over this many groups.
-_LANES = 16
-# Identical copies of one row are written out again in pieces of this size.
-_COPY_CHUNK = 100_000
+# Invalid rows spread over this many groups, and those of a heavy key in one input partition over 16.
+_LANES = 1 << 20
+_HEAVY_LANES = 16
+# Summaries of heavy keys are broadcast up to this number of keys.
+_BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -59,7 +63,7 @@ class GateSpec:
         return [*self.rules, Rule(INVALID_OBSERVATION, F.col(self.measure).isNull())]
 
     def ranking(self, columns: Sequence[str]) -> list[str]:
-        """Columns that order the rows of one key: total over the row, hence repeatable."""
+        """Columns that order the rows of one key."""
         settled = {*self.key, *self.order_by, self.measure}
         return [*self.order_by, *(c for c in columns if c not in settled)]
 
@@ -68,25 +72,25 @@ def quality_gate(
     df: DataFrame,
     spec: GateSpec,
     heavy: Sequence[int] | None = None,
-    heavy_share: float = HEAVY_SHARE,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """All rows of ``df``, cleaned, with their outcome in ``quality_rule``.
 
     Invalid rows take no part in conflict or duplicate detection. ``heavy`` may pass a known result
-    of :func:`heavy_keys` (``[]`` when no key is large); by default one job finds it. With heavy
-    keys the input is read more than once, so save a costly or random input before.
+    of :func:`heavy_keys`. With ``[]`` nothing runs until the result is used; by default one job over the key
+    columns looks for heavy keys first. The rows of heavy keys are ranked and saved in the shared folder, and
+    the input is read twice, so save a costly or random input before.
     """
     tagged = _apply_row_rules(df, spec)
     valid = F.col(OUTCOME).isNull()
     if heavy is None:
-        heavy = heavy_keys(tagged, spec.key, heavy_share, heavy_rows, among=valid)
+        heavy = heavy_keys(tagged, spec.key, heavy_rows, among=valid)
     if not heavy:
-        return _settle_by_window(tagged, spec, df.columns)
+        return _settle_by_window(tagged, spec, df)
     large = valid & is_heavy(spec.key, heavy)
-    by_window = _settle_by_window(tagged.filter(~large), spec, df.columns)
-    by_summary = _settle_by_summary(tagged.filter(large).drop(OUTCOME), spec, df.columns)
-    return by_window.unionByName(by_summary)
+    by_window = _settle_by_window(tagged.filter(~large), spec, df)
+    by_lanes = _settle_by_lanes(tagged.filter(large).drop(OUTCOME), spec, df, len(heavy))
+    return by_window.unionByName(by_lanes)
 
 
 def _apply_row_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
@@ -95,17 +99,34 @@ def _apply_row_rules(df: DataFrame, spec: GateSpec) -> DataFrame:
     return classify(trim_columns(df, spec.dimensions, spec.all_whitespace), spec.row_rules())
 
 
-def _settle_by_window(tagged: DataFrame, spec: GateSpec, columns: Sequence[str]) -> DataFrame:
+def _exact(field: T.StructField) -> Column | None:
+    """Text that differs whenever values that compare equal differ; None if there are no such values."""
+    text = field.dataType.simpleString()
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        binary = field.dataType == T.StringType()
+        return None if binary else F.collate(column.cast("string"), "UTF8_BINARY")
+    if "float" in text or "double" in text or "collate" in text:
+        return F.collate(column.cast("string"), "UTF8_BINARY")
+    return None
+
+
+def _total_order(spec: GateSpec, df: DataFrame) -> list[Column]:
+    """Order of the rows of one key, measure first: it ends with the exact forms of values that compare
+    equal without being the same (signed zeros, collated text), so which copy comes first is repeatable."""
     measure = [spec.measure] if spec.measure else []
-    order = [*measure, *spec.ranking(columns)]
-    # Invalid rows share missing keys. They pass through in a few lanes per input partition
-    # instead of one group, which spares a second scan. Partition number and row hash are the same
-    # when a lost task runs again, unlike a random salt.
-    slot = F.pmod(F.xxhash64(F.lit(0), *order), F.lit(_LANES))
-    lane = F.spark_partition_id().cast("long") * _LANES + slot
+    exact = [e for e in map(_exact, df.schema.fields) if e is not None]
+    return [*map(F.col, [*measure, *spec.ranking(df.columns)]), *exact]
+
+
+def _settle_by_window(tagged: DataFrame, spec: GateSpec, df: DataFrame) -> DataFrame:
+    order = _total_order(spec, df)
+    # Invalid rows share missing keys. They pass through in lanes by their content instead of in one
+    # group, which spares a second scan and, being deterministic, leaves filters free to reach it.
+    lane = F.pmod(F.xxhash64(F.lit(0), *order), F.lit(_LANES))
     lanes = tagged.withColumn("_lane", F.when(F.col(OUTCOME).isNotNull(), lane))
     rows = Window.partitionBy(*spec.key, "_lane").orderBy(*order)
-    # With the measure leading the order, its extremes are the first and last value and the rank
+    # With the measure leading the order, its extremes are the first and last value of the group and the rank
     # within a conflict-free key is the rank within (key, measure): one window serves all.
     rank = F.row_number().over(rows)
     verdict = F.when(rank > 1, F.lit(EXACT_DUPLICATE))
@@ -113,62 +134,36 @@ def _settle_by_window(tagged: DataFrame, spec: GateSpec, columns: Sequence[str])
         group = rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         conflict = F.first(spec.measure).over(group) != F.last(spec.measure).over(group)
         verdict = F.when(conflict, F.lit(CONFLICTING_DUPLICATE)).otherwise(verdict)
-    return lanes.select(*columns, F.coalesce(F.col(OUTCOME), verdict).alias(OUTCOME))
-
-
-def _settle_by_summary(rows: DataFrame, spec: GateSpec, columns: Sequence[str]) -> DataFrame:
-    ranking = F.struct(F.lit(0).alias("_"), *spec.ranking(columns))
+    return lanes.select(*df.columns, F.coalesce(F.col(OUTCOME), verdict).alias(OUTCOME))
+
+
+def _settle_by_lanes(rows: DataFrame, spec: GateSpec, df: DataFrame, keys: int) -> DataFrame:
+    """Outcomes of keys too large for a task: a rank per lane, then one summary row per key."""
+    order = _total_order(spec, df)
+    slot = F.pmod(F.xxhash64(F.lit(0), *order), F.lit(_HEAVY_LANES))
+    lane = F.spark_partition_id().cast("long") * _HEAVY_LANES + slot
+    in_lane = Window.partitionBy(*spec.key, "_lane").orderBy(*order)
+    # saved, so that a lane is the same for the summary and for the rows
+    ranked = saved(
+        rows.withColumn("_lane", lane).withColumn("_rank", F.row_number().over(in_lane)), "heavy-rows"
+    )
     conflict: Column = F.lit(False)
     if spec.measure:
         conflict = F.min(spec.measure) != F.max(spec.measure)
-    # One row per heavy key, combined map-side. A conflict needs no first row.
-    summary = rows.groupBy(*[F.col(c).alias(f"_k_{c}") for c in spec.key]).agg(
-        conflict.alias("_conflict"), F.when(~conflict, F.min(ranking)).alias("_first")
+    # the first rows of all lanes hold the first row of the key; identical ones differ by lane
+    first = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], "_lane")
+    summary = ranked.groupBy(*[F.col(c).alias(f"_k_{c}") for c in spec.key]).agg(
+        conflict.alias("_conflict"),
+        F.min_by("_lane", F.when(F.col("_rank") == 1, first)).alias("_first"),
     )
+    if keys <= _BROADCAST_KEYS:
+        summary = F.broadcast(summary)
     same_key = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in spec.key))
-    known = rows.join(F.broadcast(summary), same_key).withColumn(
-        "_is_first", ranking.eqNullSafe(F.col("_first"))
-    )
-    settled = known.filter(F.col("_conflict") | ~F.col("_is_first")).select(
-        *columns,
-        F.when(F.col("_conflict"), F.lit(CONFLICTING_DUPLICATE))
-        .otherwise(F.lit(EXACT_DUPLICATE))
-        .alias(OUTCOME),
-    )
-    # What is left are identical copies of one row per key. They collapse to a count before the
-    # shuffle: one is accepted, the others are written out again.
-    copies = (
-        known.filter(~F.col("_conflict") & F.col("_is_first"))
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    verdicts = F.array(
-        F.struct(F.lit(None).cast("string").alias("rule"), F.lit(1).cast("long").alias("n")),
-        F.struct(F.lit(EXACT_DUPLICATE).alias("rule"), (F.col("_n") - 1).alias("n")),
-    )
-    counted = (
-        copies.withColumn("_v", F.explode(verdicts))
-        .select(*columns, F.col("_v.rule").alias(OUTCOME), F.col("_v.n").alias("_n"))
-        .filter(F.col("_n") > 0)
-    )
-    return settled.unionByName(_repeat_rows(counted, "_n"))
-
-
-def _repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times, spread over the cluster in bounded chunks."""
-    columns = [c for c in df.columns if c != times]
-    spark = df.sparkSession
-    # a fixed number, so that AQE does not merge the small chunk rows into one task
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    last_chunk = F.floor((F.col(times) - 1) / F.lit(_COPY_CHUNK))
-    chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-    left = F.col(times) - F.col("_chunk") * _COPY_CHUNK
-    size = F.least(left, F.lit(_COPY_CHUNK).cast("long"))
-    return (
-        chunks.repartition(parts, *columns, "_chunk")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
-        .select(*columns)
+    kept = (F.col("_rank") == 1) & (F.col("_lane") == F.col("_first"))
+    verdict = (
+        F.when(F.col("_conflict"), F.lit(CONFLICTING_DUPLICATE)).when(~kept, F.lit(EXACT_DUPLICATE))
     )
+    return ranked.join(summary, same_key).select(*df.columns, verdict.alias(OUTCOME))
 
 
 def count_outcomes(df: DataFrame, spec: GateSpec) -> DataFrame:

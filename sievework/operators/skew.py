@@ -1,4 +1,4 @@
-"""Find the few keys that are too large for one task, and join around them."""
+"""Find the few keys that are too large for one task, and join on keys."""
 
 from __future__ import annotations
 
@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from this share of all rows on, so there are at most 1 / HEAVY_SHARE heavy keys:
-# that is the size bound of everything broadcast here.
-HEAVY_SHARE = 1 / 2000
-# Below this many rows a group is an ordinary task whatever its share.
+# From so many rows a group is too much for one task.
 HEAVY_ROWS = 1_000_000
-# Counters per sketch; its error of about 3.5 / SKETCH_ITEMS of all rows is below HEAVY_SHARE.
-SKETCH_ITEMS = 16_384
-# Sketches are merged in this many tasks before the last task merges the remaining ones.
-_MERGE_LANES = 256
+# Keys fall into this many classes by hash, each with a sketch of its own for every task. A sketch's
+# counts are off by at most about 3.5 / SKETCH_ITEMS of its class, which is 1/75,000 of all rows: beyond 75
+# billion rows that, and no longer HEAVY_ROWS, is the smallest group found for certain. It also bounds
+# the number of keys found.
+CLASSES = 256
+SKETCH_ITEMS = 1024
+# Sketches are merged in this many tasks before the last ones merge the remaining.
+_MERGE_LANES = 64
 
 
 def key_hash(key: Sequence[str]) -> Column:
@@ -24,46 +25,37 @@ def key_hash(key: Sequence[str]) -> Column:
 
 
 def heavy_keys(
-    df: DataFrame,
-    key: Sequence[str],
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_ROWS,
-    among: Column | None = None,
+    df: DataFrame, key: Sequence[str], min_rows: int = HEAVY_ROWS, among: Column | None = None
 ) -> list[int]:
-    """Routing hashes of the keys that hold at least ``share`` and ``min_rows`` of the rows.
+    """Routing hashes of the keys that hold at least ``min_rows`` rows, of those where ``among`` holds.
 
-    ``among`` restricts the rows that count.
-
-    One job over the key columns with a frequent-items sketch per task: only sketches are
-    shuffled, never rows. The list only chooses between two exact ways to treat a key, so a
-    missed or extra key (or a hash collision) costs time and never changes a result.
+    One job over the key columns with frequent-items sketches per task: only sketches are shuffled,
+    never rows. The list only chooses between two exact ways to treat a key, so a missed or extra
+    key (or a hash collision) costs time and never changes a result.
     """
-    # An input of fewer rows has no such key. This reads no column, and partitions only until
-    # there are enough rows, so it is quick for a large input as well.
-    if df.select(F.lit(1)).offset(max(min_rows - 1, 0)).isEmpty():
-        return []
-    limit = min(int(1 / share), SKETCH_ITEMS)
     rows = df if among is None else df.filter(among)
+    found = sketched_counts(rows, key).filter(F.col("count") >= min_rows)
+    return sorted(r["item"] for r in found.select("item").collect())  # at most 75,000
+
+
+def sketched_counts(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``item`` (routing hash) and ``count`` of the most frequent keys of each class."""
     hashed = rows.select(key_hash(key).alias("h"))
-    merged = (
-        hashed.groupBy((F.spark_partition_id() % _MERGE_LANES).alias("lane"))
-        .agg(
-            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
+    kept = SKETCH_ITEMS // 4
+    return (
+        hashed.groupBy(
+            F.pmod("h", F.lit(CLASSES)).alias("class"),
+            (F.spark_partition_id() % _MERGE_LANES).alias("lane"),
         )
-        .groupBy(F.lit(1))  # no row at all, rather than an error, for an empty input
+        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"))
+        .groupBy("class")
         .agg(
             F.expr(
-                f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {limit})"
-            ).alias("top"),
-            F.sum("n").alias("n"),
+                f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {kept})"
+            ).alias("top")
         )
+        .select(F.inline("top"))
     )
-    floor = F.greatest(F.lit(min_rows), F.ceil(F.col("n") * share))
-    found = merged.select(
-        F.transform(F.filter("top", lambda item: item["count"] >= floor), lambda i: i["item"])
-    ).first()
-    return sorted(found[0]) if found else []
 
 
 def is_heavy(key: Sequence[str], heavy: Sequence[int]) -> Column:
@@ -71,32 +63,14 @@ def is_heavy(key: Sequence[str], heavy: Sequence[int]) -> Column:
     return key_hash(key).isin(list(heavy)) if heavy else F.lit(False)
 
 
-def _by_membership(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], how: str, heavy: Sequence[int] | None
-) -> DataFrame:
-    on = list(on)
-    keys = keys.select(*on)
-    if heavy is None:
-        heavy = heavy_keys(df, on)
-    if not heavy:
-        return df.join(keys, on, how)
-    # Rows of heavy keys stay where they are and meet a broadcast of at most len(heavy) keys
-    # (distinct makes that a bound); only the rest is shuffled by key.
-    test = is_heavy(on, heavy)
-    light = df.filter(~test).join(keys.filter(~test), on, how)
-    stay = df.filter(test).join(F.broadcast(keys.filter(test).distinct()), on, how)
-    return light.unionByName(stay)
-
-
-def rows_with_keys(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], heavy: Sequence[int] | None = None
-) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys``; NULL keys never match."""
-    return _by_membership(df, keys, on, "left_semi", heavy)
-
-
-def rows_without_keys(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], heavy: Sequence[int] | None = None
-) -> DataFrame:
+def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``keys``; NULL keys never match.
+
+    A plain semi join: the engine splits what is skewed on the side of ``df`` at run time.
+    """
+    return df.join(keys.select(*on), list(on), "left_semi")
+
+
+def rows_without_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``keys``; rows with a NULL key are kept."""
-    return _by_membership(df, keys, on, "left_anti", heavy)
+    return df.join(keys.select(*on), list(on), "left_anti")

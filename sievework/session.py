@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE coalesces small shuffle partitions, splits skewed join partitions and picks broadcast joins
 # from measured sizes; UTC keeps timestamps comparable between engines.
@@ -44,3 +44,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/sievework/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, computed once."""
+    folder = fresh_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -7,7 +7,6 @@ import pytest
 from conftest import FAULT_ROWS, SAMPLE_ROWS
 from pyspark.sql import functions as F
 
-from sievework.operators import gate as gate_module
 from sievework.operators.compare import multiset_difference, same_rows
 from sievework.operators.gate import (
     GateSpec,
@@ -24,6 +23,7 @@ from sievework.operators.skew import (
     key_hash,
     rows_with_keys,
     rows_without_keys,
+    sketched_counts,
 )
 from sievework.plans import census
 
@@ -114,16 +114,15 @@ def test_gate_equals_brute_force_on_both_ways(spark, seed, heavy):
 def test_heavy_keys_are_found_and_used(spark):
     data = random_rows(4, 3000)
     frame = spark.createDataFrame(data, SCHEMA)
-    found = heavy_keys(frame, ["a", "b"], share=0.05, min_rows=100)
+    found = heavy_keys(frame, ["a", "b"], min_rows=100)
     names = frame.filter(key_hash(["a", "b"]).isin(found)).select("a").distinct().collect()
     assert {r[0] for r in names} == {"hot", "copies", "clash"}
-    assert rows(quality_gate(frame, SPEC, heavy_share=0.05, heavy_rows=100)) == expected_gate(data)
+    assert rows(quality_gate(frame, SPEC, heavy_rows=100)) == expected_gate(data)
     assert heavy_keys(frame, ["a", "b"], min_rows=10_000) == []
     assert heavy_keys(frame.limit(0), ["a", "b"]) == []
 
 
-def test_many_copies_come_back_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(gate_module, "_COPY_CHUNK", 7)
+def test_one_of_many_identical_copies_is_kept(spark):
     frame = spark.range(1000).select(F.lit("k").alias("a"), F.lit(1).alias("m"))
     heavy = [frame.select(key_hash(["a"])).first()[0]]
     spec = GateSpec(key=["a"], measure="m")
@@ -133,6 +132,51 @@ def test_many_copies_come_back_in_chunks(spark, monkeypatch):
     }
 
 
+def test_both_ways_keep_every_value_as_it_is(spark):
+    """Signed zeros and collated text compare equal without being the same."""
+    schema = "k string collate UTF8_LCASE, m double, t string collate UTF8_LCASE, x float"
+    data = [
+        (k, m, t, x)
+        for k in ("Key", "key", "other")
+        for m in (0.0, -0.0)
+        for t in ("A", "a", "B")
+        for x in (-0.0, 0.0, 1.0)
+    ] * 3 + [("clash", 1.0, "a", 0.0), ("CLASH", 2.0, "A", -0.0)]
+    frame = spark.createDataFrame(data, schema).repartition(6)
+    spec = GateSpec(key=["k"], measure="m")
+    hashes = [r[0] for r in frame.select(key_hash(["k"])).distinct().collect()]
+
+    def exact(gated):
+        return Counter((*map(repr, r[:4]), r[4]) for r in map(tuple, gated.collect()))
+
+    ordinary, heavy = exact(quality_gate(frame, spec, heavy=[])), exact(quality_gate(frame, spec, heavy=hashes))
+    assert ordinary == heavy
+    given = Counter(tuple(map(repr, r)) for r in map(tuple, frame.collect()))
+    assert Counter({k: sum(n for r, n in heavy.items() if r[:4] == k) for k in given}) == given
+    assert sum(n for r, n in heavy.items() if r[4] is None) == 2
+    assert sum(n for r, n in heavy.items() if r[4] == "conflicting_duplicate") == 2
+
+
+def test_a_key_far_below_a_share_of_the_rows_is_found(spark):
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 4000 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("m")
+    )
+    found = heavy_keys(rows, ["k"], min_rows=80)  # 100 of 400,000 rows
+    assert rows.filter("k = -1").select(key_hash(["k"])).first()[0] in found
+    assert len(found) < 10
+
+
+def test_looking_for_heavy_keys_shuffles_sketches_only(spark):
+    rows = spark.range(0, 2_000_000, 1, 200).select((F.col("id") % 1_000_003).alias("k"))
+    counts = sketched_counts(rows, ["k"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "CollectLimit" not in plan
+    # every exchange lies above an aggregate into sketches
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("approx_top_k_accumulate") < plan.rindex("Exchange hashpartitioning")
+    assert "partial_approx_top_k_accumulate" in plan[plan.rindex("Exchange hashpartitioning") :]
+
+
 def test_ordinary_keys_take_one_exchange_one_sort_one_window(spark):
     frame = spark.range(100).select(
         (F.col("id") % 7).alias("k"), F.col("id").alias("m"), F.lit("x").alias("d")
@@ -144,12 +188,12 @@ def test_ordinary_keys_take_one_exchange_one_sort_one_window(spark):
     assert plan.count("Window [") == 1
 
 
-def test_heavy_rows_are_neither_windowed_nor_shuffled_whole(spark):
+def test_heavy_rows_are_ranked_in_lanes(spark):
     frame = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("m"))
     heavy = [frame.select(key_hash(["k"])).first()[0]]
     plan = quality_gate(frame, GateSpec(key=["k"], measure="m"), heavy=heavy)._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert text.count("Window [") == 1
+    assert text.count("Range (") == 1  # the rows of heavy keys were saved
     assert "BroadcastHashJoin" in text and "CartesianProduct" not in text
 
 
@@ -243,22 +287,17 @@ def test_conflicting_keys_and_their_rows(spark):
         values[(row["a"], row["b"])].add(row["m"])
     clashing = {k for k, v in values.items() if len(v) > 1}
     assert {tuple(r) for r in keys.collect()} == clashing
-    hot = heavy_keys(frame, ["a", "b"], share=0.05, min_rows=10)
-    assert hot
-    for heavy in ([], hot, None):
-        inside = rows(rows_with_keys(frame, keys, ["a", "b"], heavy))
-        outside = rows(rows_without_keys(frame, keys, ["a", "b"], heavy))
-        assert set(r[:2] for r in inside) == clashing
-        assert inside + outside == rows(frame)
+    inside = rows(rows_with_keys(frame, keys, ["a", "b"]))
+    outside = rows(rows_without_keys(frame, keys, ["a", "b"]))
+    assert set(r[:2] for r in inside) == clashing
+    assert inside + outside == rows(frame)
 
 
 def test_membership_treats_null_keys_like_a_join(spark):
     frame = spark.createDataFrame([(None,), (1,), (2,)], "k int")
     keys = spark.createDataFrame([(None,), (1,), (1,)], "k int")
-    hashes = [r[0] for r in frame.select(key_hash(["k"])).collect()]
-    for heavy in ([], hashes):
-        assert rows(rows_with_keys(frame, keys, ["k"], heavy)) == Counter([(1,)])
-        assert rows(rows_without_keys(frame, keys, ["k"], heavy)) == Counter([(None,), (2,)])
+    assert rows(rows_with_keys(frame, keys, ["k"])) == Counter([(1,)])
+    assert rows(rows_without_keys(frame, keys, ["k"])) == Counter([(None,), (2,)])
 
 
 def test_multiset_comparison_counts_copies(spark):

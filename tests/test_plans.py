@@ -12,7 +12,7 @@ from sievework.operators.checks import NotNull, negative_rows, null_counts, run_
 from sievework.operators.gate import GateSpec, quality_gate
 from sievework.operators.model import build_dimension, build_fact, conform
 from sievework.operators.provenance import RunMetadata, with_provenance
-from sievework.operators.skew import key_hash, rows_with_keys
+from sievework.operators.skew import rows_with_keys
 from sievework.schemas import declare
 
 SHUFFLE = re.compile(r"Exchange (hash|range|RoundRobin|SinglePartition)")
@@ -110,13 +110,20 @@ def test_a_digest_is_computed_once(spark):
     assert plan(QUERIES["unique_violations"](spark, "/root/testdata/sf0.001")).count("sha2(") == 1
 
 
-def test_only_heavy_keys_are_broadcast(spark, lines, shuffled_joins):
+def test_membership_is_one_join(spark, lines, shuffled_joins):
     keys = lines.select("k").distinct()
-    ordinary = plan(rows_with_keys(lines, keys, ["k"], []))
-    assert "Broadcast" not in ordinary
-    heavy = [lines.filter("k = 7").select(key_hash(["k"])).first()[0]]
-    mixed = plan(rows_with_keys(lines, keys, ["k"], heavy))
-    assert mixed.count("BroadcastExchange") == 1 and mixed.count("SortMergeJoin") == 1
+    text = plan(rows_with_keys(lines, keys, ["k"]))
+    assert "Broadcast" not in text and text.count("SortMergeJoin") == 1
+
+
+def test_filters_pass_through_the_gate(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id % 7 as k", "id as m", "id % 2 as edition")
+    rows.write.partitionBy("edition").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    gated = quality_gate(table, GateSpec(key=["edition", "k"], measure="m"), heavy=[])
+    text = plan(gated.filter("edition = 1 and k = 3"))
+    assert "PartitionFilters: [isnotnull(edition" in text and "(edition#" in text
+    assert "EqualTo(k,3)" in text
 
 
 @pytest.mark.parametrize("name", QUERIES)
