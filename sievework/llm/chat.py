@@ -127,16 +127,18 @@ def _length(levels: list[DataFrame], level: DataFrame) -> int:
 
 
 def _doubled(jumps: DataFrame) -> DataFrame:
+    """Jumps twice as long; messages whose jump has passed the root take no part in the join."""
     above = jumps.select(
         F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("up").alias("_up"),
         F.col("total").alias("_total"), F.col("depth").alias("_depth"),
     )
     at = F.col("tree").eqNullSafe(F.col("_t")) & (F.col("up") == F.col("_n"))
-    return jumps.join(above, at, "left").select(
+    longer = jumps.filter("up is not null").join(above, at).select(
         "tree", "node", F.col("_up").alias("up"),
-        (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
-        (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+        (F.col("total") + F.col("_total")).alias("total"),
+        (F.col("depth") + F.col("_depth")).alias("depth"),
     )
+    return longer.unionByName(jumps.filter("up is null"))
 
 
 def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
