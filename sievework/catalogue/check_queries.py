@@ -77,6 +77,12 @@ def conversations_with_several_questions(spark, sf_dir):
     return repeated_values(questions, "conv_id")
 
 
+@query("select conv_id, turn, count(*) as n from conversations group by 1, 2 having count(*) > 1")
+def repeated_turns(spark, sf_dir):
+    """A key of two columns over all rows."""
+    return repeated_values(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+
+
 @query(
     """
     select doc_id, count(*) as n from documents

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.catalogue.registry import (
     FAULTY_EVENTS_SQL,
     LINES_SQL,
+    LOADED_AT,
     document_digests,
     faulty_events,
     line_quantities,
@@ -16,7 +17,7 @@ from sievework.catalogue.registry import (
 )
 from sievework.functions.keys import row_fingerprint
 from sievework.functions.text import trim_columns
-from sievework.operators.compare import same_rows
+from sievework.operators.compare import compare_rows
 from sievework.operators.gate import (
     GateSpec,
     accepted_rows,
@@ -340,7 +341,7 @@ def row_fingerprints(spark, sf_dir):
 )
 def provenance_stamp(spark, sf_dir):
     orders = _order_texts(spark, sf_dir)
-    run = RunMetadata("TS009", "2021", 1, "a" * 64, "run-1")
+    run = RunMetadata("TS009", "2021", 1, "a" * 64, "run-1", LOADED_AT)
     stamped = with_provenance(orders, run, orders.columns)
     loaded_utc = F.to_utc_timestamp("loaded_at", F.current_timezone())
     return stamped.drop(*[c for c in orders.columns if c != "o_orderkey"]).withColumn(
@@ -366,9 +367,22 @@ def fingerprint_distinct(spark, sf_dir):
     )
 
 
-@query("select cast(0 as bigint) as different_rows, true as same")
+@query(
+    LINES_SQL
+    + """
+    select 'other distribution' as comparison, count(*) as left_rows, count(*) as right_rows,
+           cast(0 as bigint) as different_rows, true as same
+    from gated
+    union all
+    select 'without duplicates', count(*),
+           count(*) filter (where quality_rule is distinct from 'exact_duplicate'),
+           count(*) filter (where quality_rule = 'exact_duplicate'),
+           count(*) filter (where quality_rule = 'exact_duplicate') = 0
+    from gated
+    """
+)
 def partition_invariance(spark, sf_dir):
-    """The gate over two distributions of the same rows."""
+    """The gate over two distributions of the same rows, and against what differs from it."""
     lines = table(spark, sf_dir, "lineitem").select(
         *LINE_KEY,
         F.col("l_quantity").cast("long").alias("quantity"),
@@ -376,7 +390,10 @@ def partition_invariance(spark, sf_dir):
         "l_linestatus",
         "l_suppkey",
     )
-    return same_rows(
-        quality_gate(lines.repartition("l_suppkey"), LINE_GATE),
-        quality_gate(lines.repartition("l_orderkey", "l_suppkey"), LINE_GATE),
+    gated = quality_gate(lines.repartition("l_suppkey"), LINE_GATE).drop("l_suppkey")
+    other = quality_gate(lines.repartition("l_orderkey", "l_suppkey"), LINE_GATE).drop("l_suppkey")
+    fewer = other.filter(~F.col(OUTCOME).eqNullSafe("exact_duplicate"))
+    same, less = compare_rows(gated, other), compare_rows(gated, fewer)
+    return same.select(F.lit("other distribution").alias("comparison"), "*").unionByName(
+        less.select(F.lit("without duplicates").alias("comparison"), "*")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.catalogue.check_queries import SUITE_SQL, suite_results
 from sievework.catalogue.gate_queries import gated_lines
-from sievework.catalogue.registry import document_digests, line_quantities, query, table
+from sievework.catalogue.registry import LOADED_AT, document_digests, line_quantities, query, table
 from sievework.functions.canonical import canonical_hash
 from sievework.functions.status import job_status, parse_status
 from sievework.operators.checks import gate_counts
@@ -15,6 +15,7 @@ from sievework.operators.definitions import definition_violations
 from sievework.operators.evidence import collect_evidence
 from sievework.operators.ledger import (
     LandingRun,
+    append_to_ledger,
     build_manifest,
     classify_artifacts,
     conflicting_artifacts,
@@ -23,6 +24,9 @@ from sievework.operators.ledger import (
     with_object_key,
 )
 from sievework.operators.provenance import RunMetadata
+from sievework.plans.landing import open_ledger
+from sievework.session import fresh_folder
+from sievework.sinks.parquet import save_layer
 from sievework.sinks.reports import run_summary
 from sievework.sources.artifacts import scan_artifacts
 
@@ -161,12 +165,62 @@ def artifact_manifest(spark, sf_dir):
     )
 
 
-@query()
+def nation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation as one text file per key, scanned as binary artifacts: key, checksum and size."""
+    path = fresh_folder(spark, "nation-files")
+    lines = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.concat_ws("|", F.col("n_nationkey").cast("string"), "n_name").alias("line")
+    )
+    lines.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    key = F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("long").alias("n_nationkey")
+    return scan_artifacts(spark, path, "*.txt").select(key, "sha256", "size_bytes")
+
+
+_FILES_SQL = """
+    select cast(n_nationkey as bigint) as n_nationkey,
+           sha256(n_nationkey || '|' || n_name || chr(10)) as sha256,
+           cast(strlen(n_nationkey || '|' || n_name) + 1 as bigint) as size_bytes
+    from nation
+"""
+
+
+@query(_FILES_SQL)
 def binary_artifact_scan(spark, sf_dir):
-    """The files of two tables as binary artifacts (their bytes are not visible to SQL)."""
-    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("pages", "orders")]
-    files = scan_artifacts(spark, paths)
-    return files.withColumn("path", F.regexp_extract("path", r"[^/]+$", 0))
+    return nation_files(spark, sf_dir)
+
+
+@query(
+    f"""
+    select *, case when n_nationkey < 10 then 'skipped' when n_nationkey >= 20 then 'conflict'
+                   else 'new' end as state
+    from ({_FILES_SQL})
+    """
+)
+def landing_run(spark, sf_dir):
+    """A landing after an earlier one of ten files, with five keys taken by other bytes."""
+    files = save_layer(nation_files(spark, sf_dir), fresh_folder(spark, "fingerprints"))
+    artifacts = with_object_key(
+        files.select(
+            "*",
+            F.lit("csv").alias("kind"),
+            F.concat(F.lit("https://example.org/"), "n_nationkey").alias("source_url"),
+            F.lit("text/csv").alias("content_type"),
+        ),
+        F.lit(RUN.source_id),
+        F.lit(RUN.source_edition),
+        F.lit(RUN.source_version),
+        F.lit(RUN.filter_hash),
+    )
+    path = fresh_folder(spark, "ledger")
+    ledger = open_ledger(spark, path)
+    earlier = artifacts.filter("n_nationkey < 10")
+    taken = artifacts.filter("n_nationkey >= 20").withColumn("sha256", F.lit("0" * 64))
+    append_to_ledger(earlier.unionByName(taken).select(*ledger.columns), ledger, path)
+    landed = classify_artifacts(
+        artifacts.select("object_key", "sha256", "n_nationkey", "size_bytes"),
+        open_ledger(spark, path),
+    )
+    return landed.drop("object_key")
 
 
 def _landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +335,7 @@ def export_job_status(spark, sf_dir):
     """
 )
 def evidence_long(spark, sf_dir):
-    run = RunMetadata("LINES", "1998", 3, "a" * 64, "run-2")
+    run = RunMetadata("LINES", "1998", 3, "a" * 64, "run-2", LOADED_AT)
     counts = gate_counts(line_quantities(spark, sf_dir), gated_lines(spark, sf_dir))
     summary = run_summary(counts, run)
     return collect_evidence(summary, page_manifest(spark, sf_dir), suite_results(spark, sf_dir))

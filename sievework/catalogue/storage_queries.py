@@ -10,6 +10,7 @@ from sievework.catalogue.landing_queries import MANIFEST_SQL, page_manifest
 from sievework.catalogue.registry import (
     FAULTY_EVENTS_SQL,
     LINES_SQL,
+    LOADED_AT,
     faulty_events,
     line_quantities,
     query,
@@ -19,6 +20,8 @@ from sievework.operators.checks import gate_counts
 from sievework.operators.model import build_dimension
 from sievework.operators.provenance import RunMetadata, with_provenance
 from sievework.operators.rules import classify, count_by_outcome, standard_rules
+from sievework.errors import SchemaContractError
+from sievework.plans import census
 from sievework.plans.warehouse import Layers, ModelSpec, build_layers
 from sievework.schemas import declare
 from sievework.session import fresh_folder
@@ -42,6 +45,60 @@ def csv_typed_scan(spark, sf_dir):
     return read_delimited(spark, path, CUSTOMER)
 
 
+@query(
+    """
+    select 'declared' as header, 'accepted' as verdict, count(*) as n from customer
+    union all select 'other order', 'refused', 0
+    union all select 'one more', 'refused', 0
+    """
+)
+def header_gate(spark, sf_dir):
+    """customer in files with the declared header and with two that differ from it."""
+    rows = table(spark, sf_dir, "customer").select(*CUSTOMER.names)
+    headers = {
+        "declared": rows,
+        "other order": rows.select(*CUSTOMER.names[::-1]),
+        "one more": rows.withColumn("extra", F.lit(1)),
+    }
+    verdicts = []
+    for name, frame in headers.items():
+        path = fresh_folder(spark, "customer-csv")
+        frame.write.option("header", True).csv(path)
+        try:
+            read, verdict = read_delimited(spark, path, CUSTOMER), "accepted"
+        except SchemaContractError:
+            read, verdict = rows.limit(0), "refused"
+        count = read.agg(F.count(F.lit(1)).alias("n"))
+        verdicts.append(count.select(F.lit(name).alias("header"), F.lit(verdict).alias("verdict"), "n"))
+    return verdicts[0].unionByName(verdicts[1]).unionByName(verdicts[2])
+
+
+@query(
+    """
+    select o_orderpriority as geography_label, cast(o_orderkey as varchar) as geography_code,
+           'all' as age_label, '0' as age_code, o_orderstatus as sex_label, o_orderstatus as sex_code,
+           cast(o_custkey as bigint) as observation, 'TS009' as dataset_id, '2021' as edition,
+           1 as version, repeat('a', 64) as source_checksum, 'run-1' as pipeline_run_id,
+           sha256(cast(o_orderkey as varchar)) as source_record_hash, '2026-01-01 00:00:00' as loaded_at
+    from orders
+    """
+)
+def seed_scan(spark, sf_dir):
+    """orders as a stamped extract in a file, read back with its 14 types."""
+    key = F.col("o_orderkey").cast("string")
+    values = [
+        "o_orderpriority", key, F.lit("all"), F.lit("0"), "o_orderstatus", "o_orderstatus",
+        F.col("o_custkey").cast("long"), F.lit("TS009"), F.lit("2021"), F.lit(1), F.lit("a" * 64),
+        F.lit("run-1"), F.sha2(key, 256), F.lit("2026-01-01 00:00:00"),
+    ]
+    columns = [F.col(v) if isinstance(v, str) else v for v in values]
+    path = fresh_folder(spark, "seed-csv")
+    stamped = [c.alias(n) for c, n in zip(columns, census.SEED_SCHEMA.names)]
+    table(spark, sf_dir, "orders").select(*stamped).write.option("header", True).csv(path)
+    read = census.read_seed(spark, path)
+    return read.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query(
     "with"
     + FAULTY_EVENTS_SQL
@@ -73,7 +130,7 @@ def csv_malformed_measure(spark, sf_dir):
     return count_by_outcome(classify(scanned, standard_rules(["event_type"], "amount")))
 
 
-RUN = RunMetadata("LINES", "1998", 3, "a" * 64, "run-2")
+RUN = RunMetadata("LINES", "1998", 3, "a" * 64, "run-2", LOADED_AT)
 
 LINE_MODEL = ModelSpec(
     gate=LINE_GATE,

@@ -27,12 +27,28 @@ def _ascii_piece(piece: Column) -> Column:
     )
 
 
+# Numbers whose text the parser would change: exponents, trailing zeros of a fraction, fractions of more
+# digits than a double keeps or with many leading zeros, and integers beyond 38 digits.
+_UNFAITHFUL = (
+    r"[0-9.][eE]|\.[0-9]*0(?![0-9])|(?=[0-9.]{17})[0-9]+\.[0-9]|[0-9]\.[0-9.]{15}"
+    r"|(?<![0-9])0\.0000|[0-9]{39}"
+)
+
+
+def _keeps_numbers(document: Column) -> Column:
+    """Whether every number outside strings is written back as it is."""
+    bare = F.regexp_replace(F.regexp_replace(document, r"(?s)\\.", ""), r'"[^"]*"', '""')
+    return ~bare.rlike(_UNFAITHFUL)
+
+
 def canonical_json(document: Column) -> Column:
     """Key-sorted compact JSON in pure ASCII; NULL for text that is not JSON.
 
-    Variant keeps objects key-sorted and keeps explicit nulls, so no schema is needed.
+    Variant keeps objects key-sorted and keeps explicit nulls, so no schema is needed. It does not keep
+    every number as written (``1.0`` becomes ``1``), and refuses an object with a repeated key: such
+    documents give NULL too, rather than share a hash with another one.
     """
-    compact = F.to_json(F.try_parse_json(document))
+    compact = F.when(_keeps_numbers(document), F.to_json(F.try_parse_json(document)))
     pieces = F.regexp_extract_all(compact, F.lit(_PIECES), F.lit(0))
     return F.array_join(F.transform(pieces, _ascii_piece), "")
 

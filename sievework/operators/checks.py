@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.operators.model import layer_counts
@@ -25,13 +27,19 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column", "failures")
 
 
-def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """``(column, n)`` of the values that occur more than once; NULLs are ignored.
+def repeated_values(df: DataFrame, column: str | Sequence[str]) -> DataFrame:
+    """``(column, n)`` of the values, or combinations of several columns' values, that occur more than
+    once; those with a NULL are ignored.
 
-    Counting the column gives NULL no count. A null filter would be pushed below a computed column
+    Counting the columns gives NULL no count. A null filter would be pushed below a computed column
     (a digest of a long text, say) and compute it twice.
     """
-    return df.groupBy(column).agg(F.count(column).alias("n")).filter(F.col("n") > 1)
+    columns = [column] if isinstance(column, str) else list(column)
+    return df.groupBy(*columns).agg(F.count_if(_all_present(columns)).alias("n")).filter(F.col("n") > 1)
+
+
+def _all_present(columns: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(c).isNotNull() for c in columns))
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.canonical import canonical_hash
-from sievework.operators.contracts import constraint_violations, unknown_fields
+from sievework.operators.contracts import constraint_violations
 
 # The fields a definition may have.
 FIELDS = ("dataset", "population_type", "dimensions")
@@ -23,7 +23,8 @@ def _is_object(document: Column) -> Column:
 
 
 def _only(document: Column, allowed: tuple[str, ...]) -> Column:
-    return F.size(unknown_fields(document, allowed)) == 0
+    known = F.array(*map(F.lit, allowed))
+    return F.size(F.array_except(F.json_object_keys(document), known)) == 0
 
 
 def definition_violations(docs: DataFrame, doc_id: str, content: str) -> DataFrame:

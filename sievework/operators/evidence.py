@@ -19,12 +19,16 @@ _COUNTS = ("input_rows", "accepted_rows", "quarantined_rows")
 
 
 def _preferred(frame: DataFrame, section: str, items: list[tuple]) -> DataFrame:
-    """Candidates ``(section, item, preference, value)`` from one aggregate over ``frame``.
+    """Candidates ``(section, item, preference, value)`` from one row of ``frame``, that of the last run.
 
     An aggregate has a row even over an empty frame, so absent evidence needs no special case.
     """
-    columns = dict.fromkeys(column for _, column, _ in items)
-    maxima = frame.agg(*[F.max(F.col(c).cast("string")).alias(c) for c in columns])
+    columns = list(dict.fromkeys(column for _, column, _ in items))
+    whole = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+    run = "pipeline_run_id" if "pipeline_run_id" in frame.columns else "run_id"
+    # ties within a run by the values themselves
+    last = frame.agg(F.max(F.struct(F.col(run).cast("string"), whole.alias("row"))).alias("last"))
+    maxima = last.select(*[F.col("last.row")[c].alias(c) for c in columns])
     rows = F.array(
         *[
             F.struct(

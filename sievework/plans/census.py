@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from sievework.plans.warehouse import Layers, ModelSpec, build_layers, gate_and_
 from sievework.schemas import declare
 from sievework.sinks.jdbc import write_jdbc
 from sievework.sinks.parquet import save_layer
-from sievework.sources.artifacts import source_checksum
+from sievework.sources.artifacts import content_checksum
 from sievework.sources.delimited import read_delimited
 from sievework.sources.documents import read_documents
 
@@ -174,16 +174,17 @@ def run_extract(
 ) -> Layers:
     """Check the metadata, gate the extract, save all layers below ``out``.
 
-    The text is parsed once, into a saved columnar copy that all later passes read. ``run``
-    overrides fields of :class:`RunMetadata` (a known ``source_checksum`` spares hashing the file,
-    which is limited to 2 GiB); ``jdbc`` (arguments of :func:`write_jdbc`) also
-    refills a database table with the accepted rows.
+    The text is read once, into a saved columnar copy that all later passes read, the default checksum
+    included (:func:`content_checksum`). ``run`` overrides fields of :class:`RunMetadata`, the time of
+    loading (now, by default) among them; ``jdbc`` (arguments of :func:`write_jdbc`) also refills a
+    database table with the accepted rows.
     """
     validate_metadata(spark, metadata_path)
-    if "source_checksum" not in run:
-        run["source_checksum"] = source_checksum(spark, csv_path)
-    identity = RunMetadata(**{**DATASET, "pipeline_run_id": run_id, **run})
     source = save_layer(read_source(spark, csv_path), f"{out}/source")
+    if "source_checksum" not in run:
+        run["source_checksum"] = content_checksum(source)
+    now = datetime.now(timezone.utc).isoformat(sep=" ", timespec="seconds")
+    identity = RunMetadata(**{**DATASET, "pipeline_run_id": run_id, "loaded_at": now, **run})
     layers = build_layers(source, MODEL, identity, out)
     if jdbc:
         write_jdbc(layers.accepted, mode="overwrite", **jdbc)

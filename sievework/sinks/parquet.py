@@ -32,8 +32,14 @@ def replace_version(
 
     The layout is that of ``partitionBy("edition", "version", *partition_by)``. Overwriting the
     folder itself keeps other versions, and also removes partitions (say, a quality rule that no
-    longer fires) which dynamic overwrite would leave behind.
+    longer fires) which dynamic overwrite would leave behind. A row that says it belongs to another
+    edition or version stops the write.
     """
+    for name, value in (("edition", edition), ("version", version)):
+        if name in df.columns:
+            message = F.format_string(f"a row of {name} %s among those of {value}", F.col(name).cast("string"))
+            ours = F.col(name).cast("string").eqNullSafe(F.lit(str(value)))
+            df = df.filter(F.when(ours, True).otherwise(F.raise_error(message).cast("boolean")))
     (
         df.drop("edition", "version")
         .write.mode("overwrite")

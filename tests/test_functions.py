@@ -88,6 +88,24 @@ def test_canonical_json_equals_sorted_compact_ascii_dump(spark):
         assert hashes[i] == sha(expected)
 
 
+def test_canonical_json_of_numbers_is_exact_or_absent(spark):
+    rng = random.Random(5)
+    numbers = ["1.0", "1", "0.5", "-2.25", "1e5", "1E-7", "0.00001", "-0.0", "1.50", "123456789.5", "0.001"]
+    numbers += [str(rng.randrange(10 ** rng.randint(1, 50))) for _ in range(40)]
+    numbers += [repr(rng.uniform(-10, 10) * 10 ** rng.randint(-8, 18)) for _ in range(200)]
+    numbers += [f"{rng.randrange(1000)}.{rng.randrange(1, 100)}" for _ in range(60)]
+    documents = [f'{{"t":"1.0 e \\\\" 1e5","a":[{n},{{"b":{n}}}]}}' for n in numbers]
+    documents += ['{"a":1,"a":2}', '{"t":"' + "x1.0\\n" * 9000 + '","a":7}']
+    frame = spark.createDataFrame(list(enumerate(documents)), "i int, d string")
+    found = dict(frame.select("i", canonical_json(F.col("d"))).collect())
+    for i, document in enumerate(documents):
+        expected = json.dumps(json.loads(document), sort_keys=True, separators=(",", ":"))
+        assert found[i] in (expected, None), document
+    kept = {n for i, n in enumerate(numbers) if found[i]}
+    assert {"1", "0.5", "-2.25", "123456789.5", "0.001"} <= kept and not {"1.0", "1e5", "1.50"} & kept
+    assert found[len(documents) - 1] is not None and found[len(documents) - 2] is None
+
+
 def test_canonical_hash_ignores_key_order_but_not_array_order(spark):
     rows = [('{"a":1,"b":[1,2]}',), ('{"b": [1, 2], "a": 1}',), ('{"a":1,"b":[2,1]}',), ("{oops",)]
     first, second, third, bad = (
@@ -162,7 +180,7 @@ def test_rules_fire_in_order(spark):
 
 def test_provenance(spark):
     frame = spark.createDataFrame([("a", 1)], "x string, y int")
-    stamped = with_provenance(frame, RunMetadata("D", "2021", 1, "c" * 64, "run"), ["x", "y"])
+    stamped = with_provenance(frame, RunMetadata("D", "2021", 1, "c" * 64, "run", "2026-01-01 00:00:00+00:00"), ["x", "y"])
     assert stamped.columns == ["x", "y", *PROVENANCE]
     row = stamped.withColumn("loaded_at", F.col("loaded_at").cast("string")).first()
     assert tuple(row)[2:] == ("D", "2021", 1, "c" * 64, "run", sha("a||1"), "2026-01-01 00:00:00")

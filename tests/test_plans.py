@@ -53,7 +53,7 @@ def read_columns(frame) -> list[str]:
 
 
 def test_row_local_operators_do_not_shuffle(spark, lines):
-    run = RunMetadata("D", "2021", 1, "a" * 64, "r")
+    run = RunMetadata("D", "2021", 1, "a" * 64, "r", "2026-01-01 00:00:00+00:00")
     narrow = [
         with_provenance(lines, run, ["k", "m"]),
         build_fact(lines, ["k", "code"], {"code": "code"}, ["m"]),

@@ -23,7 +23,7 @@ from sievework.sinks.jdbc import write_jdbc
 from sievework.sinks.parquet import replace_version, save_gated, version_path, write_gate_result
 from sievework.sinks.reports import SUMMARY_SCHEMA, run_summary, write_json
 from sievework.sinks.tables import materialize
-from sievework.sources.artifacts import scan_artifacts, source_checksum
+from sievework.sources.artifacts import content_checksum, scan_artifacts, source_checksum
 from sievework.sources.delimited import CORRUPT, read_delimited
 from sievework.sources.documents import read_json_objects
 from sievework.sources.tables import read_layer, read_table
@@ -42,7 +42,7 @@ def rows(frame) -> set:
 
 
 def run(edition="2021", version=1, run_id="run-1") -> RunMetadata:
-    return RunMetadata("TS009", edition, version, "a" * 64, run_id)
+    return RunMetadata("TS009", edition, version, "a" * 64, run_id, "2026-01-01 00:00:00+00:00")
 
 
 def test_typed_scan_nulls_what_a_type_cannot_hold(spark, tmp_path):
@@ -239,8 +239,9 @@ def test_census_extract_end_to_end(spark, tmp_path, sample_csv):
     summary = layers.summary.first()
     assert (summary["input_rows"], summary["accepted_rows"], summary["quarantined_rows"]) == (8, 8, 0)
     assert layers.accepted.select("source_record_hash").distinct().count() == 8
-    with open(sample_csv, "rb") as file:
-        checksum = hashlib.sha256(file.read()).hexdigest()
+    rows_read = census.read_source(spark, sample_csv)
+    checksum = content_checksum(rows_read)
+    assert checksum == content_checksum(rows_read.repartition(3)) != content_checksum(rows_read.limit(7))
     assert {r[0] for r in layers.accepted.select("source_checksum").collect()} == {checksum}
     totals = {r["geography_code"]: r["population"] for r in layers.mart.collect()}
     assert totals == SAMPLE_TOTALS
@@ -277,7 +278,8 @@ def test_evidence_of_a_whole_run(spark, tmp_path):
     csv = write(tmp_path / "files" / "x.csv", csv_text(census.RAW_HEADERS, SAMPLE_ROWS))
     metadata = write(tmp_path / "files" / "x.csvw", json.dumps(metadata_document()))
     manifest = land(spark, tmp_path)
-    layers = census.run_extract(spark, csv, metadata, str(tmp_path / "out"), "run-9")
+    landed = manifest.filter("kind = 'csv'").first()["sha256"]
+    layers = census.run_extract(spark, csv, metadata, str(tmp_path / "out"), "run-9", source_checksum=landed)
     evidence = collect_evidence(layers.summary, manifest, census.run_suite(layers, SAMPLE_TOTALS))
     found = {(r["section"], r["item"]): r["value"] for r in evidence.collect()}
     digests = {r["kind"]: r["sha256"] for r in manifest.collect()}
