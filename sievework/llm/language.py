@@ -87,7 +87,8 @@ def train(texts: dict[str, list[bytes]]) -> Model:
         if len(tree[k]):
             found = tree[k][at] == suffix
             contexts[found] = rows[k] + at[found]
-    return Model(languages, symbols, contexts, np.concatenate(levels).reshape(-1, len(languages)), size)
+    costs = np.concatenate(levels)
+    return Model(languages, symbols, contexts, costs.reshape(costs.shape[0] * size, len(languages)), size)
 
 
 def _costs(grams: list, tree: list[np.ndarray], levels: list[np.ndarray], size: int) -> np.ndarray:

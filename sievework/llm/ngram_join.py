@@ -406,9 +406,12 @@ def _small_links(members: DataFrame) -> DataFrame:
 def _pivot_links(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """Every member against the pivots of its group, in tasks of bounded size."""
     salts = members.groupBy("root").agg(F.ceil(F.count("*") / GROUP).alias("salts"))
-    salted = members.join(salts, "root").withColumn("salt", F.pmod(F.xxhash64("a", "b"), "salts"))
-    copies = pivots.join(salts, "root").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    salted = members.join(salts, "root").withColumn("salt", F.pmod(F.xxhash64("a", "b"), "salts")).drop("salts")
+    pieces = salts.select(F.col("root").alias("_root"), (F.col("salts") - 1).alias("last"))
+    copies = (
+        pivots.join(pieces, F.col("root") == F.col("_root"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
+        .drop("_root", "last")
     )
 
     def link(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -24,6 +24,7 @@ SLICES = 2
 # Distinct queries answered by one pass over all vectors; this bounds what is broadcast.
 QUERY_BLOCK = 8192
 _CHUNK = 4096
+_LARGEST = 2**63 - 1
 
 
 def scaled(vector: Column, factor: int = 64) -> Column:
@@ -82,6 +83,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             yield part.column("v").to_pylist(), part.column("ids").to_pylist()
 
 
+def _sums(partial: np.ndarray) -> np.ndarray:
+    """What all lists say together, within 64 bits."""
+    total = partial.sum(axis=0)
+    return np.clip(total, -_LARGEST, _LARGEST).astype(np.int64) if total.dtype == object else total
+
+
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
     """Per query, the places of its k best entries (any order)."""
     if scores.shape[1] <= k:
@@ -102,7 +109,7 @@ def _answer_block(classes: DataFrame, vectors: list[list[int]], k: int, slices:
         asked = _Block(block.value, slices)
         for values, ids in _chunks(batches):
             partial = asked.partial(values)
-            total = partial.sum(axis=0)
+            total = _sums(partial)
             for s in range(len(partial)):
                 at = _best(partial[s], k)
                 for q in range(queries):
@@ -138,7 +145,7 @@ def _answer_block(classes: DataFrame, vectors: list[list[int]], k: int, slices:
                 for s in range(len(partial)):
                     reached |= partial[s] >= share[:, None]
                 q, i = np.nonzero(reached)
-                score = sum(partial[s][q, i] for s in range(len(partial)))
+                score = _sums(partial[:, q, i])
                 for a, b, c in zip(q, i, score):
                     if c >= safe.value[a]:
                         yield int(a), ids[b], int(c)
@@ -162,7 +169,8 @@ def exact_top_k(
     Both frames hold integer vectors in ``vector`` (:func:`scaled`). Ties go to the smaller ``vec_id``; a query
     with fewer than ``k`` others gets them all. Rows are told apart by id: rows repeated with id and
     vector count once, a row with the query's id is never in its result. Rows with a NULL id or
-    vector take no part; a shorter vector counts as 0 beyond its end. Columns besides these two are
+    vector take no part; a shorter vector counts as 0 beyond its end; a score beyond 64 bits is the
+    largest number of its sign. Columns besides these two are
     ignored; no rows give no rows.
 
     Queries are grouped by vector, and answered in blocks of a bounded number by one pass each.
