@@ -17,12 +17,18 @@ if the manifest that Spark returns names it; what a lost or repeated task leaves
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
+import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +45,7 @@ _INDEX = np.dtype([("offset", "<u8"), ("ids", "<u8")])
 # A file is closed beyond this size and the task starts another one.
 FILE_BYTES = 256 << 20
 # Encodings of words kept by a task.
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 300_000
 
 
 def masked(data: bytes) -> int:
@@ -71,55 +77,117 @@ def payload_of(data: bytes, at: int = 0) -> tuple[bytes, int]:
 
 
 class WordCache(dict):
-    """Ids, as bytes, of text between two word boundaries, encoded when first met.
+    """Ids, as bytes, of text between two word boundaries, encoded when first met. The entries of the
+    last but one generation are kept until they are met again or replaced."""
 
-    Byte-level pre-tokenisation always ends a piece before a space that follows a character other
-    than white space, so a text's ids are those of its parts between such places.
-    """
-
-    def __init__(self, encode: Callable[[str], list[int]], dtype: np.dtype, lead: str) -> None:
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.encode, self.dtype, self.lead = encode, dtype, lead
+        self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        ids = np.array(self.encode(self.lead + part), self.dtype).tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.encode(part)
         if len(part) < 64:
+            if len(self) >= _CACHE_WORDS:
+                self.older = dict(self)
+                self.clear()
             self[part] = ids
         return ids
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library."""
+    """Ids of whole texts by the tokenizers library.
+
+    Byte-level pre-tokenisation always ends a piece before a space that follows a character other than white
+    space, around a single newline between such characters, and between letters and the
+    signs after them. A text's ids are those of its parts between these places, and words recur, so
+    parts are encoded once. With any other kind of tokenizer texts are encoded whole.
+    """
 
     def __init__(self, content: str, end_id: int | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(content)
-        largest = max(tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id or 0)
+        self.tokenizer = Tokenizer.from_str(content)
+        largest = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id or 0)
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-
-        def encode(part: str) -> list[int]:
-            return tokenizer.encode(part, add_special_tokens=False).ids
-
-        self.first, self.rest = (WordCache(encode, self.dtype, lead) for lead in ("", " "))
+        self.in_parts = _is_byte_level(json.loads(content))
+        self.first, self.rest = WordCache(self._part), WordCache(lambda part: self._part(part, " "))
+
+    def _packed(self, ids: list[int]) -> bytes:
+        packed = array("H" if self.dtype.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _encoded(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _part(self, part: str, lead: str = "") -> bytes:
+        left, line, right = part.partition("\n")
+        if line and left and right and not (left[-1].isspace() or right[0].isspace()):
+            before = self.rest[left] if lead else self.first[left]
+            return before + self.first["\n"] + self.first[right]
+        found = _WORD_AND_SIGNS.fullmatch(part)
+        if not found or not found[1].isalpha():
+            return self._encoded(lead + part)
+        if found[2]:
+            word = self.rest[found[1]] if lead else self.first[found[1]]
+            return word + self.first[found[2]]
+        piece = "".join(map(_BYTE_SIGNS.__getitem__, (lead + part).encode()))
+        return self._packed([t.id for t in self.tokenizer.model.tokenize(piece)])
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return self.end
+        if not self.in_parts:
+            return self._encoded(text) + self.end
         parts = text.split(" ")
+        spaces = _BEFORE_SPACE if text.isascii() else _ANY_BEFORE_SPACE
         # white space before a space, or two spaces: those parts stay together
-        if "" in parts or any(c in text for c in _BEFORE_SPACE) or not text.isascii():
+        if "" in parts or any(c in text for c in spaces):
             parts = _joined(parts)
-        first = self.first[parts[0]]
-        return b"".join((first, *map(self.rest.__getitem__, parts[1:]), self.end))
+        return b"".join((self.first[parts[0]], *map(self.rest.__getitem__, parts[1:]), self.end))
+
+
+def worker_encoder(content: str, end_id: int | None) -> Encoder:
+    """The encoder of this Python worker, which Spark reuses: later tasks know the words of earlier ones."""
+    held = sys.modules.setdefault("_sievework_worker", ModuleType("_sievework_worker")).__dict__
+    key = f"{hashlib.sha256(content.encode()).hexdigest()}-{end_id}"
+    if held.get("key") != key:
+        held["key"], held["encoder"] = key, Encoder(content, end_id)
+    return held["encoder"]
+
+
+def _is_byte_level(content: dict) -> bool:
+    kind = content.get("pre_tokenizer") or {}
+    return (
+        kind.get("type") == "ByteLevel"
+        and not kind.get("add_prefix_space")
+        and kind.get("use_regex", True)
+        and not content.get("normalizer")
+        and (content.get("model") or {}).get("type", "BPE") == "BPE"
+        and not (content.get("model") or {}).get("dropout")
+        and not any(t.get("lstrip") or t.get("rstrip") for t in content.get("added_tokens") or ())
+    )
+
+
+def _byte_signs() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+_BYTE_SIGNS = _byte_signs()
+_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([^\w\s']*)")
 # white space other than the space itself, before a space
-_BEFORE_SPACE = [chr(c) + " " for c in (*range(9, 14), *range(28, 32))]
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
+_ANY_BEFORE_SPACE = [c + " " for c in _SPACES]
+_BEFORE_SPACE = [c + " " for c in _SPACES if c.isascii()]
 
 
 def _joined(parts: list[str]) -> list[str]:
@@ -175,7 +243,7 @@ def write_records(
         part = TaskContext.get().partitionId()
         encode, out, number = None, None, 0
         for batch in batches:
-            encode = encode or Encoder(shared.value, end_id)
+            encode = encode or worker_encoder(shared.value, end_id)
             width = bytes([encode.dtype.itemsize])
             ids = batch.column("id").to_pylist()
             for key, value in zip(ids, batch.column("text").to_pylist()):
