@@ -36,10 +36,12 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.filter("u <> v").distinct(), "links")
     while True:
         now = written(_star(_star(now, small=False), small=True), "links")
-        # finished: stars only, so no node is both a root and under another one
-        roots = now.select(F.col("v").alias("u")).distinct()
-        twice = now.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
-        if now.join(roots, "u", "left_semi").isEmpty() and twice.isEmpty():
+        # finished when there are stars only: no node is under two others, or under one and a root
+        ends = now.select("u", F.lit(1).alias("under"), F.lit(0).alias("root")).unionByName(
+            now.select(F.col("v").alias("u"), F.lit(0).alias("under"), F.lit(1).alias("root"))
+        )
+        places = ends.groupBy("u").agg(F.sum("under").alias("under"), F.max("root").alias("root"))
+        if places.filter((F.col("under") > 1) | ((F.col("under") == 1) & (F.col("root") == 1))).isEmpty():
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -31,8 +31,8 @@ PART, WHOLE = 80, 100
 HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 4000, 0.005, 20
 # A task flushes its prefix shingles when it holds so many.
 _HELD = 1 << 21
-# Members of a group that one task compares with each other, and pivots of a larger one.
-GROUP, PIVOTS = 400, 64
+# Members, and shingles of all of them, that one task compares with each other; pivots of a larger group.
+GROUP, GROUP_SHINGLES, PIVOTS = 2000, 4_000_000, 256
 # Ids of documents whose sets are needed; broadcast up to this number, else shuffled.
 BROADCAST_IDS = 500_000
 # Rank of a frequent shingle among a document's: after all that were counted.
@@ -51,12 +51,14 @@ def needed(n: int) -> int:
 
 
 def extra(n: int) -> int:
-    """Shingles by which a prefix is longer than one common shingle would need."""
-    return max(1, n // 10)
+    """Shingles by which a prefix is longer than one common shingle would need, and a bit more: half of a
+    small set, a tenth of a large one."""
+    return max(1, min(n // 2, max(n // 10, 20)))
 
 
 def promised(n: int) -> int:
-    """Prefix shingles shared with any linked set, which has at least ``needed(n)`` shingles."""
+    """Prefix shingles shared with any linked set, which has at least ``needed(n)`` shingles; the
+    prefixes of both are at least so much longer, as ``extra`` does not fall."""
     return extra(needed(n))
 
 
@@ -214,7 +216,9 @@ def _cut(which: np.ndarray, token: np.ndarray, key: np.ndarray) -> Iterator[tupl
 def _candidate_groups(sets: DataFrame, hits: DataFrame) -> DataFrame:
     """``key`` and ``root`` for the sets that may have a partner."""
     sizes = sets.groupBy("key").agg(F.min("n").alias("n"))
-    promise = F.greatest(F.floor(F.ceil(F.col("n") * PART / WHOLE) / 10), F.lit(1))
+    least = F.ceil(F.col("n") * PART / WHOLE)
+    tenth = F.greatest(F.floor(least / 10), F.lit(20))
+    promise = F.greatest(F.least(F.floor(least / 2), tenth), F.lit(1))
     listed = hits.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("seen", "token"))).alias("hits"))
     kept = F.slice("hits", F.lit(1), (F.size("hits") - promise + 1).cast("int"))
     strong = written(
@@ -280,43 +284,63 @@ class Trie:
         self.runs[node], self.below[node], self.ends[node] = self.runs[node][:keep], [child], []
         self.depth[node] = common
 
+    def _levels(self) -> list[tuple[np.ndarray, ...]]:
+        """Nodes by their number of ancestors: place of the parent one level up, where the run starts
+        in all runs one after the other, its length, and depth and span."""
+        sizes = np.array([len(r) for r in self.runs], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        spans, depth = np.array(self.spans, np.int64).reshape(-1, 2), np.array(self.depth, np.int64)
+        self.flat = np.concatenate(self.runs).astype(np.int64)
+        out, nodes = [], np.array(self.roots, np.int64)
+        parents = np.zeros(len(nodes), np.int64)
+        while len(nodes):
+            out.append((nodes, parents, starts[nodes], sizes[nodes], depth[nodes], spans[nodes, 0], spans[nodes, 1]))
+            below = [self.below[n] for n in nodes.tolist()]
+            parents = np.repeat(np.arange(len(nodes)), [len(b) for b in below])
+            nodes = np.array([c for b in below for c in b], np.int64)
+        return out
+
     def partners(self, present: np.ndarray, n: int) -> Iterator[int]:
-        """Members that link with a set of ``n`` shingles, given as a flag per rank."""
-        todo = [(node, 0) for node in self.roots]
-        while todo:
-            node, overlap = todo.pop()
-            low, high = self.spans[node]
-            done = self.depth[node] - len(self.runs[node])
-            if not _reachable(overlap, done, n, low, high):
-                continue
-            overlap += int(np.count_nonzero(present[self.runs[node]]))
-            depth = self.depth[node]
-            if not _reachable(overlap, depth, n, low, high):
-                continue
-            if self.ends[node] and WHOLE * overlap >= PART * (n + depth - overlap):
-                yield from self.ends[node]
-            todo += [(child, overlap) for child in self.below[node]]
-
-
-def _reachable(overlap: int, depth: int, n: int, low: int, high: int) -> bool:
+        """Members that link with a set of ``n`` shingles, given as a flag per rank.
+
+        All nodes of a level are visited together; those out of reach are left with all below them.
+        """
+        if not hasattr(self, "levels"):
+            self.levels = self._levels()
+        above = np.zeros(1, np.int64)
+        for nodes, parents, starts, sizes, depth, low, high in self.levels:
+            overlap = above[parents]
+            alive = np.flatnonzero((overlap >= 0) & _reachable(overlap, depth - sizes, n, low, high))
+            if len(alive) == 0:
+                return
+            length = sizes[alive]
+            begins = np.cumsum(length) - length
+            at = np.repeat(starts[alive] - begins, length) + np.arange(length.sum())
+            found = overlap[alive] + np.add.reduceat(present[self.flat[at]], begins, dtype=np.int64)
+            for k in np.flatnonzero(WHOLE * found >= PART * (n + depth[alive] - found)).tolist():
+                yield from self.ends[nodes[alive[k]]]
+            above = np.full(len(nodes), -1, np.int64)
+            still = _reachable(found, depth[alive], n, low[alive], high[alive])
+            above[alive[still]] = found[still]
+
+
+def _reachable(overlap, depth, n: int, low, high) -> np.ndarray:
     """Whether a set of ``low`` to ``high`` ranks, ``depth`` of them passed, can still link."""
-    size = min(max(n - overlap + depth, low), high)
-    most = min(overlap + size - depth, n)
+    size = np.clip(n - overlap + depth, low, high)
+    most = np.minimum(overlap + size - depth, n)
     return WHOLE * most >= PART * (n + size - most)
 
 
 class _Ranks:
-    """Ranks of the shingles of some sets: those most sets share come first."""
+    """Ranks of the shingles of some sets, in the global order of their values. That order is random, so
+    similar sets share the upper nodes of a trie without making it deep."""
 
     def __init__(self, sets: list[np.ndarray]) -> None:
-        kinds, often = np.unique(np.concatenate(sets), return_counts=True)
-        self.kinds = kinds
-        self.rank = np.empty(len(kinds), ">u4")  # big-endian, so bytes sort as numbers
-        self.rank[np.lexsort((kinds, -often))] = np.arange(len(kinds))
+        self.kinds = np.unique(np.concatenate(sets))
 
     def of(self, s: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.kinds, s), len(self.kinds) - 1)
-        return np.sort(self.rank[at[self.kinds[at] == s]])
+        return at[self.kinds[at] == s].astype(">u4")  # big-endian, so bytes sort as numbers
 
     def flags(self, ranks: np.ndarray) -> np.ndarray:
         present = np.zeros(len(self.kinds), bool)
@@ -490,10 +514,11 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     hits = _shared_prefixes(texts, frequent_shingles(texts))
     groups = written(_candidate_groups(sets, hits), "candidate-groups")
     whole = _group_sets(texts, sets, groups)
-    counts = whole.groupBy("root").agg(F.count("*").alias("size"))
+    fits = (F.count("*") <= GROUP) & (F.sum("n") <= GROUP_SHINGLES)
+    counts = whole.groupBy("root").agg(F.count("*").alias("size"), fits.alias("fits"))
     sized = whole.join(counts, "root")
-    links = _small_links(sized.filter((F.col("size") <= GROUP) & (F.col("size") > 1)).drop("size"))
-    large = _large_links(sized.filter(F.col("size") > GROUP).drop("size"))
+    links = _small_links(sized.filter(F.col("fits") & (F.col("size") > 1)).drop("size", "fits"))
+    large = _large_links(sized.filter(~F.col("fits") & (F.col("size") > 1)).drop("size", "fits"))
     links = links if large is None else links.unionByName(large)
     parts = components(links.select(_node("ua", "ub").alias("u"), _node("va", "vb").alias("v")))
     labelled = sets.join(parts, _node("a", "b") == F.col("node"), "left").select("a", "b", "doc_id", "root")

@@ -518,7 +518,7 @@ def components_by_force(rows):
     return Counter((r[0], len(sets[i]), min(least[root(i)], default=None)) for i, r in enumerate(rows))
 
 
-@pytest.mark.parametrize("group", [400, 2])
+@pytest.mark.parametrize("group", [2000, 2])
 def test_components_equal_brute_force(spark, docs, rows, empty, monkeypatch, group):
     monkeypatch.setattr(ngram_join, "GROUP", group)
     monkeypatch.setattr(ngram_join, "PIVOTS", 64 if group > 2 else 2)
