@@ -25,6 +25,8 @@ ORDER = 3
 # Documents per language that the trees are learned from, chosen by a hash of id and text.
 SAMPLE_DOCUMENTS = 400
 UNDETERMINED = "und"
+MOST_LANGUAGES = 1000
+_DRAWS = 1 << 40
 # A context met less often in training stays out of the trees.
 MET = 4
 _PIECE = 1 << 19
@@ -160,17 +162,20 @@ def training_rows(
 ) -> DataFrame:
     """At most ``limit`` documents of each language, those with the smallest hashes.
 
-    Counts narrow the rows down to about three times as many before texts are ranked, so hot
-    languages don't meet in one task.
+    Counts narrow the rows down to about three times as many where they are read, so no other text
+    is shuffled and a hot language does not meet in one task.
     """
     known = docs.filter(chosen & F.col(label).isNotNull() & (F.length(text) > 0)).select(
         F.col(label).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit("lang"), doc_id, text).alias("h")
     )
-    counts = docs.filter(chosen & F.col(label).isNotNull()).groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.least(F.lit(1.0), F.lit(3.0 * limit) / F.col("_n"))
-    few = known.join(counts, F.col("lang") == F.col("_l")).filter(
-        F.pmod("h", F.lit(1 << 20)) < F.greatest(share * (1 << 20), F.lit(1))
-    )
+    counts = docs.filter(chosen & F.col(label).isNotNull()).groupBy(F.col(label).alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not found:
+        return known.select("lang", "text").limit(0)
+    below = F.create_map(*[F.lit(v) for r in found for v in (r["l"], int(min(1.0, 3.0 * limit / r["n"]) * _DRAWS))])
+    few = known.filter(F.pmod("h", F.lit(_DRAWS)) < F.element_at(below, F.col("lang")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     return few.withColumn("_r", rank).filter(F.col("_r") <= limit).select("lang", "text")
 
