@@ -94,7 +94,7 @@ def test_canonical_json_of_numbers_is_exact_or_absent(spark):
     numbers += [str(rng.randrange(10 ** rng.randint(1, 50))) for _ in range(40)]
     numbers += [repr(rng.uniform(-10, 10) * 10 ** rng.randint(-8, 18)) for _ in range(200)]
     numbers += [f"{rng.randrange(1000)}.{rng.randrange(1, 100)}" for _ in range(60)]
-    documents = [f'{{"t":"1.0 e \\\\" 1e5","a":[{n},{{"b":{n}}}]}}' for n in numbers]
+    documents = [f'{{"t":"1.0 e \\" 1e5","a":[{n},{{"b":{n}}}]}}' for n in numbers]
     documents += ['{"a":1,"a":2}', '{"t":"' + "x1.0\\n" * 9000 + '","a":7}']
     frame = spark.createDataFrame(list(enumerate(documents)), "i int, d string")
     found = dict(frame.select("i", canonical_json(F.col("d"))).collect())

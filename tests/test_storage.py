@@ -279,7 +279,8 @@ def test_evidence_of_a_whole_run(spark, tmp_path):
     metadata = write(tmp_path / "files" / "x.csvw", json.dumps(metadata_document()))
     manifest = land(spark, tmp_path)
     landed = manifest.filter("kind = 'csv'").first()["sha256"]
-    layers = census.run_extract(spark, csv, metadata, str(tmp_path / "out"), "run-9", source_checksum=landed)
+    layers = census.run_extract(spark, csv, metadata, str(tmp_path / "out"), "run-9",
+                                source_checksum=landed, loaded_at="2026-01-01 00:00:00+00:00")
     evidence = collect_evidence(layers.summary, manifest, census.run_suite(layers, SAMPLE_TOTALS))
     found = {(r["section"], r["item"]): r["value"] for r in evidence.collect()}
     digests = {r["kind"]: r["sha256"] for r in manifest.collect()}
