@@ -32,7 +32,7 @@ HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 4000, 0.005, 20
 # A task flushes its prefix shingles when it holds so many.
 _HELD = 1 << 21
 # Members, and shingles of all of them, that one task compares with each other; pivots of a larger group.
-GROUP, GROUP_SHINGLES, PIVOTS = 2000, 4_000_000, 256
+GROUP, GROUP_SHINGLES, PIVOTS = 20_000, 4_000_000, 256
 # Ids of documents whose sets are needed; broadcast up to this number, else shuffled.
 BROADCAST_IDS = 500_000
 # Rank of a frequent shingle among a document's: after all that were counted.
@@ -382,6 +382,36 @@ def joined(sets: list[np.ndarray], pivots: list[np.ndarray] | None = None) -> li
     return links
 
 
+def joined_group(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what all links within a group connect.
+
+    Members known to be connected need no comparison: all are compared with some pivots, and what is then
+    outside the largest connected part is compared with all, in blocks.
+    """
+    if len(sets) <= PIVOTS:
+        return joined(sets)
+    links: list[tuple[int, int]] = []
+    parent: dict[int, int] = {}
+    open_members = list(range(len(sets)))
+    pivots = open_members[:: -(-len(sets) // PIVOTS)]
+    anchor = None
+    while pivots:
+        for i, j in joined(sets, [sets[p] for p in pivots]):
+            u, v = i if i >= 0 else pivots[-1 - i], pivots[j]
+            if _root(parent, u) != _root(parent, v):
+                parent[_root(parent, u)] = _root(parent, v)
+                links.append((u, v))
+        if anchor is None:  # a member of the part that counts as settled from now on
+            labels = [_root(parent, i) for i in range(len(sets))]
+            kinds, often = np.unique(labels, return_counts=True)
+            anchor = int(kinds[often.argmax()])
+        done = set(pivots)
+        main = _root(parent, anchor)
+        open_members = [i for i in open_members if i not in done and _root(parent, i) != main]
+        pivots = open_members[: 8 * PIVOTS]
+    return links
+
+
 # --- groups ----------------------------------------------------------------------------------------
 
 
@@ -420,7 +450,7 @@ def _small_links(members: DataFrame) -> DataFrame:
         rows = [r for batch in batches for r in batch.to_pylist()]
         sets = [np.frombuffer(r["shingles"], "<u8") for r in rows]
         found = [
-            (rows[i]["a"], rows[i]["b"], rows[j]["a"], rows[j]["b"]) for i, j in joined(sets)
+            (rows[i]["a"], rows[i]["b"], rows[j]["a"], rows[j]["b"]) for i, j in joined_group(sets)
         ]
         yield from record_batches(found, _LINKS)
 

@@ -546,6 +546,28 @@ def test_trie_finds_every_partner():
         assert near == {j for j, t in enumerate(sets) if linked(t)}
 
 
+def test_large_groups_are_connected_alike(monkeypatch):
+    monkeypatch.setattr(ngram_join, "PIVOTS", 3)
+    rng = random.Random(2)
+    for _ in range(30):
+        base = [rng.sample(range(90), 30) for _ in range(3)]
+        sets = []
+        for _ in range(40):
+            b = rng.choice(base)
+            sets.append(np.array(sorted({*rng.sample(b, len(b) - rng.randint(0, 7)), *rng.sample(range(90), rng.randint(0, 2))}), np.uint64))
+
+        def parts(links):
+            parent: dict[int, int] = {}
+            for i, j in links:
+                parent[ngram_join._root(parent, i)] = ngram_join._root(parent, j)
+            least: dict[int, int] = {}
+            for i in range(len(sets)):
+                least.setdefault(ngram_join._root(parent, i), i)
+            return [least[ngram_join._root(parent, i)] for i in range(len(sets))]  # noqa: B023
+
+        assert parts(ngram_join.joined_group(sets)) == parts(ngram_join.joined(sets))
+
+
 def test_prefixes_of_linked_sets_share_what_is_promised():
     rng = np.random.default_rng(3)
     hot = np.sort(rng.choice(400, 30, replace=False).astype(np.uint64))
