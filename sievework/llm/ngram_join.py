@@ -30,7 +30,7 @@ PART, WHOLE = 80, 100
 # The list only moves shingles to the end of the order: any list gives the same links.
 HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 4000, 0.005, 20
 # A task flushes its prefix shingles when it holds so many.
-_HELD = 1 << 21
+_HELD = 1 << 19
 # Members, and shingles of all of them, that one task compares with each other; pivots of a larger group.
 GROUP, GROUP_SHINGLES, PIVOTS = 20_000, 4_000_000, 256
 # Ids of documents whose sets are needed; broadcast up to this number, else shuffled.
