@@ -1,13 +1,17 @@
 """Benchmark passages inside documents, by SimHash of item-sized windows.
 
-Every window of a document that is as long as an item gets a 64-bit SimHash of its runs of five words.
+Every window of a document that is as long as an item gets a 64-bit SimHash of its runs of five words,
+where each occurrence of a run within the window counts as a shingle of its own, with bits of its own.
 Fingerprints are cut into five blocks. Two fingerprints that differ in at most ``RADIUS`` = 24 bits differ in at
 most four bits of some block, so an index of every block value within four bits of an item's
 finds all pairs within the radius. The pairs found are compared exactly: the sum of the smaller over
 the sum of the larger weights of all shingles, where a shingle weighs as often as it occurs.
 
-Windows without any shingle of the benchmark have similarity 0 and need no fingerprint. Windows at
-similarity 0.8 differ in about 10 of 64 bits (deviation 2.9), so one beyond 24 is a matter of 1 in a million.
+Windows without any shingle of the benchmark have similarity 0 and need no fingerprint. The similarity is
+that of the sets of (shingle, occurrence), whose bits are independent, however often a shingle repeats: windows
+at 0.8 differ in about 10 of 64 bits (deviation 2.9). By the binomial distribution at most 3 in a million windows
+of full length lie beyond 24; of texts shorter than the item at most 9 in a million, but 1 in 8,000 of those
+of 8 words that are the most of an item of 9.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.common import as_bytes, record_batches, written
-from sievework.llm.shingles import WIDTH, shingle_hashes, word_hashes
+from sievework.llm.shingles import WIDTH, mixed, shingle_hashes, word_hashes
 
 SIMILARITY = 0.8
 RADIUS = 24
@@ -33,18 +37,40 @@ _ERRORS = RADIUS // len(_BLOCKS)
 # Items, and bytes of their texts, that one pass over the documents compares with.
 ITEM_BLOCK, ITEM_BYTES = 1000, 16 << 20
 _SIEVE = 20  # bits of the first test whether a shingle is one of the benchmark's
+_OCCURRENCE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def occurrences(shingles: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of (shingle, occurrence) that each place brings into the run of ``width`` shingles ending
+    there, and of the one that the run starting there loses when it moves on."""
+    order = np.argsort(shingles, kind="stable")
+    owner = np.concatenate(([0], (shingles[order][1:] != shingles[order][:-1]).cumsum()))
+    # places in order within each shingle, those of different shingles further apart than a run
+    places = owner * (len(shingles) + width) + order
+    rank = np.arange(len(shingles))
+    before, behind = np.empty((2, len(shingles)), np.uint64)
+    before[order] = rank - np.searchsorted(places, places - width, side="right")
+    behind[order] = np.searchsorted(places, places + width) - rank - 1
+    return tuple(np.where(n > 0, mixed(shingles + n * _OCCURRENCE), shingles) for n in (before, behind))
 
 
 def fingerprints(shingles: np.ndarray, width: int, starts: np.ndarray) -> np.ndarray:
-    """SimHash of the runs of ``width`` shingles at the given starts."""
+    """SimHash of the runs of ``width`` shingles at the given starts, as sets of (shingle, occurrence)."""
+    gained, lost = occurrences(shingles, width)
+    same = np.array_equal(gained, lost)  # nothing repeats
     out = np.zeros(len(starts), np.uint64)
     for bit in range(64):
-        votes = ((shingles >> np.uint64(bit)) & np.uint64(1)).astype(np.int32) * 2 - 1
-        sums = np.concatenate(([0], votes.cumsum()))
-        out |= (sums[starts + width] > sums[starts]).astype(np.uint64) << np.uint64(bit)
+        sums = _votes(gained, bit)
+        less = sums if same else _votes(lost, bit)
+        out |= (sums[starts + width] > less[starts]).astype(np.uint64) << np.uint64(bit)
     return out
 
 
+def _votes(hashes: np.ndarray, bit: int) -> np.ndarray:
+    votes = ((hashes >> np.uint64(bit)) & np.uint64(1)).astype(np.int32) * 2 - 1
+    return np.concatenate(([0], votes.cumsum()))
+
+
 def _near_values(bits: int) -> np.ndarray:
     """All differences of at most ``_ERRORS`` bits."""
     return np.array(

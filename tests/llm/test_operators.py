@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -151,6 +152,31 @@ def test_index_finds_every_fingerprint_within_the_radius():
     assert all(far)
 
 
+def test_repeated_filler_stays_within_the_radius():
+    rng = random.Random(5)
+    for trial in range(40):
+        words, level = (100, 120, 200, 270, 400)[trial % 5], (0.80, 0.85)[trial % 2]
+        item = sentence(rng, words).split(" ")
+        # the copy's tail is one repeated word, as long as the similarity allows
+        tail = words - 4 - math.ceil(2 * (words - 4) * level / (1 + level))
+        copy = " ".join(item[:-tail] + ["x"] * tail)
+        for text, wanted in ((copy, " ".join(item)), (" ".join(item), copy)):
+            assert level <= best_window(text, wanted) < level + 0.02
+            [text_words] = word_hashes([f"{sentence(rng, 9)} {text} {sentence(rng, 9)}".encode()])
+            assert decontaminate.Benchmark([(trial, wanted.encode())]).matches(text_words), (words, level)
+
+
+def test_fingerprints_are_those_of_sets_of_occurrences():
+    rng = np.random.default_rng(2)
+    shingles = rng.integers(0, 2**63, 12, dtype=np.uint64)[rng.integers(0, 12, 300)]
+    for width in (1, 2, 7, 40, 300):
+        starts = np.arange(len(shingles) - width + 1)
+        alone = [decontaminate.fingerprints(shingles[s : s + width], width, np.zeros(1, np.int64))[0] for s in starts]
+        assert decontaminate.fingerprints(shingles, width, starts).tolist() == alone
+    gained, lost = decontaminate.occurrences(shingles, len(shingles))
+    assert sorted(gained) == sorted(lost) and len(set(gained.tolist())) == len(shingles)
+
+
 # --- 2 ---------------------------------------------------------------------------------------------
 
 
