@@ -12,6 +12,9 @@ that of the sets of (shingle, occurrence), whose bits are independent, however o
 at 0.8 differ in about 10 of 64 bits (deviation 2.9). By the binomial distribution at most 3 in a million windows
 of full length lie beyond 24; of texts shorter than the item at most 9 in a million, but 1 in 8,000 of those
 of 8 words that are the most of an item of 9.
+
+An item of n < 5 words is one run of n words, and so is each window of its size: it is found wherever exactly
+these words stand in a row, so an item of one word in every text with that word. Such runs are looked up as they are.
 """
 
 from __future__ import annotations
@@ -84,6 +87,12 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, bytes]]) -> None:
         kept = [(i, w) for (i, _), w in zip(items, word_hashes([t for _, t in items])) if len(w)]
+        # items below the width of a shingle: their run and id, by number of words
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, w in kept:
+            if len(w) < WIDTH:
+                self.short.setdefault(len(w), {}).setdefault(int(shingle_hashes(w)[0]), []).append(i)
+        kept = [(i, w) for i, w in kept if len(w) >= WIDTH]
         self.ids = [i for i, _ in kept]
         self.words = np.array([len(w) for _, w in kept], np.int64)
         self.shingles = [shingle_hashes(w) for _, w in kept]
@@ -142,6 +151,20 @@ class Benchmark:
     def matches(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity) of the best window for each item that has one of
         at least ``SIMILARITY``; the first of equally good ones."""
+        return self._long_matches(words) + self._short_matches(words)
+
+    def _short_matches(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
+        found = []
+        for size, items in self.short.items():
+            if len(words) < size:
+                continue
+            runs, first = np.unique(shingle_hashes(words, size), return_index=True)
+            known = np.isin(runs, np.fromiter(items, np.uint64, len(items)))
+            for run, start in zip(runs[known].tolist(), first[known].tolist()):
+                found += [(i, start, size, 1.0) for i in items[run]]
+        return found
+
+    def _long_matches(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
         shingles = shingle_hashes(words)
         hits = self.hits(shingles)
         if len(hits) == 0:

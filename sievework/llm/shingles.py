@@ -95,12 +95,12 @@ def _long_text(text: bytes) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
-    """Hash of each run of five words, repeats included; a shorter text is one run as a whole."""
+def shingle_hashes(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Hash of each run of ``width`` (at most five) words, repeats included; a shorter text is one run as a whole."""
     n = len(hashes)
     if n == 0:
         return hashes
-    width = min(n, WIDTH)
+    width = min(n, width)
     total = np.full(n - width + 1, width, np.uint64)
     for i in range(width):
         total += mixed(hashes[i : n - width + 1 + i]) * _PLACES[i]

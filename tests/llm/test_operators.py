@@ -166,6 +166,23 @@ def test_repeated_filler_stays_within_the_radius():
             assert decontaminate.Benchmark([(trial, wanted.encode())]).matches(text_words), (words, level)
 
 
+def test_short_items_are_found_inside_long_texts():
+    rng = random.Random(6)
+    texts = [sentence(rng, 300), "One two three FOUR", "two", "three four", f"{sentence(rng, 40)} two three {sentence(rng, 40)} two three"]
+    words = texts[0].split(" ")
+    items = [(n, " ".join(words[150 : 150 + n])) for n in (1, 2, 3, 4, 5, 30)]
+    items += [(41, "two"), (42, "two  Three"), (43, "two three"), (44, "one two three four"), (45, "four three")]
+    bench = decontaminate.Benchmark([(i, t.encode()) for i, t in items])
+    for text, hashes in zip(texts, word_hashes([t.encode() for t in texts])):
+        found = bench.matches(hashes)
+        assert sorted(m[0] for m in found) == sorted(i for i, t in items if best_window(text, t) >= 0.8)
+        for i, start, n, similarity in found:
+            item = dict(items)[i]
+            assert n == len(words_of(item)) and similarity == best_window(" ".join(words_of(text)[start : start + n]), item) == 1
+    [far] = word_hashes([texts[4].encode()])
+    assert {m[0]: m[1] for m in bench.matches(far)} == {41: 40, 42: 40, 43: 40}
+
+
 def test_fingerprints_are_those_of_sets_of_occurrences():
     rng = np.random.default_rng(2)
     shingles = rng.integers(0, 2**63, 12, dtype=np.uint64)[rng.integers(0, 12, 300)]
