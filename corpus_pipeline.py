@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 from sievework.llm import binary_records, decontaminate, language, mixing, ngram_join
 from sievework.llm.common import remainder, table, written
 
-# A text whose best language scores below this is rejected like one without letters.
+# A text whose best language scores below this is rejected like one without letters, unless its code is
+# shorter than the second language's by these bits in total: twice as likely, however many bytes say nothing.
 LEAST_SCORE = 0.5
+LEAST_MARGIN = 1.0
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: those undetermined or with a doubtful score go."""
+    """Documents whose language is known: those undetermined or between two languages go."""
     model = language.fit(docs, F.coalesce(remainder("doc_id", 5) != 0, F.lit(True)))
-    judged = language.predict_language(docs, model)
-    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    judged = language.predict_language(docs, model, margin=True)
+    clear = (F.col("score") >= LEAST_SCORE) | (F.col("margin") >= LEAST_MARGIN)
+    kept = (F.col("lang_pred") != language.UNDETERMINED) & clear
     return judged.filter(kept).select(*docs.columns)
 
 

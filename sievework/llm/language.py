@@ -189,30 +189,36 @@ def fit(docs: DataFrame, chosen: Column, limit: int = SAMPLE_DOCUMENTS, **names:
     return train(texts)
 
 
-def predict_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``.
+def predict_language(docs: DataFrame, model: Model, text: str = "text", margin: bool = False) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``, and on demand ``margin``.
 
     The language with the shortest code, ties by name; ``score`` is its share of 2^-bits over all
     languages, bits taken per byte and times ten so that long texts don't all score 1. A text that
     is NULL or has no letter is ``und`` with score 0 and NULL bits, and so is any text under a
     model without languages. Nothing but the text decides. Columns of these names are replaced.
+
+    ``margin`` is by how many bits in total the best language's code is shorter than the second's
+    (infinite if there is no other, 0 for ``und``). Bytes that cost all languages the same, as those of
+    numbers, tables or hex, lower the score but not the margin, and neither do further languages.
     """
-    names = ("lang_pred", "score", "bits_per_byte")
+    names = ("lang_pred", "score", "bits_per_byte", "margin")[: 4 if margin else 3]
     base = docs.drop(*names)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
     schema = StructType(list(base.schema.fields))
     schema = schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    if margin:
+        schema = schema.add("margin", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, scores, rates = verdicts(Model(*shared.value), as_bytes(batch, text))
-            arrays = [*batch.columns, pa.array(codes, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *names])
+            codes, *numbers = verdicts(Model(*shared.value), as_bytes(batch, text))
+            arrays = [pa.array(codes, pa.string()), *[pa.array(n, pa.float64()) for n in numbers]]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays[: len(names)]], names=[*batch.schema.names, *names])
 
     return base.mapInArrow(predict, schema)
 
 
-def verdicts(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[float], list[float | None]]:
+def verdicts(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[float], list[float | None], list[float]]:
     plain = [t if t and _LETTER.search(t.decode("utf-8", "replace")) else b"" for t in texts]
     if not model.languages:
         plain = [b""] * len(texts)
@@ -222,9 +228,12 @@ def verdicts(model: Model, texts: list[bytes | None]) -> tuple[list[str], list[f
     best = rates.argmin(axis=1)
     least = rates.min(axis=1)
     scores = 1 / np.exp2(10 * (least[:, None] - rates)).sum(axis=1)
+    second = np.partition(bits, 1, axis=1)[:, 1] if bits.shape[1] > 1 else np.full(len(texts), np.inf)
+    margins = second - bits.min(axis=1)
     empty = [not t for t in plain]
     return (
         [UNDETERMINED if e else model.languages[b] for e, b in zip(empty, best)],
         [0.0 if e else float(s) for e, s in zip(empty, scores)],
         [None if e else float(r) for e, r in zip(empty, least)],
+        [0.0 if e else float(m) for e, m in zip(empty, margins)],
     )

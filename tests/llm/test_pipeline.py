@@ -85,6 +85,21 @@ def test_each_stage_does_its_work(spark, tables):
         at += r["n_tokens"]
 
 
+def test_clean_texts_with_long_tables_are_kept(spark, tables):
+    rng = random.Random(12)
+
+    def table(n):
+        return "\n".join(" ".join(f"{rng.randrange(10**6):06d}" for _ in range(8)) for _ in range(n))
+
+    words = {lang: ["".join(rng.choices(letters, k=5)) for _ in range(30)] for lang, letters in
+             (("l1", "abcdef"), ("l2", "ghijkl"), ("l3", "mnopqr"), ("l4", "stuvwx"))}
+    rows = [(i, f"{sentence(rng, 50, w)}\n{table(4)}", lang) for lang, w in words.items() for i in range(50)]
+    # without a label, so nothing is learned from them
+    rows += [(900 + i, f"{sentence(rng, 20, w)}\n{table(800)}", None) for i, w in enumerate(words.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert ids(corpus_pipeline.identify(spark, docs, tables[0])) == Counter(r[0] for r in rows)
+
+
 def test_run_joins_the_stages(spark, tables):
     folder, _, _ = tables
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "decontamination", "mixing", "token_files"]
