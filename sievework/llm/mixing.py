@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import words, written
+from sievework.llm.common import tasks, words, written
 
 MOST = 3  # copies of a document, and multiple of its size that a source may reach
 _STEPS = 40
@@ -31,38 +31,52 @@ def source_targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
     """``source``, ``source_size``, ``target`` from rows of ``source`` and ``size``.
 
     Sources by code point, NULL last, weigh 1, 2, 3, repeating. A target is the source's share of
-    all words, at most ``most`` times its size; the excess goes to the others by weight.
+    all words, at most ``most`` times its size; the excess goes to the others by weight. Ranges of
+    sources are worked on apart, so no task holds them all.
     """
     sums = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    weighed = sums.withColumn("weight", ((F.row_number().over(ordered) - 1) % 3 + 1).cast("double"))
+    ranked = _with_sums_before(sums.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], ["one"])
     # Sharing again until none is above its cap ends at caps for the sources with the smallest cap
-    # per weight and one common share per weight for the others. Windows over one row per source.
+    # per weight and one common share per weight for the others.
     cap = (F.col("source_size") * most).cast("double")
-    by_cap = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    weighed = ranked.select(
+        "source", "source_size", (F.col("one_before") % 3 + 1).cast("double").alias("weight"), cap.alias("cap")
+    ).withColumn("ratio", F.col("cap") / F.col("weight"))
+    steps = written(
+        _with_sums_before(weighed, [F.col("ratio").asc(), F.col("source").asc_nulls_last()], ["cap", "weight"]),
+        "mix-shares",
     )
-    steps = (
-        weighed.withColumns({"cap": cap, "ratio": cap / F.col("weight")})
-        .withColumns(
-            {
-                "capped": F.coalesce(F.sum("cap").over(before), F.lit(0.0)),
-                "light": F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
-                "total": F.sum("source_size").over(whole).cast("double"),
-                "weights": F.sum("weight").over(whole),
-            }
-        )
-        # the share per weight if all sources before this one are at their caps
-        .withColumn("share", (F.col("total") - F.col("capped")) / (F.col("weights") - F.col("light")))
+    whole = steps.agg(F.sum("source_size").cast("double").alias("total"), F.sum("weight").alias("weights"))
+    # the share per weight if all sources before this one are at their caps
+    share = (F.col("total") - F.col("cap_before")) / (F.col("weights") - F.col("weight_before"))
+    held = F.when(share <= F.col("ratio"), share)
+    # It falls from the first that is not above its ratio on, also among equal ratios.
+    common = steps.crossJoin(F.broadcast(whole)).agg(F.max(held).alias("common"))
+    target = F.least(F.col("cap"), F.col("common") * F.col("weight"))
+    return steps.crossJoin(F.broadcast(common)).select(
+        "source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target")
     )
-    held = F.when(F.col("share") <= F.col("ratio"), F.col("share"))
-    shared = steps.withColumn(
-        "common", F.min_by(held, F.when(held.isNotNull(), F.col("ratio"))).over(whole)
+
+
+def _with_sums_before(rows: DataFrame, order: list[Column], names: list[str]) -> DataFrame:
+    """``rows`` with the sums ``<name>_before`` over all rows that come before in this order, without ties.
+
+    Tasks hold ranges of the order. Each sums up its own, and only the totals of the ranges, as many as
+    the exchange has partitions, meet in one task.
+    """
+    ranges = written(
+        rows.repartitionByRange(tasks(rows.sparkSession), *order).withColumn("_range", F.spark_partition_id()),
+        "mix-ranges",
     )
-    target = F.least(F.col("cap"), F.col("common") * F.col("weight"))
-    return shared.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
+    totals = ranges.groupBy("_range").agg(*[F.sum(n).alias(f"_{n}") for n in names])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("_range").alias("_of"), *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in names]
+    )
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = {f"{n}_before": F.coalesce(F.sum(n).over(within), F.lit(0)) + F.col(f"_{n}") for n in names}
+    joined = ranges.join(F.broadcast(offsets), F.col("_range") == F.col("_of"))
+    return joined.withColumns(before).select(*rows.columns, *before)
 
 
 def _rate(tilt: Column, x: Column, most: int) -> Column:

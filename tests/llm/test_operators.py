@@ -454,6 +454,28 @@ def test_targets_and_copies_of_uneven_sources(spark):
 # --- 7 ---------------------------------------------------------------------------------------------
 
 
+def test_targets_of_many_sources_need_no_single_task(spark, monkeypatch):
+    rng = random.Random(8)
+    sizes = {f"s{i}": rng.choice([0, 1, 5, 5, 70, 900]) for i in range(3000)} | {None: 40, "é": 3}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    plain, most_rows = mixing.written, []
+
+    def watched(df, name):
+        table = plain(df, name)
+        if name == "mix-ranges":
+            most_rows.append(max([r["count"] for r in table.groupBy("_range").count().collect()] or [0]))
+        return table
+
+    monkeypatch.setattr(mixing, "written", watched)
+    found = mixing.source_targets(frame)
+    want = shares_by_force(sizes)
+    got = {r["source"]: r for r in found.collect()}
+    assert len(got) == len(want) == found.count()
+    assert all(got[s]["source_size"] == n and got[s]["target"] == pytest.approx(want[s]) for s, n in sizes.items())
+    assert len(most_rows) == 2 and max(most_rows) < len(sizes) / 2
+    assert mixing.source_targets(frame.limit(0)).isEmpty()
+
+
 def test_rules_tell_quality(spark, docs, empty):
     rng = random.Random(2)
     made, marks = [], []
