@@ -183,6 +183,14 @@ def _byte_signs() -> list[str]:
 
 
 _BYTE_SIGNS = _byte_signs()
+_SIGN_BYTES = {sign: b for b, sign in enumerate(_BYTE_SIGNS)}
+
+
+def byte_of_sign(sign: str) -> int:
+    """The byte that a character of a byte-level vocabulary stands for."""
+    return _SIGN_BYTES[sign]
+
+
 _WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([^\w\s']*)")
 # white space other than the space itself, before a space
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]

@@ -11,10 +11,13 @@ from sievework.llm import (
     chat,
     decontaminate,
     language,
+    lexical_search,
     mixing,
     ngram_join,
+    piece_codec,
     quality,
     suffix_dedup,
+    token_alignment,
     topk,
     url_filter,
 )
@@ -23,6 +26,7 @@ from sievework.llm.common import remainder, table
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _query(function):
@@ -218,3 +222,59 @@ ORACLES["op10_ngram_join"] = f"""
     select documents.doc_id, coalesce(n, 0) as n_shingles, component_id
     from documents left join sizes using (doc_id) join parts using (doc_id)
 """
+
+
+@_query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = binary_records.tokenizer_file(public_tokenizers.path(TOKENIZER))
+    model = piece_codec.model_file(public_tokenizers.path(PIECES))
+    aligned = token_alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer, model)
+    return token_alignment.link_statistics(aligned, token_alignment.pair_width(model))
+
+
+@_query
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_codec.model_file(public_tokenizers.path(PIECES))
+    return piece_codec.digest_pieces(table(spark, sf_dir, "documents"), model)
+
+
+@_query
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _terms_sql(text: str) -> str:
+    lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+ORACLES["op13_lexical"] = f"""
+    with sized as (
+        select row_number() over () as row, doc_id, len(t) as n, t
+        from (select doc_id, {_terms_sql("text")} as t from documents) where len(t) > 0
+    ),
+    corpus as (select count(*) as docs, cast(sum(n) as bigint) as terms from sized),
+    wanted as (
+        select item, item_id, term, count(*) as times
+        from (select row_number() over () as item, item_id, unnest({_terms_sql("text")}) as term from benchmark)
+        group by all
+    ),
+    occurring as (
+        select row, doc_id, n, term, count(*) as tf
+        from (select row, doc_id, n, unnest(t) as term from sized)
+        where term in (select term from wanted) group by all
+    ),
+    weights as (
+        select term, cast(floor(1000 * ln((2.0::double * docs + 2) / (2 * df + 1))) as bigint) as w
+        from (select term, count(*) as df from occurring group by term), corpus
+    ),
+    scores as (
+        select item, item_id, row, doc_id,
+               cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) as bigint) as score
+        from wanted join weights using (term) join occurring using (term), corpus
+        group by all
+    )
+    select item_id, cast(place as integer) as rank, doc_id, score
+    from (select *, row_number() over (partition by item order by score desc, doc_id) as place from scores where score > 0)
+    where place <= 10
+"""
