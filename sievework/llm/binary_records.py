@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import as_bytes, record_batches, tasks, written
+from sievework.llm.common import record_batches, release_memory, tasks, written
 from sievework.session import fresh_folder
 
 # Constant and rotation of the mask.
@@ -44,8 +44,8 @@ _MASK, _TURN = 0xA282EAD8, 15
 _INDEX = np.dtype([("offset", "<u8"), ("ids", "<u8")])
 # A file is closed beyond this size and the task starts another one.
 FILE_BYTES = 256 << 20
-# Encodings of words kept by a task.
-_CACHE_WORDS = 200_000
+# Encodings of words kept by a worker, about so many bytes for each of two generations of two caches.
+_CACHE_BYTES = 32 << 20
 
 
 def masked(data: bytes) -> int:
@@ -77,23 +77,26 @@ def payload_of(data: bytes, at: int = 0) -> tuple[bytes, int]:
 
 
 class WordCache(dict):
-    """Ids, as bytes, of text between two word boundaries, encoded when first met. The entries of the
-    last but one generation are kept until they are met again or replaced."""
+    """Ids, as bytes, of text between two word boundaries, encoded when first met. A generation ends at
+    ``_CACHE_BYTES``; the entries of the one before are kept until they are met again or replaced."""
 
     def __init__(self, encode: Callable[[str], bytes]) -> None:
         super().__init__()
         self.encode = encode
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
             ids = self.encode(part)
         if len(part) < 64:
-            if len(self) >= _CACHE_WORDS:
+            if self.size >= _CACHE_BYTES:
                 self.older = dict(self)
                 self.clear()
+                self.size = 0
             self[part] = ids
+            self.size += 180 + len(part) + len(ids)
         return ids
 
 
@@ -115,6 +118,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.in_parts = _is_byte_level(json.loads(content))
+        self.model = self.tokenizer.model
         self.first, self.rest = WordCache(self._part), WordCache(lambda part: self._part(part, " "))
 
     def _packed(self, ids: list[int]) -> bytes:
@@ -127,18 +131,23 @@ class Encoder:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str, lead: str = "") -> bytes:
-        left, line, right = part.partition("\n")
-        if line and left and right and not (left[-1].isspace() or right[0].isspace()):
-            before = self.rest[left] if lead else self.first[left]
-            return before + self.first["\n"] + self.first[right]
+        if part.isalpha():
+            piece = lead + part
+            if part.isascii():
+                piece = _BYTE_SIGNS[32] + part if lead else part
+            else:
+                piece = "".join(map(_BYTE_SIGNS.__getitem__, piece.encode()))
+            return self._packed([t.id for t in self.model.tokenize(piece)])
+        if "\n" in part:
+            head, *lines = _LINES.split(part)
+            if lines:
+                before = self.rest[head] if lead else self.first[head]
+                return before + b"".join(map(self.first.__getitem__, lines))
         found = _WORD_AND_SIGNS.fullmatch(part)
         if not found or not found[1].isalpha():
             return self._encoded(lead + part)
-        if found[2]:
-            word = self.rest[found[1]] if lead else self.first[found[1]]
-            return word + self.first[found[2]]
-        piece = "".join(map(_BYTE_SIGNS.__getitem__, (lead + part).encode()))
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(piece)])
+        word = self.rest[found[1]] if lead else self.first[found[1]]
+        return word + self.first[found[2]]
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -191,7 +200,9 @@ def byte_of_sign(sign: str) -> int:
     return _SIGN_BYTES[sign]
 
 
-_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([^\w\s']*)")
+# Places around a single newline between other characters than white space.
+_LINES = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+_WORD_AND_SIGNS = re.compile(r"([^\W\d_]+)([^\w\s']+)")
 # white space other than the space itself, before a space
 _SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
 _ANY_BEFORE_SPACE = [c + " " for c in _SPACES]
@@ -230,7 +241,7 @@ def write_records(
     """Encode every text, write the records in ascending id order and return the manifest.
 
     ``tokenizer`` is the content of a tokenizers file. A NULL or empty text is a sequence of the
-    end id alone. Rows of equal id follow each other by text, NULL first; rows repeated in full
+    end id alone. Rows of equal id follow each other by their text's hash and then by text; rows repeated in full
     give as many records. A NULL id comes first and is written as the smallest number. Other
     columns are ignored. No rows give an empty manifest.
 
@@ -239,6 +250,7 @@ def write_records(
     ``number`` give the order of the files.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     shared = spark.sparkContext.broadcast(tokenizer)
     schema = pa.schema(
         [("file", pa.string()), ("part", pa.int32()), ("number", pa.int32())]
@@ -250,14 +262,14 @@ def write_records(
 
         part = TaskContext.get().partitionId()
         encode, out, number = None, None, 0
+        release_memory()
         for batch in batches:
             encode = encode or worker_encoder(shared.value, end_id)
             width = bytes([encode.dtype.itemsize])
-            ids = batch.column("id").to_pylist()
-            for key, value in zip(ids, batch.column("text").to_pylist()):
+            for key, value in zip(batch.column("id").to_pylist(), batch.column("text")):
                 if out is None:
                     out = _RecordFile(folder, f"{part:06d}-{number:05d}")
-                out.add(struct.pack("<q", key) + width + encode(value), encode.dtype.itemsize)
+                out.add(struct.pack("<q", key) + width + encode(value.as_py()), encode.dtype.itemsize)
                 if out.size >= file_bytes:
                     yield out.close(part, number, schema)
                     out, number = None, number + 1
@@ -268,18 +280,17 @@ def write_records(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("id"),
         F.col(text).alias("text"),
     )
-    ranged = rows.repartitionByRange(parts or tasks(spark), "id", F.xxhash64("text"), "text")
-    return written(
-        ranged.sortWithinPartitions("id", "text").mapInArrow(write, _MANIFEST), "record-manifest"
-    )
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    # ranges by id and hash: the driver samples keys, so they hold no text
+    ranged = rows.repartitionByRange(parts or tasks(spark), "id", "hash").sortWithinPartitions("id", "hash", "text")
+    return written(ranged.select("id", "text").mapInArrow(write, _MANIFEST), "record-manifest")
 
 
 class _RecordFile:
     def __init__(self, folder: str, name: str) -> None:
         # a name of its own for each attempt: repeated tasks never write the same file
-        uri = f"{folder}/{name}-{uuid.uuid4().hex[:12]}.records"
-        self.store, self.path = fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-        self.uri = uri
+        self.uri = f"{folder}/{name}-{uuid.uuid4().hex[:12]}.records"
+        self.store, self.path = _opened(self.uri)
         self.store.create_dir(os.path.dirname(self.path), recursive=True)
         self.stream = self.store.open_output_stream(self.path)
         self.size = self.ids = 0
@@ -302,7 +313,8 @@ class _RecordFile:
 
 
 def _opened(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    # Hadoop writes a local file as file:/path
+    return fs.FileSystem.from_uri(f"file://{uri[5:]}" if uri.startswith("file:/") and "://" not in uri else uri)
 
 
 def read_index(uri: str) -> np.ndarray:
@@ -374,3 +386,10 @@ def read_records(manifest: DataFrame) -> DataFrame:
 
 def record_folder(spark) -> str:
     return fresh_folder(spark, "records")
+
+
+def qualified(spark, folder: str) -> str:
+    """``folder`` with its scheme: for Spark, a path without one lies on the session's default file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString()

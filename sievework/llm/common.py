@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -46,6 +48,16 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def release_memory() -> None:
+    """Give memory that earlier tasks have freed back to the system: Spark reuses workers, and a C library keeps
+    what it once had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def as_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """UTF-8 bytes of a text column."""
     return batch.column(name).cast(pa.binary()).to_pylist()

@@ -365,7 +365,9 @@ def test_records_equal_plain_encoding(spark, docs, rows, empty, tmp_path):
     assert manifest.count() > 3
     got = sorted((tuple(r) for r in binary_records.read_records(manifest).collect()), key=lambda r: r[1])
     want, at = [], 0
-    for r in sorted(rows, key=lambda r: key((r[0] if r[0] is not None else -(2**63), r[1] is not None, r[1] or ""))):
+    # rows of one id lie by the hash of their text
+    hashes = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    for r in sorted(rows, key=lambda r: (r[0] if r[0] is not None else -(2**63), hashes[r[1]], r[1] or "")):
         ids = plain.encode(r[1] or "", add_special_tokens=False).ids + [2]
         want.append((r[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
@@ -378,17 +380,33 @@ def test_records_equal_plain_encoding(spark, docs, rows, empty, tmp_path):
     assert binary_records.read_records(none).isEmpty()
 
 
-def test_word_cache_keeps_every_boundary():
+def test_parts_keep_every_boundary():
     content = binary_records.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json"))
     plain, mine = Tokenizer.from_str(content), binary_records.Encoder(content, None)
     rng = random.Random(8)
-    signs = [" ", "  ", "\n", "\t", "a", "B1", "'s", "é", "\u00a0", "\u3000", "\u2028", "\x1c", "\x85", "漢字", "!?", "<|endoftext|>", "\r\n"]
-    for _ in range(3000):
-        text = "".join(rng.choices(signs, k=rng.randint(0, 12)))
+    signs = [" ", "  ", "\n", "\t", "a", "B1", "'s", "é", "\u00a0", "\u3000", "\u2028", "\x1c", "\x85", "漢字", "!?", "<|endoftext|>",
+             "\r\n", "endoftext", "|>", "<|", "ing,", "can't", "_", "²", "\u0301"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 12))) for _ in range(6000)]
+    for text in texts:
         ids = np.frombuffer(mine(text), mine.dtype).tolist()
         assert ids == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_long_lines_and_many_lines_are_encoded():
+    content = binary_records.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain, mine = Tokenizer.from_str(content), binary_records.Encoder(content, None)
+    rng = random.Random(9)
+    lines = ["".join(rng.choices(LETTERS, k=rng.randint(1, 6))) for _ in range(100_000)]
+    texts = ["\n".join(lines), "".join(rng.choices("abcdé", k=1_000_000)), "\n" * 5000, "a,\n" * 5000]
+    for text in texts:
+        assert np.frombuffer(mine(text), mine.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_record_folders_carry_the_scheme_of_the_session(spark, tmp_path):
+    assert binary_records.qualified(spark, str(tmp_path)).startswith("file:/")
+    assert binary_records.qualified(spark, "file:///some/where") == "file:/some/where"
+
+
 def test_damaged_frames_are_noticed():
     data = binary_records.frame(b"payload") + binary_records.frame(b"")
     first, at = binary_records.payload_of(data)
