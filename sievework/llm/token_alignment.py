@@ -37,6 +37,7 @@ from sievework.llm.piece_codec import SPACE, PieceModel
 
 # Place before a space that follows another character than white space and is not the last character.
 _CHUNK = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+_SPACES = [chr(c) + " " for c in range(0x3001) if chr(c).isspace() and c != 32]
 # Pairs whose counts are broadcast at most (about 24 bytes each).
 HOT_PAIRS = 1 << 20
 # Characters of new chunks that are encoded together.
@@ -45,6 +46,14 @@ ENCODE_CHARS = 1 << 18
 _LARGE = 64
 
 
+def chunks_of(text: str) -> list[str]:
+    """A text, which begins with the added space, cut before each such space."""
+    parts = text[1:].split(" ")
+    if "" in parts or any(space in text for space in _SPACES):
+        return _CHUNK.split(text)
+    return [" " + part for part in parts]
+
+
 class Chunk(NamedTuple):
     """A chunk's alignment: tokens of A and B, groups, groups as text, links as pairs, and each pair's times (None: once each)."""
 
@@ -77,6 +86,7 @@ class Aligner:
             added[i] if i in added else bytes(byte_of_sign(c) for c in self.a.id_to_token(i) or "") for i in range(size)
         ]
         self.a_names, self.b_names = [str(i) for i in range(size)], self.b.names
+        self.a_sizes, self.b_sizes = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b.said])
         self.width = pair_width(model)
         self.memo = Memo(96 << 20)
 
@@ -86,7 +96,7 @@ class Aligner:
         new: list[str] = []
         held = 0
         for text in texts:
-            for chunk in _CHUNK.split(text):
+            for chunk in chunks_of(text):
                 if chunk in found:
                     continue
                 known = found[chunk] = self.memo.get(chunk)
@@ -100,18 +110,78 @@ class Aligner:
         return found
 
     def _align_all(self, new: list[str], found: dict[str, Chunk | None]) -> None:
-        if not new:
-            return
-        firsts = self.a.encode_batch(new, add_special_tokens=False)
+        # one after the other, chunks are a text that falls into them again, but for those that end in white space
+        plain = [c for c in new if not c[-1].isspace() and SPACE not in c]
+        done = self._align_joined(plain) if plain else []
+        if done is None:
+            done, plain = [], []
+        settled = dict(zip(plain, done))
+        for chunk in new:
+            aligned = settled.get(chunk) or self._align_one(chunk)
+            found[chunk] = aligned
+            if aligned:
+                self.memo.put(chunk, aligned, 250 + 40 * len(aligned.pairs) + len(aligned.groups))
+
+    def _align_one(self, chunk: str) -> Chunk | None:
+        a = self.a.encode(chunk, add_special_tokens=False)
         # every chunk begins with the space that B adds by itself
-        seconds = self.b.library.encode([c[1:] for c in new], return_type="proto", num_threads=1)
-        for chunk, a, b in zip(new, firsts, seconds):
-            pieces = b.pieces
-            done = found[chunk] = self.align(
-                chunk, a.ids, a.offsets, [p.id for p in pieces], [p.end for p in pieces]
-            )
-            if done:
-                self.memo.put(chunk, done, 250 + 40 * len(done.pairs) + len(done.groups))
+        b = self.b.library.encode(chunk[1:], return_type="proto").pieces
+        return self.align(chunk, a.ids, a.offsets, [p.id for p in b], [p.end for p in b])
+
+    def _align_joined(self, chunks: list[str]) -> list[Chunk | None] | None:
+        """Alignments of chunks that are encoded as one text, as :meth:`align` gives them; None for a chunk with a large group, and
+        None in all if the joined bytes of A or B are not the text's."""
+        text = "".join(chunks)
+        data = text.encode()
+        first = self.a.encode(text, add_special_tokens=False)
+        second = self.b.library.encode(text[1:], return_type="proto").pieces
+        a, b = first.ids, [p.id for p in second]
+        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b.said.__getitem__, b)) != data:
+            return None
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        spans = np.array(first.offsets, np.int64)
+        ends_b = np.fromiter((p.end for p in second), np.int64, len(b)) + 1
+        raw = np.frombuffer(data, np.uint8)
+        places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+        # spans end where their token does, unless the next token has bytes of the same character (A), or if they are empty (B)
+        inner_a = np.append(spans[1:, 0] < spans[:-1, 1], False)
+        inner_b = np.concatenate(([False], ends_b[1:] == ends_b[:-1]))
+        ends_a = places[spans[:, 1]]
+        if inner_a.any():  # only then can both end inside a character: where they do, by the tokens' bytes
+            ends_a[inner_a] = self.a_sizes[ids_a].cumsum()[inner_a]
+            ends_b[inner_b] = self.b_sizes[ids_b].cumsum()[inner_b]
+        else:
+            ends_b[inner_b] = 0
+        at = np.zeros(len(raw) + 1, np.uint8)
+        at[ends_a] = 1
+        at[ends_b] |= 2
+        at[0] = 0
+        cut_a = np.concatenate(([0], np.flatnonzero(at[ends_a] == 3) + 1))
+        cut_b = np.concatenate(([0], np.flatnonzero(at[ends_b] == 3) + 1))
+        n_a, n_b = np.diff(cut_a), np.diff(cut_b)
+        n_links = n_a * n_b
+        # every chunk ends with a group
+        last = np.searchsorted(ends_a[cut_a[1:] - 1], np.cumsum([len(c.encode()) for c in chunks])) + 1
+        large = np.flatnonzero(n_links > _LARGE)
+        small = np.where(n_links > _LARGE, 0, n_links)
+        group = np.repeat(np.arange(len(small)), small)
+        place = np.arange(len(group)) - np.repeat(small.cumsum() - small, small)
+        pairs = ids_a[cut_a[group] + place // n_b[group]] * self.width + ids_b[cut_b[group] + place % n_b[group]]
+        link_ends = small.cumsum()
+        names_a, names_b = [self.a_names[i] for i in a], [self.b_names[i] for i in b]
+        texts = [
+            f"{','.join(names_a[i:j])}|{','.join(names_b[k:l])}"
+            for i, j, k, l in zip(cut_a.tolist(), cut_a[1:].tolist(), cut_b.tolist(), cut_b[1:].tolist())
+        ]
+        pairs = pairs.tolist()
+        out: list[Chunk | None] = []
+        i = x = y = z = 0
+        for j, to_a, to_b, to in zip(last.tolist(), cut_a[last].tolist(), cut_b[last].tolist(), link_ends[last - 1].tolist()):
+            out.append(Chunk(to_a - x, to_b - y, j - i, ";".join(texts[i:j]), pairs[z:to], None))
+            i, x, y, z = j, to_a, to_b, to
+        for n in set(np.searchsorted(last, large, side="right").tolist()):
+            out[n] = None
+        return out
 
     def align(
         self, text: str, a: list[int], a_spans: list[tuple[int, int]], b: list[int], b_ends: list[int]
@@ -223,7 +293,7 @@ def align_documents(
                     to += 1
                 found = aligner.chunks([t for t in texts[at:to] if t])
                 for key, text in zip(keys[at:to], texts[at:to]):
-                    yield (row, key, *_document([found[c] for c in _CHUNK.split(text)] if text else [None]))
+                    yield (row, key, *_document([found[c] for c in chunks_of(text)] if text else [None]))
                     row += 1
                 at = to
 
