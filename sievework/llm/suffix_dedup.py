@@ -186,7 +186,8 @@ def _from_bytes(data: bytes) -> np.ndarray:
 
 
 def _bucketed(entries: np.ndarray, buckets: int, first: int) -> Iterator[tuple[int, bytes]]:
-    which = ((entries["h"] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    # an anchor is the smallest of many hashes, so its own leading bits are mostly 0
+    which = ((mixed(entries["h"]) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort((entries["h"], which))
     entries, which = entries[order], which[order]
     edges = np.flatnonzero(np.diff(which)) + 1
