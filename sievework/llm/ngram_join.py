@@ -154,7 +154,8 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 which = -1 - (key[late] % np.uint64(buckets)).astype(np.int64)
                 yield from _cut(which, token[late], key[late])
             token, key = token[~late], key[~late]
-            yield from _cut(((token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), token, key)
+            # prefixes hold small hashes, so their own leading bits are mostly 0
+            yield from _cut(((mixed(token) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), token, key)
 
         size = 0
         for batch in batches:
