@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 # About what a key and its place in a dict take besides the characters.
@@ -33,3 +34,25 @@ class Memo:
             self.older, self.newer, self.size = self.newer, {}, 0
         self.newer[key] = value
         self.size += _ENTRY + 2 * len(key) + more
+
+
+class Made(dict):
+    """A :class:`Memo` that makes missing values itself, so that what is held is found without a call."""
+
+    def __init__(self, make: Callable[[str], Any], most_bytes: int, longest: int = 64) -> None:
+        super().__init__()
+        self.make, self.half, self.longest = make, most_bytes // 2, longest
+        self.older: dict[str, Any] = {}
+        self.size = 0
+
+    def __missing__(self, key: str) -> Any:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if self.size >= self.half:
+                self.older, self.size = dict(self), 0
+                self.clear()
+            self[key] = value
+            self.size += _ENTRY + 2 * len(key) + 40 + 8 * len(value)
+        return value

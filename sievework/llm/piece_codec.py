@@ -17,6 +17,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
@@ -24,11 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.common import record_batches
-from sievework.llm.memo import Memo
+from sievework.llm.memo import Made
 
 SPACE = "▁"
 # A cut of a text: leading spaces and what follows them.
 _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+# Up to so many characters an agenda is a plain list.
+_SHORT = 40
+_NO_PIECE = float("inf")
 # Characters of texts that are encoded and checked together.
 CHECK_CHARS = 1 << 18
 
@@ -78,15 +82,48 @@ class PieceModel:
             self.said.append(said)
         if any(SPACE in piece.lstrip(SPACE) for piece in self.rank):
             raise ValueError("a piece has a space after another character")
+        self.score = {piece: score for piece, (score, _) in self.rank.items()}
         self.names = [str(i) for i in range(len(self.said))]
         self.byte_ids = set(self.bytes.values())
         self.spaced = {i for i, said in enumerate(self.said) if said[:1] == b" " and i not in self.byte_ids}
         self.spaced.discard(self.unknown)
         self.silent = {i for i, said in enumerate(self.said) if not said}
-        self.memo = Memo(64 << 20)
+        self.cuts = Made(self.agenda, 64 << 20)
 
     def agenda(self, text: str) -> tuple[int, ...]:
         """Ids of a text as it stands (spaces already U+2581)."""
+        symbols = self._in_list(text) if len(text) <= _SHORT else self._in_heap(text)
+        ids: list[int] = []
+        for symbol in symbols:
+            found = self.rank.get(symbol)
+            if found:
+                ids.append(found[1])
+            elif self.bytes:
+                ids += [self.bytes[b] for b in symbol.encode()]
+            elif ids[-1:] != [self.unknown]:  # neighbours that are unknown are one
+                ids.append(self.unknown)
+        return tuple(ids)
+
+    def _in_list(self, text: str) -> list[str]:
+        """Symbols of a short text: the agenda is the list of all pairs' scores, whose best is looked for each time."""
+        symbols = list(text)
+        score = self.score
+        agenda = [score.get(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == _NO_PIECE:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score.get(symbols[i] + symbols[i + 1], _NO_PIECE)
+            if i:
+                agenda[i - 1] = score.get(symbols[i - 1] + symbols[i], _NO_PIECE)
+        return symbols
+
+    def _in_heap(self, text: str) -> Iterator[str]:
+        """Symbols of a text of any length: the agenda is a heap, and pairs that are no more are passed over."""
         symbols = list(text)
         rank = self.rank
         n = len(symbols)
@@ -115,29 +152,14 @@ class PieceModel:
                 found = rank.get(symbols[near] + symbols[left])
                 if found:
                     heappush(agenda, (found[0], near, left, len(symbols[near]) + len(symbols[left])))
-        ids: list[int] = []
-        for symbol in filter(None, symbols):
-            found = rank.get(symbol)
-            if found:
-                ids.append(found[1])
-            elif self.bytes:
-                ids += [self.bytes[b] for b in symbol.encode()]
-            elif ids[-1:] != [self.unknown]:  # neighbours that are unknown are one
-                ids.append(self.unknown)
-        return tuple(ids)
+        return filter(None, symbols)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text, without an end id."""
-        ids: list[int] = []
         if not text:
-            return ids
-        for cut in _CUT.findall(self.prefix + text.replace(" ", SPACE)):
-            known = self.memo.get(cut)
-            if known is None:
-                known = self.agenda(cut)
-                self.memo.put(cut, known, 40 + 8 * len(known))
-            ids += known
-        return ids
+            return []
+        cuts = _CUT.findall(self.prefix + text.replace(" ", SPACE))
+        return list(chain.from_iterable(map(self.cuts.__getitem__, cuts)))
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: pieces joined, runs of bytes read as UTF-8, control ids silent, and without the

@@ -16,7 +16,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from sievework.llm import lexical_search, piece_codec, queries, token_alignment
-from sievework.llm.memo import Memo
+from sievework.llm.memo import Made, Memo
 
 TOKENIZER = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
 MODEL = open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read()
@@ -127,6 +127,10 @@ def test_memo_stays_within_its_bytes():
     memo.put("longer than eight", 1, 0)
     assert memo.get("longer than eight") is None
     assert len(memo.newer) + len(memo.older) < 1000
+    made = Made(lambda key: (len(key),), most_bytes=100_000, longest=8)
+    assert [made[f"{i % 3000:06d}"] for i in range(10_000)] == [(6,)] * 10_000
+    assert made["longer than eight"] == (17,) and "longer than eight" not in made
+    assert len(made) + len(made.older) < 1000
 
 
 # --- alignment -----------------------------------------------------------------------------------
