@@ -5,6 +5,7 @@ from sievework.catalogue import (  # noqa: F401
     gate_queries,
     landing_queries,
     storage_queries,
+    version_queries,
     warehouse_queries,
 )
 from sievework.catalogue.registry import ORACLES, QUERIES

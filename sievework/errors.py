@@ -15,3 +15,15 @@ class ArtifactError(SieveworkError):
 
 class ObjectConflictError(SieveworkError):
     """A landing key already belongs to different content."""
+
+
+class CommitConflictError(SieveworkError):
+    """Another run has taken the commit number first; nothing was changed."""
+
+
+class AlreadyPublishedError(SieveworkError):
+    """A dataset version is published, or being published, by another run."""
+
+
+class DuplicateKeyError(SieveworkError):
+    """A batch holds a business key more than once."""

@@ -170,3 +170,38 @@ def unknown_fields(document: Column, allowed: Sequence[str]) -> Column:
     keys = F.json_object_keys(document)
     known = F.array(*[F.lit(n) for n in allowed]).cast("array<string>")
     return F.array_sort(F.array_except(keys, known))
+
+
+# Allowed values that are written into the query itself; more are joined.
+LISTED_VALUES = 10_000
+
+
+def accepted_values(df: DataFrame, allowed: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column``, ``value``, ``n`` of every value of a column that ``allowed`` (``column``, ``value``) does not list.
+
+    Values are compared as text; NULLs are left to the not-null checks. All columns, by default those that ``allowed`` names, are
+    checked in one pass. A short list (``LISTED_VALUES``, checked) is tested row by row, so only violations are
+    counted and shuffled; otherwise all values are counted first, combined where they are read, and the distinct ones meet the list in an anti join.
+    """
+    listed = allowed.select(F.col("column"), F.col("value").cast("string").alias("value")).distinct()
+    known = listed.limit(LISTED_VALUES + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("column", "value")).alias("pairs")
+    ).first()
+    by_column: dict[str, list[str]] = {}
+    for pair in known["pairs"]:
+        by_column.setdefault(pair["column"], []).append(pair["value"])
+    short = known["n"] <= LISTED_VALUES
+    if columns is None:
+        columns = sorted(by_column) if short else sorted(
+            r["column"] for r in listed.select("column").distinct().limit(len(df.columns) + 1).agg(
+                F.collect_list(F.struct("column")).alias("c")).first()["c"]
+        )
+    text = {c: F.col(f"`{c}`").cast("string") for c in columns}
+
+    def found(c: str) -> Column:
+        fits = text[c].isin(by_column.get(c, [])) if short and by_column.get(c) else F.lit(False)
+        return F.when(text[c].isNotNull() & ~fits, F.struct(F.lit(c).alias("column"), text[c].alias("value")))
+
+    values = df.select(F.explode(F.array_compact(F.array(*map(found, columns)))).alias("v")).select("v.column", "v.value")
+    counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted if short else counted.join(listed, ["column", "value"], "left_anti")

@@ -80,3 +80,17 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     for other in counts[1:]:
         result = result.unionAll(other)
     return result
+
+
+def layer_measures(layers: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``(layer, row_count, total)`` for every named layer and its measure column.
+
+    Unlike a bare count, the sum makes each layer produce its rows. All layers share one aggregation.
+    """
+    rows = None
+    for name, (df, measure) in layers.items():
+        part = df.select(F.lit(name).alias("layer"), F.col(measure).cast("decimal(28,0)").alias("_m"))
+        rows = part if rows is None else rows.unionAll(part)
+    return rows.groupBy("layer").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("_m").cast("long").alias("total")
+    )

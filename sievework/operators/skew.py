@@ -29,22 +29,35 @@ def heavy_keys(
 ) -> list[int]:
     """Routing hashes of the keys that hold at least ``min_rows`` rows, of those where ``among`` holds.
 
-    One job over the key columns with frequent-items sketches per task: only sketches are shuffled,
+    Tables of fewer rows have none, which a bare count tells. Else the rows of each hash class are counted, and frequent-items
+    sketches per task cover only the classes that are large enough: only sums and sketches are shuffled,
     never rows. The list only chooses between two exact ways to treat a key, so a missed or extra
     key (or a hash collision) costs time and never changes a result.
     """
+    if df.count() < min_rows:
+        return []
     rows = df if among is None else df.filter(among)
+    counts = rows.groupBy(_hash_class(key_hash(key)).alias("class")).count()
+    classes = [r["class"] for r in counts.filter(F.col("count") >= min_rows).collect()]  # at most 256
+    if not classes:
+        return []
+    if len(classes) < CLASSES:
+        rows = rows.filter(_hash_class(key_hash(key)).isin(classes))
     found = sketched_counts(rows, key).filter(F.col("count") >= min_rows)
     return sorted(r["item"] for r in found.select("item").collect())  # at most 75,000
 
 
+def _hash_class(key: Column) -> Column:
+    return F.pmod(key, F.lit(CLASSES))
+
+
 def sketched_counts(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """``item`` (routing hash) and ``count`` of the most frequent keys of each class."""
     hashed = rows.select(key_hash(key).alias("h"))
     kept = SKETCH_ITEMS // 4
     return (
         hashed.groupBy(
-            F.pmod("h", F.lit(CLASSES)).alias("class"),
+            _hash_class(F.col("h")).alias("class"),
             (F.spark_partition_id() % _MERGE_LANES).alias("lane"),
         )
         .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"))

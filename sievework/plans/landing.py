@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.errors import ArtifactError, SchemaContractError
@@ -62,16 +62,19 @@ def land_artifacts(
     filter_id: str,
     filter_output_id: str,
     created_at: str,
+    name: Column | None = None,
 ) -> DataFrame:
     """Describe the files of an extract in the ledger and in a manifest; returns the manifest.
 
     ``artifacts`` has ``name`` (of a file, at any depth below ``files``), ``kind``, ``source_url``,
     ``content_type`` and ``etag``. Each must be there exactly once. Files are hashed where they are read; only their fingerprints
-    meet the descriptions. Repeating a run changes nothing, other bytes for a known key are refused.
+    meet the descriptions. Repeating a run changes nothing, other bytes for a known key are refused. ``name`` tells a file's
+    name from its ``path`` where it is not the last part of it.
     """
     identity = read_definition(spark, definition_path)
     run = LandingRun(run_id, created_at, filter_id, filter_output_id, **identity)
-    name = F.regexp_extract("path", r"[^/]+$", 0)
+    if name is None:
+        name = F.regexp_extract("path", r"[^/]+$", 0)
     scanned = scan_artifacts(spark, files).withColumn("name", name).drop("path")
     # saved, so that the files are read once for all the steps below
     found = save_layer(scanned, fresh_folder(spark, "fingerprints"))

@@ -19,10 +19,16 @@ from sievework.sources.tables import read_layer
 _ESCAPED = re.compile(r"[\x00-\x1f\"#%'*/:=?\\\x7f{}\[\]^]")
 
 
+def partition_folder(column: str, value: str | None) -> str:
+    """Name of the folder that Spark writes for a value of a partition column."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    return f"{column}={_ESCAPED.sub(lambda m: f'%{ord(m.group()):02X}', value)}"
+
+
 def version_path(path: str, edition: str, version: int) -> str:
     """Partition folder of one dataset version."""
-    folder = _ESCAPED.sub(lambda m: f"%{ord(m.group()):02X}", edition)
-    return f"{path}/edition={folder}/version={version}"
+    return f"{path}/{partition_folder('edition', edition)}/version={version}"
 
 
 def replace_version(

@@ -53,5 +53,5 @@ def test_no_construct_that_breaks_at_scale():
             continue
         text = path.read_text()
         assert not [word for word in banned if word in text], path
-        # heavy keys: at most 75,000 numbers
-        assert ".collect()" not in text or path.name == "skew.py", path
+        # heavy keys: at most 75,000 numbers; buckets of a keyed table; names of partitions without rows
+        assert ".collect()" not in text or path.name in ("skew.py", "incremental.py", "backfill.py"), path
