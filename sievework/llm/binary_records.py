@@ -36,7 +36,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import record_batches, release_memory, tasks, written
+from sievework.llm.common import collector_off, record_batches, release_memory, tasks, written
 from sievework.session import fresh_folder
 
 # Constant and rotation of the mask.
@@ -263,16 +263,17 @@ def write_records(
         part = TaskContext.get().partitionId()
         encode, out, number = None, None, 0
         release_memory()
-        for batch in batches:
-            encode = encode or worker_encoder(shared.value, end_id)
-            width = bytes([encode.dtype.itemsize])
-            for key, value in zip(batch.column("id").to_pylist(), batch.column("text")):
-                if out is None:
-                    out = _RecordFile(folder, f"{part:06d}-{number:05d}")
-                out.add(struct.pack("<q", key) + width + encode(value.as_py()), encode.dtype.itemsize)
-                if out.size >= file_bytes:
-                    yield out.close(part, number, schema)
-                    out, number = None, number + 1
+        with collector_off():
+            for batch in batches:
+                encode = encode or worker_encoder(shared.value, end_id)
+                width = bytes([encode.dtype.itemsize])
+                for key, value in zip(batch.column("id").to_pylist(), batch.column("text")):
+                    if out is None:
+                        out = _RecordFile(folder, f"{part:06d}-{number:05d}")
+                    out.add(struct.pack("<q", key) + width + encode(value.as_py()), encode.dtype.itemsize)
+                    if out.size >= file_bytes:
+                        yield out.close(part, number, schema)
+                        out, number = None, number + 1
         if out is not None:
             yield out.close(part, number, schema)
 

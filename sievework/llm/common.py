@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,18 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+@contextmanager
+def collector_off() -> Iterator[None]:
+    """For tasks with large caches and no reference cycles: Python's collector would walk the caches again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def release_memory() -> None:
     """Give memory that earlier tasks have freed back to the system: Spark reuses workers, and a C library keeps
     what it once had."""

@@ -7,7 +7,8 @@ the tokens; a symbol that is no piece is written as its UTF-8 bytes, or as unkno
 
 No piece of such a vocabulary has U+2581 after another character (checked when a model is loaded), so
 no pair ever crosses the place before a U+2581 that follows another character. Texts are cut there, and
-recurring cuts are encoded once.
+recurring cuts are encoded once; a new cut is cut again around lines and before signs at its end, where the two
+characters stand side by side in no piece.
 """
 
 from __future__ import annotations
@@ -24,15 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import record_batches
+from sievework.llm.common import collector_off, record_batches
 from sievework.llm.memo import Made
 
 SPACE = "▁"
 # A cut of a text: leading spaces and what follows them.
 _CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_LINE = re.compile("(\n)")
 # Up to so many characters an agenda is a plain list.
 _SHORT = 40
 _NO_PIECE = float("inf")
+# Encodings of cuts that a task holds, about.
+MEMO_BYTES = 192 << 20
 # Characters of texts that are encoded and checked together.
 CHECK_CHARS = 1 << 18
 
@@ -82,13 +86,27 @@ class PieceModel:
             self.said.append(said)
         if any(SPACE in piece.lstrip(SPACE) for piece in self.rank):
             raise ValueError("a piece has a space after another character")
+        self.pairs = {piece[i : i + 2] for piece in self.rank for i in range(len(piece) - 1)}
+        self.lines = not any("\n" in pair for pair in self.pairs)
         self.score = {piece: score for piece, (score, _) in self.rank.items()}
         self.names = [str(i) for i in range(len(self.said))]
         self.byte_ids = set(self.bytes.values())
         self.spaced = {i for i, said in enumerate(self.said) if said[:1] == b" " and i not in self.byte_ids}
         self.spaced.discard(self.unknown)
         self.silent = {i for i, said in enumerate(self.said) if not said}
-        self.cuts = Made(self.agenda, 64 << 20)
+        self.cuts = Made(self._parts, MEMO_BYTES)
+
+    def _parts(self, cut: str) -> tuple[int, ...]:
+        if not self.bytes:
+            return self.agenda(cut)  # unknown neighbours are one token, wherever they meet
+        if self.lines and "\n" in cut and len(cut) > 1:
+            return tuple(chain.from_iterable(map(self.cuts.__getitem__, filter(None, _LINE.split(cut)))))
+        end = len(cut)
+        while end > 1 and cut[end - 2 : end] not in self.pairs:
+            end -= 1
+        if end == len(cut):
+            return self.agenda(cut)
+        return self.cuts[cut[:end]] + tuple(chain.from_iterable(map(self.cuts.__getitem__, cut[end:])))
 
     def agenda(self, text: str) -> tuple[int, ...]:
         """Ids of a text as it stands (spaces already U+2581)."""
@@ -289,6 +307,7 @@ def _coder(docs: DataFrame, model: bytes, check: bool, out, schema: pa.Schema):
                 _compare(pieces, held)
             return out(pieces, held)
 
-        yield from record_batches(rows(), schema)
+        with collector_off():
+            yield from record_batches(rows(), schema)
 
     return code

@@ -22,7 +22,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain, repeat
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.binary_records import _is_byte_level, byte_of_sign
-from sievework.llm.common import record_batches, written
+from sievework.llm.common import collector_off, record_batches, written
 from sievework.llm.memo import Memo
 from sievework.llm.piece_codec import SPACE, PieceModel
 
@@ -42,6 +42,8 @@ _SPACES = [chr(c) + " " for c in range(0x3001) if chr(c).isspace() and c != 32]
 HOT_PAIRS = 1 << 20
 # Characters of new chunks that are encoded together.
 ENCODE_CHARS = 1 << 18
+# Alignments of chunks that a task holds, about.
+MEMO_BYTES = 160 << 20
 # Groups of more links are multiplied by distinct ids rather than link by link.
 _LARGE = 64
 
@@ -55,14 +57,15 @@ def chunks_of(text: str) -> list[str]:
 
 
 class Chunk(NamedTuple):
-    """A chunk's alignment: tokens of A and B, groups, groups as text, links as pairs, and each pair's times (None: once each)."""
+    """A chunk's alignment: tokens of A and B, groups, groups as text, links as pairs, and each pair's times (None: once each), both
+    as packed 64-bit numbers."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    pairs: list[int]
-    times: list[int] | None
+    pairs: bytes
+    times: bytes | None
 
 
 class Aligner:
@@ -88,7 +91,7 @@ class Aligner:
         self.a_names, self.b_names = [str(i) for i in range(size)], self.b.names
         self.a_sizes, self.b_sizes = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b.said])
         self.width = pair_width(model)
-        self.memo = Memo(96 << 20)
+        self.memo = Memo(MEMO_BYTES)
 
     def chunks(self, texts: list[str]) -> dict[str, Chunk | None]:
         """Alignment of each chunk of the texts; None where the joined bytes of A or B are not the chunk's."""
@@ -120,7 +123,7 @@ class Aligner:
             aligned = settled.get(chunk) or self._align_one(chunk)
             found[chunk] = aligned
             if aligned:
-                self.memo.put(chunk, aligned, 250 + 40 * len(aligned.pairs) + len(aligned.groups))
+                self.memo.put(chunk, aligned, 250 + len(aligned.pairs) + len(aligned.groups))
 
     def _align_one(self, chunk: str) -> Chunk | None:
         a = self.a.encode(chunk, add_special_tokens=False)
@@ -173,11 +176,11 @@ class Aligner:
             f"{','.join(names_a[i:j])}|{','.join(names_b[k:l])}"
             for i, j, k, l in zip(cut_a.tolist(), cut_a[1:].tolist(), cut_b.tolist(), cut_b[1:].tolist())
         ]
-        pairs = pairs.tolist()
+        packed = pairs.astype(np.int64).tobytes()
         out: list[Chunk | None] = []
         i = x = y = z = 0
         for j, to_a, to_b, to in zip(last.tolist(), cut_a[last].tolist(), cut_b[last].tolist(), link_ends[last - 1].tolist()):
-            out.append(Chunk(to_a - x, to_b - y, j - i, ";".join(texts[i:j]), pairs[z:to], None))
+            out.append(Chunk(to_a - x, to_b - y, j - i, ";".join(texts[i:j]), packed[8 * z : 8 * to], None))
             i, x, y, z = j, to_a, to_b, to
         for n in set(np.searchsorted(last, large, side="right").tolist()):
             out[n] = None
@@ -235,8 +238,8 @@ class Aligner:
                 for x, n in Counter(ours).items():
                     for y, m in theirs:
                         often[x * self.width + y] += n * m
-            links, times = list(often), list(often.values())
-        return Chunk(len(a), len(b), len(groups), ";".join(groups), links, times)
+            links, times = list(often), np.array(list(often.values()), np.int64).tobytes()
+        return Chunk(len(a), len(b), len(groups), ";".join(groups), np.array(links, np.int64).tobytes(), times)
 
     def _refine(self, ends: list[int], a: list[int], b_ends: list[int], b: list[int]) -> None:
         """Put in the ends that lie inside characters, where both tokenizers have some, from the tokens' bytes."""
@@ -297,9 +300,10 @@ def align_documents(
                     row += 1
                 at = to
 
-        for batch in batches:
-            aligner = aligner or Aligner(*shared.value)
-            yield from record_batches(rows(batch), schema, 512)
+        with collector_off():
+            for batch in batches:
+                aligner = aligner or Aligner(*shared.value)
+                yield from record_batches(rows(batch), schema, 512)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return written(rows.mapInArrow(align, _ALIGNED), "aligned")
@@ -308,13 +312,13 @@ def align_documents(
 def _document(chunks: list[Chunk | None]) -> tuple:
     if None in chunks:
         return 0, 0, 0, 0, "", [], []
-    counts = [sum(column) for column in zip(*[c[:3] for c in chunks])]
-    digest = hashlib.sha256(";".join([c.groups for c in chunks]).encode()).hexdigest()
-    pairs = np.fromiter(chain.from_iterable([c.pairs for c in chunks]), np.int64)
-    if all(c.times is None for c in chunks):
+    counts = sum([c[0] for c in chunks]), sum([c[1] for c in chunks]), sum([c[2] for c in chunks])
+    digest = hashlib.sha256(";".join([c[3] for c in chunks]).encode()).hexdigest()
+    pairs = np.frombuffer(b"".join([c[4] for c in chunks]), np.int64)
+    if not any([c[5] for c in chunks]):
         pairs, times = np.unique(pairs, return_counts=True)
     else:
-        often = np.fromiter(chain.from_iterable([c.times or repeat(1, len(c.pairs)) for c in chunks]), np.int64)
+        often = np.frombuffer(b"".join([c.times or np.ones(len(c.pairs) // 8, np.int64).tobytes() for c in chunks]), np.int64)
         pairs, place = np.unique(pairs, return_inverse=True)
         times = np.zeros(len(pairs), np.int64)
         np.add.at(times, place, often)
