@@ -88,6 +88,7 @@ class PieceModel:
             raise ValueError("a piece has a space after another character")
         self.pairs = {piece[i : i + 2] for piece in self.rank for i in range(len(piece) - 1)}
         self.lines = not any("\n" in pair for pair in self.pairs)
+        self.ids = {piece: i for piece, (_, i) in self.rank.items()}
         self.score = {piece: score for piece, (score, _) in self.rank.items()}
         self.names = [str(i) for i in range(len(self.said))]
         self.byte_ids = set(self.bytes.values())
@@ -110,7 +111,11 @@ class PieceModel:
 
     def agenda(self, text: str) -> tuple[int, ...]:
         """Ids of a text as it stands (spaces already U+2581)."""
-        symbols = self._in_list(text) if len(text) <= _SHORT else self._in_heap(text)
+        symbols = self._in_list(text) if len(text) <= _SHORT else list(self._in_heap(text))
+        try:
+            return tuple([self.ids[symbol] for symbol in symbols])
+        except KeyError:  # a symbol is no piece
+            pass
         ids: list[int] = []
         for symbol in symbols:
             found = self.rank.get(symbol)
@@ -125,19 +130,19 @@ class PieceModel:
     def _in_list(self, text: str) -> list[str]:
         """Symbols of a short text: the agenda is the list of all pairs' scores, whose best is looked for each time."""
         symbols = list(text)
-        score = self.score
-        agenda = [score.get(a + b, _NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+        score, none = self.score.get, _NO_PIECE
+        agenda = [score(text[i : i + 2], none) for i in range(len(text) - 1)]
         while agenda:
             best = min(agenda)
-            if best == _NO_PIECE:
+            if best == none:
                 break
             i = agenda.index(best)
-            symbols[i] += symbols.pop(i + 1)
+            merged = symbols[i] = symbols[i] + symbols.pop(i + 1)
             del agenda[i]
             if i < len(agenda):
-                agenda[i] = score.get(symbols[i] + symbols[i + 1], _NO_PIECE)
+                agenda[i] = score(merged + symbols[i + 1], none)
             if i:
-                agenda[i - 1] = score.get(symbols[i - 1] + symbols[i], _NO_PIECE)
+                agenda[i - 1] = score(symbols[i - 1] + merged, none)
         return symbols
 
     def _in_heap(self, text: str) -> Iterator[str]:
@@ -217,17 +222,16 @@ def model_file(path: str) -> bytes:
 
 
 class LibraryDiffers(ValueError):
-    """The library's ids or text of a document differ from the agenda's."""
+    """The library's ids of a document differ from the agenda's."""
 
 
-def _compare(model: PieceModel, held: list[tuple[int | None, str, list[int], str]]) -> None:
-    theirs = model.library.encode([text for _, text, _, _ in held], num_threads=1)
-    texts = model.library.decode([ids for _, _, ids, _ in held], num_threads=1)
-    for (key, _, ids, decoded), other, text in zip(held, theirs, texts):
-        if ids != other:
-            raise LibraryDiffers(f"document {key}: the library's ids differ")
-        if decoded != text:
-            raise LibraryDiffers(f"document {key}: the library's decoded text differs")
+def checked(model: PieceModel, keys: list[int | None], texts: list[str], ids: list[list[int]]) -> list[str]:
+    """The library's decoded texts, once its ids of the texts are found to be the given ones."""
+    theirs = model.library.encode(texts, num_threads=1)
+    if theirs != ids:
+        wrong = next(key for key, a, b in zip(keys, ids, theirs) if a != b)
+        raise LibraryDiffers(f"document {wrong}: the library's ids differ")
+    return model.library.decode(ids, num_threads=1)
 
 
 _OUT = "doc_id long, ids array<int>, decoded string"
@@ -240,13 +244,12 @@ def encode_pieces(
 
     A NULL text counts as empty: the end id alone, and an empty decoded text. Rows repeated in full give as many rows, a
     NULL id stays NULL, other columns are ignored, no rows give none. With ``check`` every Arrow batch goes through
-    the sentencepiece library too, and a difference raises :class:`LibraryDiffers` rather than being returned.
+    the sentencepiece library too: other ids raise :class:`LibraryDiffers` rather than being returned, and the library decodes.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
-    def out(code: PieceModel, held: list[tuple]) -> list[tuple]:
-        last = [code.end] if end else []
-        return [(key, ids + last, decoded) for key, _, ids, decoded in held]
+    def out(code: PieceModel, key: int | None, ids: list[int], decoded: str) -> tuple:
+        return key, [*ids, code.end] if end else ids, decoded
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _coder(docs, model, check, out, schema), _OUT
@@ -265,14 +268,10 @@ def digest_pieces(
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     )
 
-    def out(code: PieceModel, held: list[tuple]) -> list[tuple]:
-        rows = []
-        for key, _, ids, decoded in held:
-            listed = " ".join(map(code.names.__getitem__, [*ids, code.end]))
-            rows.append(
-                (key, len(ids) + 1, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
-            )
-        return rows
+    def out(code: PieceModel, key: int | None, ids: list[int], decoded: str) -> tuple:
+        listed = " ".join([*map(code.names.__getitem__, ids), code.names[code.end]])
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (listed, decoded)]
+        return key, len(ids) + 1, *digests
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         _coder(docs, model, check, out, schema), _DIGESTS
@@ -283,31 +282,33 @@ def _coder(docs: DataFrame, model: bytes, check: bool, out, schema: pa.Schema):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = None
+        pieces = PieceModel(shared.value)
 
         def rows() -> Iterator[tuple]:
-            nonlocal pieces
-            held: list[tuple] = []
-            size = 0
-            for batch in batches:
-                pieces = pieces or PieceModel(shared.value)
-                for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    text = value.as_py() or ""
-                    ids = pieces.encode(text)
-                    held.append((key, text, ids, pieces.decode(ids)))
-                    size += len(text)
-                    if size >= CHECK_CHARS:
-                        yield from settled(held)
-                        held, size = [], 0
-            if held:
-                yield from settled(held)
-
-        def settled(held: list[tuple]) -> list[tuple]:
-            if check:
-                _compare(pieces, held)
-            return out(pieces, held)
+            for keys, texts in _portions(batches):
+                ids = [pieces.encode(text) for text in texts]
+                decoded = checked(pieces, keys, texts, ids) if check else list(map(pieces.decode, ids))
+                for one in zip(keys, ids, decoded):
+                    yield out(pieces, *one)
 
         with collector_off():
             yield from record_batches(rows(), schema)
 
     return code
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of about ``CHECK_CHARS`` characters, but for single long texts."""
+    for batch in batches:
+        keys: list[int | None] = []
+        texts: list[str] = []
+        size = 0
+        for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            keys.append(key)
+            texts.append(value.as_py() or "")
+            size += len(texts[-1])
+            if size >= CHECK_CHARS:
+                yield keys, texts
+                keys, texts, size = [], [], 0
+        if keys:
+            yield keys, texts

@@ -103,10 +103,9 @@ def test_very_long_words_are_encoded(library):
 def test_a_difference_from_the_library_is_raised():
     model = piece_codec.PieceModel(MODEL)
     ids = model.encode("some words")
-    piece_codec._compare(model, [(1, "some words", ids, "some words")])
-    for wrong in ((1, "some words", ids[1:], "some words"), (1, "some words", ids, "other words")):
-        with pytest.raises(piece_codec.LibraryDiffers):
-            piece_codec._compare(model, [wrong])
+    assert piece_codec.checked(model, [1], ["some words"], [ids]) == ["some words"]
+    with pytest.raises(piece_codec.LibraryDiffers, match="document 2"):
+        piece_codec.checked(model, [1, 2], ["some words"] * 2, [ids, ids[1:]])
 
 
 def test_other_models_are_refused():
