@@ -2,6 +2,7 @@
 
 from sievework.catalogue import (  # noqa: F401
     check_queries,
+    contract_queries,
     gate_queries,
     landing_queries,
     storage_queries,

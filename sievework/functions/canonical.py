@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,14 +43,106 @@ def _keeps_numbers(document: Column) -> Column:
     return ~bare.rlike(_UNFAITHFUL)
 
 
+# Tokens of a JSON text: a string, a number, or what lies between them.
+_TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+\-]*+|[^"0-9\-]+|-'
+# The form a double has as text: sign, digits, fraction, power of ten.
+_DOUBLE = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]\+?(-?[0-9]+))?$"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _shortest_double(text: Column) -> Column:
+    """A double as its shortest digits: positional from 1e-4 up to below 1e16, else with a signed power of two digits at least.
+
+    Where several texts of that length mean the same double, the last digit may be another one than the nearest
+    (about one in a thousand of random doubles beyond 1e16 with 16 digits); it always reads back as the same double.
+    """
+
+    def shorter(value: Column, plain: Column, digits: int) -> Column:
+        """The engine's own text is not always the shortest: it has two digits at least, and some large numbers get one too many."""
+        candidate = F.format_string(f"%.{digits - 1}e", value)
+        longer = F.length(F.regexp_replace(plain, "[Ee].*$|[-.]", "")) > digits
+        return F.when(longer & (candidate.cast("double") == value), candidate).otherwise(plain)
+
+    def chosen(value: Column) -> Column:
+        return _let(shorter(value, value.cast("string"), 17), lambda p: _let(shorter(value, p, 16), lambda q: shorter(value, q, 1)))
+
+    return _let(text.cast("double"), lambda value: _let(chosen(value), _laid_out))
+
+
+def _laid_out(plain: Column) -> Column:
+    sign, whole, rest = (F.regexp_extract(plain, _DOUBLE, i) for i in (1, 2, 3))
+    power = F.coalesce(F.regexp_extract(plain, _DOUBLE, 4).try_cast("int"), F.lit(0))
+
+    def of_digits(d: Column) -> Column:
+        digits, point, n = d["digits"], d["point"], F.length(d["digits"])
+        size = F.abs(point - 1).cast("string")
+        fraction = F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise("")
+        scientific = F.concat(
+            F.substring(digits, 1, 1), fraction, F.when(point < 1, "e-").otherwise("e+"),
+            F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size),
+        )
+        positional = (
+            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+            .when(point >= n, F.concat(digits, F.repeat(F.lit("0"), point - n), F.lit(".0")))
+            .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, n)))
+        )
+        written = F.when(digits == "", F.lit("0.0")).when((point > -4) & (point <= 16), positional).otherwise(scientific)
+        return F.concat(d["sign"], written)
+
+    def parts(p: Column) -> Column:
+        bare = F.regexp_replace(p["every"], "^0+", "")
+        return F.struct(
+            p["sign"].alias("sign"),
+            F.regexp_replace(bare, "0+$", "").alias("digits"),
+            # digits before the point
+            (p["whole"] + p["power"] - F.length(p["every"]) + F.length(bare)).alias("point"),
+        )
+
+    read = F.struct(sign.alias("sign"), F.concat(whole, rest).alias("every"), F.length(whole).alias("whole"), power.alias("power"))
+    return F.when(plain.endswith("Infinity"), plain).otherwise(_let(read, lambda p: _let(parts(p), of_digits)))
+
+
+def _number(text: Column) -> Column:
+    """A number as it is dumped: integers digit by digit, others as doubles."""
+    return F.when(text.rlike("[.eE]"), _shortest_double(text)).when(text == "-0", "0").otherwise(text)
+
+
+def _exact_json(document: Column) -> Column:
+    """Key-sorted compact JSON through Variant, with numbers travelling as text.
+
+    Every string gets a leading ``s`` and every number becomes a string with a leading ``n``; the order of keys stays
+    the same, and both marks are taken off again.
+    """
+    number = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+    marked = F.transform(
+        F.regexp_extract_all(document, F.lit("(?s)" + _TOKENS), F.lit(0)),
+        lambda t: F.when(t.startswith('"'), F.concat(F.lit('"s'), F.substring(t, F.lit(2), F.length(t))))
+        .when(t.rlike(number), F.concat(F.lit('"n'), t, F.lit('"')))
+        .otherwise(t),
+    )
+    sorted_text = F.to_json(F.try_parse_json(F.array_join(marked, "")))
+    unmarked = F.transform(
+        F.regexp_extract_all(sorted_text, F.lit("(?s)" + _TOKENS), F.lit(0)),
+        lambda t: F.when(t.startswith('"s'), F.concat(F.lit('"'), F.substring(t, F.lit(3), F.length(t))))
+        .when(t.startswith('"n'), _number(F.substring(t, F.lit(3), F.length(t) - 3)))
+        .otherwise(t),
+    )
+    return F.array_join(unmarked, "")
+
+
 def canonical_json(document: Column) -> Column:
     """Key-sorted compact JSON in pure ASCII; NULL for text that is not JSON.
 
-    Variant keeps objects key-sorted and keeps explicit nulls, so no schema is needed. It does not keep
-    every number as written (``1.0`` becomes ``1``), and refuses an object with a repeated key: such
-    documents give NULL too, rather than share a hash with another one.
+    Variant keeps objects key-sorted and keeps explicit nulls, so no schema is needed. Numbers it would not write back as they
+    are go through it as text: integers of any length keep their digits, others are doubles in their
+    shortest form. Of a repeated key the last value counts if the session lets Variant take it (``spark.sql.variant.allowDuplicateKeys``, which
+    :data:`sievework.session.SETTINGS` turns on); else such a document gives NULL.
     """
-    compact = F.when(_keeps_numbers(document), F.to_json(F.try_parse_json(document)))
+    compact = F.when(_keeps_numbers(document), F.to_json(F.try_parse_json(document))).otherwise(_exact_json(document))
     pieces = F.regexp_extract_all(compact, F.lit(_PIECES), F.lit(0))
     return F.array_join(F.transform(pieces, _ascii_piece), "")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sievework.errors import ObjectConflictError
 from sievework.functions.keys import LANDING_PREFIX, content_key
-from sievework.operators.contracts import ARTIFACT_KINDS, SHA256_PATTERN, at_least, matches, one_of
+from sievework.operators.contracts import ARTIFACT_KINDS, SHA256_PATTERN, at_least, matches, one_of, unknown_fields
 
 NEW, SKIPPED, CONFLICT = "new", "skipped", "conflict"
 
@@ -162,3 +162,35 @@ def manifest_constraints() -> dict[str, Column]:
         "source_url_is_http": matches("source_url", "^https?://[^/]+"),
         **{f"{name}_is_present": F.col(name).isNotNull() for name in required},
     }
+
+
+# The fields that a manifest document, its source and its artifacts may have.
+MANIFEST_FIELDS = (
+    "manifest_version", "run_id", "created_at", "filter_hash", "filter_id", "filter_output_id", "source", "artifacts",
+)
+SOURCE_FIELDS = ("id", "edition", "version")
+ARTIFACT_FIELDS = ("kind", "source_url", "object_key", "sha256", "size_bytes", "content_type", "etag")
+
+
+def unknown_manifest_fields(docs: DataFrame, doc_id: str, content: str) -> DataFrame:
+    """``doc_id``, ``part`` (manifest, source, or artifact and its place), ``field`` of every field that a manifest document must not have.
+
+    Row-local. A part that is missing or no object has no fields here; that it must be there is for the constraints to say.
+    """
+    text = F.col(content)
+    artifacts = F.coalesce(
+        F.from_json(text, "artifacts array<string>")["artifacts"], F.array().cast("array<string>")
+    )
+
+    def unknown(part: Column, document: Column, allowed: Sequence[str]) -> Column:
+        extra = F.coalesce(unknown_fields(document, allowed), F.array().cast("array<string>"))
+        return F.transform(extra, lambda f: F.struct(part.alias("part"), f.alias("field")))
+
+    parts = [
+        unknown(F.lit("manifest"), text, MANIFEST_FIELDS),
+        unknown(F.lit("source"), F.get_json_object(text, "$.source"), SOURCE_FIELDS),
+        F.flatten(
+            F.transform(artifacts, lambda a, i: unknown(F.concat(F.lit("artifact "), i.cast("string")), a, ARTIFACT_FIELDS))
+        ),
+    ]
+    return docs.select(doc_id, F.inline(F.concat(*parts)))

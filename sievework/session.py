@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # of a repeated key in JSON the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -2,23 +2,55 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.operators.ledger import with_fingerprint
 
 
+# Spark holds a file's content as one value, which ends at 2 GiB; larger files are streamed.
+STREAM_ABOVE = (1 << 31) - (1 << 20)
+_CHUNK_BYTES = 8 << 20
+
+
 def scan_artifacts(
-    spark: SparkSession, path: str | list[str], glob: str | None = None
+    spark: SparkSession, path: str | list[str], glob: str | None = None, stream_above: int = STREAM_ABOVE
 ) -> DataFrame:
-    """``path, sha256, size_bytes`` of every file below ``path``.
+    """``path, sha256, size_bytes`` of every file below ``path``, of any size.
 
-    One row per file and hashed where it is read; Spark limits one file to 2 GiB here.
+    One row per file and hashed where it is read. Files above ``stream_above`` bytes go through
+    SHA-256 in chunks, so a task's memory does not grow with them; that needs a store that ``pyarrow.fs`` can open.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return with_fingerprint(reader.load(path).select("path", "content"), "content")
+    files = reader.load(path)
+    # a filter on the length keeps the content of the others from being read
+    whole = with_fingerprint(files.filter(F.col("length") <= stream_above).select("path", "content"), "content")
+    large = files.filter(F.col("length") > stream_above).select("path")
+    return whole.unionByName(_streamed(large))
+
+
+def _streamed(files: DataFrame) -> DataFrame:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                uri = f"file://{path[5:]}" if path.startswith("file:/") and "://" not in path else path
+                store, name = fs.FileSystem.from_uri(uri)
+                total, size = hashlib.sha256(), 0
+                with store.open_input_stream(name) as stream:
+                    while chunk := stream.read(_CHUNK_BYTES):
+                        total.update(chunk)
+                        size += len(chunk)
+                columns = [pa.array([path]), pa.array([total.hexdigest()]), pa.array([size], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["path", "sha256", "size_bytes"])
+
+    return files.mapInArrow(digest, "path string, sha256 string, size_bytes long")
 
 
 def content_checksum(rows: DataFrame) -> str:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
+from itertools import zip_longest
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructType
 
@@ -40,3 +44,41 @@ def read_delimited(
         schema = StructType([*schema.fields]).add(CORRUPT, StringType())
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     return reader.schema(schema).csv(path)
+
+
+# Bytes of a file in which its first line has to end.
+_HEADER_BYTES = 1 << 20
+
+
+def header_drift(spark: SparkSession, path: str | list[str], expected: Sequence[str], separator: str = ",") -> DataFrame:
+    """``file``, ``position``, ``expected``, ``actual`` for every place at which a file's header is not the expected one.
+
+    Every file below ``path`` counts, one with no line as having no columns. Only the first line of each is read, where Spark puts the
+    file's task; files are listed by Spark and opened through ``pyarrow.fs``. A header longer than 1 MiB stops the job.
+    """
+    names = list(expected)
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                uri = f"file://{path[5:]}" if path.startswith("file:/") and "://" not in path else path
+                store, name = fs.FileSystem.from_uri(uri)
+                with store.open_input_stream(name) as stream:
+                    start = stream.read(_HEADER_BYTES)
+                line = start.splitlines()[0] if start else b""
+                if len(line) == _HEADER_BYTES:
+                    raise ValueError(f"{path}: no line ends in the first {_HEADER_BYTES} bytes")
+                found = next(csv.reader([line.decode("utf-8-sig")], delimiter=separator), [])
+                rows = [
+                    (i, want, have)
+                    for i, (want, have) in enumerate(zip_longest(names, found))
+                    if want != have
+                ]
+                columns = [
+                    pa.array([path] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()),
+                    pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["file", "position", "expected", "actual"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return files.mapInArrow(first_lines, "file string, position int, expected string, actual string")
