@@ -29,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import as_bytes, record_batches, written
+from sievework.llm.common import as_bytes, record_batches, release_memory, written
 from sievework.llm.shingles import WIDTH, mixed, shingle_hashes, word_hashes
 
 SIMILARITY = 0.8
@@ -238,6 +238,7 @@ def find_leaks(
 
     def finder(shared: Broadcast):
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_memory()
             cache: dict = {}
 
             def rows() -> Iterator[tuple]:
@@ -263,6 +264,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
 
     def cleaner(shared: Broadcast):
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_memory()
             cache: dict = {}
             for batch in batches:
                 bench = _prepared(cache, shared)
