@@ -34,7 +34,17 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if others.count() <= ngram_join.BROADCAST_IDS:
         others = F.broadcast(others)
     kept = docs.join(others, docs["doc_id"] == others["_id"], "left_anti")
-    return kept.dropDuplicates(docs.columns)
+    # only rows under an id that occurs several times can be repeated: the others' texts are not shuffled
+    several = docs.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id")
+    several = written(several, "repeated-ids")
+    n = several.count()
+    if not n:
+        return kept
+    if n <= ngram_join.BROADCAST_IDS:
+        several = F.broadcast(several)
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    once = kept.join(several, same, "left_semi").dropDuplicates(docs.columns)
+    return kept.join(several, same, "left_anti").unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
