@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterable, Iterator
+import hashlib
+import sys
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +33,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with the columns that bear one of ``names``, in whatever case, under names of their own, and these by the old ones."""
+    working = {n.lower() for n in names}
+    moved = {c: f"_aside_{i}_{c}" for i, c in enumerate(df.columns) if c.lower() in working}
+    return df.withColumnsRenamed(moved), moved
+
+
+def restored(df: DataFrame, moved: dict[str, str]) -> DataFrame:
+    """``df`` with the columns of :func:`aside` under their old names again."""
+    return df.withColumnsRenamed({new: old for old, new in moved.items()})
+
+
 def tasks(spark: SparkSession, times: int = 1) -> int:
     """Partitions (or buckets) of an exchange, in proportion to the session's setting."""
     return max(1, times * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -71,6 +87,19 @@ def release_memory() -> None:
         trim(0)
 
 
+def of_worker(kind: str, content: tuple[bytes | str, ...], make: Callable[[], Any]) -> Any:
+    """What ``make`` gave for this content in this Python worker, which Spark reuses: later tasks go on with the caches of earlier
+    ones. A worker holds one value of a kind."""
+    held = sys.modules.setdefault("_sievework_worker", ModuleType("_sievework_worker")).__dict__
+    digest = hashlib.sha256()
+    for part in content:
+        digest.update(part.encode() if isinstance(part, str) else part)
+    key = digest.hexdigest()
+    if held.get(kind, ("",))[0] != key:
+        held[kind] = (key, make())
+    return held[kind][1]
+
+
 def as_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """UTF-8 bytes of a text column."""
     return batch.column(name).cast(pa.binary()).to_pylist()

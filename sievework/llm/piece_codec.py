@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import collector_off, record_batches
+from sievework.llm.common import collector_off, of_worker, record_batches
 from sievework.llm.memo import Made
 
 SPACE = "▁"
@@ -282,7 +282,7 @@ def _coder(docs: DataFrame, model: bytes, check: bool, out, schema: pa.Schema):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceModel(shared.value)
+        pieces = of_worker("pieces", (shared.value,), lambda: PieceModel(shared.value))
 
         def rows() -> Iterator[tuple]:
             for keys, texts in _portions(batches):

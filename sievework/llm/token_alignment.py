@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.binary_records import _is_byte_level, byte_of_sign
-from sievework.llm.common import collector_off, record_batches, written
+from sievework.llm.common import collector_off, of_worker, record_batches, written
 from sievework.llm.memo import Memo
 from sievework.llm.piece_codec import SPACE, PieceModel
 
@@ -302,7 +302,7 @@ def align_documents(
 
         with collector_off():
             for batch in batches:
-                aligner = aligner or Aligner(*shared.value)
+                aligner = aligner or of_worker("aligner", shared.value, lambda: Aligner(*shared.value))
                 yield from record_batches(rows(batch), schema, 512)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
