@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import tasks, words, written
+from sievework.llm.common import aside, restored, tasks, words, written
 
 MOST = 3  # copies of a document, and multiple of its size that a source may reach
-_STEPS = 40
+_STEPS = 100
 _MENDS = 6
 # Rows are dealt out by the leading bits of their draw, so that a rank never counts over more than
 # about this share of a class.
@@ -83,6 +83,10 @@ def _rate(tilt: Column, x: Column, most: int) -> Column:
     return F.lit(float(most)) / (1 + (most - 1) * F.exp(-tilt * x))
 
 
+class NotConverged(RuntimeError):
+    """The dual was not solved: rates would be off their targets."""
+
+
 def document_rates(classes: DataFrame, targets: DataFrame, most: int = MOST) -> DataFrame:
     """``classes`` (source, size, n) with the ``rate`` of their documents.
 
@@ -106,9 +110,12 @@ def document_rates(classes: DataFrame, targets: DataFrame, most: int = MOST) ->
         ),
         "mix-tilts",
     )
-    for _ in range(_STEPS):
-        if state.filter(~F.col("done")).isEmpty():
+    for step in range(_STEPS + 1):
+        open_sources = state.filter(~F.col("done"))
+        if open_sources.isEmpty():
             break
+        if step == _STEPS:
+            raise NotConverged(f"{open_sources.count()} sources are off their targets after {_STEPS} steps")
         state = written(_newton_step(classes, state, most), "mix-tilts")
     rate = (
         F.when((F.col("target") <= 0) | (F.col("size") <= 0), F.lit(0.0))
@@ -209,6 +216,10 @@ def class_copies(rated: DataFrame, most: int = MOST) -> DataFrame:
     return whole
 
 
+# Columns that a mix adds to documents for a while.
+_WORKING = ("_source", "_size", "_draw", "_k_source", "_k_size", "_base", "_limit")
+
+
 def mix(
     docs: DataFrame,
     most: int = MOST,
@@ -223,6 +234,8 @@ def mix(
     id and class, so reruns agree; rows repeated with the same id share one draw and one decision.
     Columns of these names are replaced; no rows give no rows.
     """
+    docs, moved = aside(docs, _WORKING)
+    doc_id, text, source = (moved.get(c, c) for c in (doc_id, text, source))
     names = {"_source": F.col(source), "_size": words(F.col(text)), "_draw": F.xxhash64(F.lit("mix"), doc_id, source)}
     base = docs.drop("size", "source_size", "target", "copies").withColumns(names)
     rows = written(
@@ -244,13 +257,14 @@ def mix(
     same = F.col("_source").eqNullSafe(F.col("_k_source")) & (F.col("_size") == F.col("_k_size"))
     more = F.when(F.col("_draw") <= F.col("_limit"), 1).otherwise(0)
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    return base.join(known, same).select(
+    mixed = base.join(known, same).select(
         *kept,
         F.col("_size").alias("size"),
         "source_size",
         "target",
         (F.col("_base") + more).cast("int").alias("copies"),
     )
+    return restored(mixed, moved)
 
 
 def _with_draw_limits(rows: DataFrame, copies: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import as_bytes
+from sievework.llm.common import as_bytes, aside, restored
 from sievework.llm.shingles import shingle_hashes, word_hashes
 
 # Labelled documents the rules are learned from, those with the smallest hashes.
@@ -73,6 +73,8 @@ def statistics(texts: list[bytes | None]) -> np.ndarray:
 def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "q_", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with the statistics of the whole texts."""
     names = [prefix + s for s in STATISTICS]
+    docs, moved = aside(docs, ["_text"])
+    text, keep = moved.get(text, text), [moved.get(c, c) for c in keep] if keep is not None else None
     columns = [c for c in (docs.columns if keep is None else keep) if c not in names]
     base = docs.select(*columns, F.col(text).alias("_text"))
     schema = base.drop("_text").schema
@@ -85,7 +87,7 @@ def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "q_", kee
             arrays = [batch.column(c) for c in columns] + [pa.array(v) for v in values.T]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *names])
 
-    return base.mapInArrow(compute, schema)
+    return restored(base.mapInArrow(compute, schema), moved)
 
 
 # --- learning, on the bounded sample ---------------------------------------------------------------

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import LOWER, UPPER, written
+from sievework.llm.common import LOWER, UPPER, aside, restored, written
 from sievework.llm.shingles import mixed
 
 # A level may have this many bits (256 MB); more is an error, not a larger broadcast.
@@ -53,14 +53,6 @@ class Level(NamedTuple):
         return ((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
 
 
-def holds(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        found = np.ones(len(a), bool)
-        for i in range(self.hashes):
-            at = (a + np.uint64(i) * (b | np.uint64(1))) % np.uint64(self.size)
-            found &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return found
-
-
 def holds(levels: Sequence[Level], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Membership of each key: the parity of the level that rejects it first."""
     depth = np.zeros(len(a), np.int64)
@@ -184,12 +176,12 @@ def judge_urls(
     """
     spark = pages.sparkSession
     rules = [Rule(r.verdict, r.host.lower(), r.path) for r in rules]
-    host, path = url_parts(F.col(url))
+    pages, moved = aside(pages, ("_keys", "_at"))
+    host, path = url_parts(F.col(moved.get(url, url)))
     parts = pages.withColumns({"host": host, "path": path})
     if not rules:
-        return parts.withColumns(
-            {"rule": F.lit(None).cast("string"), "verdict": F.lit(default)}
-        )
+        none = {"rule": F.lit(None).cast("string"), "verdict": F.lit(default)}
+        return restored(parts.withColumns(none), moved)
     keys = candidate_keys(F.col("host"), F.col("path"), rules)
     universe = written(
         parts.select(F.explode(keys).alias("key")).distinct().transform(_hashed, "key"),
@@ -229,7 +221,7 @@ def judge_urls(
     place = F.floor(F.col("_at") / n).cast("int")
     verdict = F.element_at(F.array(*map(F.lit, names)), (F.col("_at") % n + 1).cast("int"))
     found = F.col("_at") >= 0
-    return (
+    judged = (
         parts.withColumn("_keys", keys)
         .withColumn("_at", listed_at)
         .withColumns(
@@ -240,3 +232,4 @@ def judge_urls(
         )
         .drop("_keys", "_at")
     )
+    return restored(judged, moved)

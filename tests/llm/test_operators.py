@@ -662,3 +662,29 @@ def test_prefixes_of_linked_sets_share_what_is_promised():
             continue
         px, py = (set(ngram_join.prefix(np.array(sorted(s), np.uint64), hot).tolist()) for s in (x, y))
         assert len(px & py) >= max(ngram_join.promised(len(x)), ngram_join.promised(len(y)))
+
+
+# --- columns of any name ---------------------------------------------------------------------------
+
+
+def test_working_names_may_be_columns(spark):
+    rows = [(i, f"some words number {i} " * 3, f"http://a{i % 3}.com/x", "s", 7, 8, 9, "k", 10, "t") for i in range(6)]
+    schema = "doc_id long, text string, url string, source string, _source int, _size int, _draw int, _keys string, _at int, _text string"
+    docs = spark.createDataFrame(rows, schema)
+    given = Counter(tuple(r) for r in docs.collect())
+    mixed = mixing.mix(docs)
+    judged = url_filter.judge_urls(docs, [url_filter.Rule("block", "a1.com", "/")])
+    measured = quality.with_statistics(docs)
+    for out in (mixed, judged, measured):
+        assert Counter(tuple(r) for r in out.select(*docs.columns).collect()) == given
+    # and they may be the columns that count
+    assert {r["size"] for r in mixing.mix(docs.drop("source").withColumnRenamed("_text", "x"), source="_source").collect()} == {12}
+    assert quality.with_statistics(docs.drop("text"), text="_text").count() == 6
+    assert judged.filter("verdict = 'block'").count() == 2
+
+
+def test_a_dual_that_is_not_solved_is_noticed(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(60)], "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "_STEPS", 0)
+    with pytest.raises(mixing.NotConverged):
+        mixing.mix(docs)
