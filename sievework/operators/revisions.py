@@ -118,7 +118,7 @@ def validity_windows(
 
 
 def as_of(history: DataFrame, probes: DataFrame, key: Sequence[str], at: str) -> DataFrame:
-    """``probes`` with the values that held at their version ``at`` (an integer column), NULL where none did.
+    """``probes`` with the values that held at their version ``at`` (an integer column), NULL where none did or a key is NULL.
 
     A window from ``valid_from`` up to ``valid_to`` is cut into pieces of equal width, and a probe lies in one piece, so the
     join is by key and piece: no comparison of a range with another one, and a key with very many probes

@@ -76,14 +76,16 @@ class KeyedTable:
     def load(self, batch: DataFrame, version: int, run_id: str, complete: bool = True, removed: str | None = None) -> LoadResult:
         """Load a batch as ``version`` and commit it; raises CommitConflictError if another load came in between.
 
-        A ``complete`` batch holds every key of the version, so keys it lacks are removed. Otherwise it holds changed keys only, and
+        A ``complete`` batch holds every key of the version, so keys it lacks are removed (``removed`` has no meaning then). Otherwise it holds changed keys only, and
         those where the boolean column ``removed`` is true are removed; only the buckets it touches are read. A batch that changes nothing
         commits nothing, unless it is a new version. The key must be unique within the batch.
         """
         base = self.state()
         n = base["n_buckets"]
         folders = dict(base["folders"])
-        rows = batch.select(*self.schema.names, *([removed] if removed else []))
+        removed = None if complete else removed
+        flag = [F.coalesce(F.col(removed), F.lit(False)).alias(removed)] if removed else []
+        rows = batch.select(*self.schema.names, *flag)
         if complete:
             current = self._rows(folders)
             gone: Column = F.lit(False)
@@ -91,7 +93,7 @@ class KeyedTable:
             rows = saved(rows, "batch")
             touched = self._numbers(rows.select(self._bucket(n).alias("bucket")))
             current = self._rows({b: f for b, f in folders.items() if int(b) in touched})
-            gone = F.coalesce(F.col("new")[removed], F.lit(False)) if removed else F.lit(False)
+            gone = F.coalesce(F.col("new")[removed], F.lit(False)) if removed else F.lit(False)  # no new side: not named
         if removed:
             current = current.withColumn(removed, F.lit(False))
         found = version_changes(current, rows, self.key)
