@@ -51,24 +51,33 @@ _DOUBLE = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]\+?(-?[0-9]+))?$"
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
 def _shortest_double(text: Column) -> Column:
     """A double as its shortest digits: positional from 1e-4 up to below 1e16, else with a signed power of two digits at least.
 
-    Where several texts of that length mean the same double, the last digit may be another one than the nearest
-    (about one in a thousand of random doubles beyond 1e16 with 16 digits); it always reads back as the same double.
+    It always reads back as the same double; between 1e16 and 9e18 its digits come from the whole number itself.
     """
 
     def shorter(value: Column, plain: Column, digits: int) -> Column:
         """The engine's own text is not always the shortest: it has two digits at least, and some large numbers get one too many."""
         candidate = F.format_string(f"%.{digits - 1}e", value)
+        if digits > 1:  # a large number is a whole one, whose own digits are rounded
+            large = F.abs(F.when(F.abs(value).between(1e16, 9e18), value).cast("long"))
+            cut = F.length(large.cast("string")) - digits
+            step = F.pow(F.lit(10), F.greatest(cut, F.lit(0))).cast("long")
+            rounded = F.call_function("div", large + F.call_function("div", step, F.lit(2)), step).cast("string")
+            whole = F.concat(F.when(value < 0, "-").otherwise(""), rounded, F.lit("e+"), F.greatest(cut, F.lit(0)).cast("string"))
+            candidate = F.coalesce(whole, candidate)
         longer = F.length(F.regexp_replace(plain, "[Ee].*$|[-.]", "")) > digits
         return F.when(longer & (candidate.cast("double") == value), candidate).otherwise(plain)
 
     def chosen(value: Column) -> Column:
-        return _let(shorter(value, value.cast("string"), 17), lambda p: _let(shorter(value, p, 16), lambda q: shorter(value, q, 1)))
+        text = shorter(value, value.cast("string"), 17)
+        for digits in (16, 15, 1):
+            text = _let(text, lambda t, n=digits: shorter(value, t, n))
+        return text
 
     return _let(text.cast("double"), lambda value: _let(chosen(value), _laid_out))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,7 +24,7 @@ def scan_artifacts(
 ) -> DataFrame:
     """``path, sha256, size_bytes`` of every file below ``path``, of any size.
 
-    One row per file and hashed where it is read. Files above ``stream_above`` bytes go through
+    One row per file and hashed where it is read; Spark does not list files without a byte. Files above ``stream_above`` bytes go through
     SHA-256 in chunks, so a task's memory does not grow with them; that needs a store that ``pyarrow.fs`` can open.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -40,8 +41,11 @@ def _streamed(files: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                uri = f"file://{path[5:]}" if path.startswith("file:/") and "://" not in path else path
-                store, name = fs.FileSystem.from_uri(uri)
+                # Spark names files without escapes
+                if path.startswith("file:"):
+                    store, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+                else:
+                    store, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
                 total, size = hashlib.sha256(), 0
                 with store.open_input_stream(name) as stream:
                     while chunk := stream.read(_CHUNK_BYTES):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator, Sequence
 from itertools import zip_longest
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -53,16 +54,20 @@ _HEADER_BYTES = 1 << 20
 def header_drift(spark: SparkSession, path: str | list[str], expected: Sequence[str], separator: str = ",") -> DataFrame:
     """``file``, ``position``, ``expected``, ``actual`` for every place at which a file's header is not the expected one.
 
-    Every file below ``path`` counts, one with no line as having no columns. Only the first line of each is read, where Spark puts the
-    file's task; files are listed by Spark and opened through ``pyarrow.fs``. A header longer than 1 MiB stops the job.
+    Every file below ``path`` counts, one with an empty first line as having no columns; Spark does not list files without a byte. Only the
+    first line of each is read, where Spark puts the file's task; files are opened through ``pyarrow.fs``. A header longer
+    than 1 MiB stops the job.
     """
     names = list(expected)
 
     def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                uri = f"file://{path[5:]}" if path.startswith("file:/") and "://" not in path else path
-                store, name = fs.FileSystem.from_uri(uri)
+                # Spark names files without escapes
+                if path.startswith("file:"):
+                    store, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+                else:
+                    store, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
                 with store.open_input_stream(name) as stream:
                     start = stream.read(_HEADER_BYTES)
                 line = start.splitlines()[0] if start else b""
