@@ -217,15 +217,15 @@ def materialized_table(spark, sf_dir):
 
 @query(
     """
-    select l_orderkey, l_linenumber,
-           sha256('{"a":[' || cast(l_linenumber as varchar) || '.0,1e+22,' || repeat('7', 45) || '],"b":"1.0","z":' || cast(l_orderkey as varchar) || '.5}') as filter_hash
-    from lineitem
+    select c_custkey,
+           sha256('{"a":[' || cast(c_nationkey as varchar) || '.0,1e+22,' || repeat('7', 45) || '],"b":"1.0","z":' || cast(c_custkey as varchar) || '.5}') as filter_hash
+    from customer
     """
 )
 def json_exact_hash(spark, sf_dir):
     """Documents with fractions that end in zeros, exponents and long integers."""
     document = F.concat(
-        F.lit('{"z": '), F.col("l_orderkey").cast("string"), F.lit('.50, "b": "1.0", "a": ['), F.col("l_linenumber").cast("string"),
+        F.lit('{"z": '), F.col("c_custkey").cast("string"), F.lit('.50, "b": "1.0", "a": ['), F.col("c_nationkey").cast("string"),
         F.lit(".000, 10000e18, " + "7" * 45 + "]}"),
     )
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", canonical_hash(document).alias("filter_hash"))
+    return table(spark, sf_dir, "customer").select("c_custkey", canonical_hash(document).alias("filter_hash"))
