@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sievework.llm.common import as_bytes, record_batches, tasks, written
+from sievework.llm.common import as_bytes, record_batches, release_memory, tasks, written
 from sievework.llm.components import components
 from sievework.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -86,6 +86,7 @@ def _digests(texts: DataFrame) -> DataFrame:
     schema = pa.schema([("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             found = [(len(s), *set_key(s)) for s in shingle_sets(as_bytes(batch, "text"))]
             arrays = [batch.column("doc_id"), *(pa.array(c, t.type) for c, t in zip(zip(*found), schema))]
@@ -103,6 +104,7 @@ def frequent_shingles(texts: DataFrame) -> np.ndarray:
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < min(1.0, HOT_SAMPLE / total) * (1 << 30)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for s in shingle_sets(as_bytes(batch, "text")):
                 yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["s"])
@@ -140,6 +142,7 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     blobs = pa.schema([("bucket", pa.int64()), ("run", pa.binary())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         frequent = shared.value
         held: list[np.ndarray] = []
         keys: list[np.ndarray] = []
@@ -177,6 +180,7 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
 
     hits = pa.schema([("key", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())])
     def find(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         bucket = group[0].as_py()
         runs = [r for batch in batches for r in batch.column("run").to_pylist()]
         token = np.concatenate([_wide(r[: len(r) // 2]) for r in runs])
@@ -429,6 +433,7 @@ def _group_sets(texts: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shingles", pa.binary())])
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for s in shingle_sets(as_bytes(batch, "text")):
