@@ -28,7 +28,7 @@ from sievework.operators.rules import (
     classify,
     standard_rules,
 )
-from sievework.operators.skew import HEAVY_ROWS, heavy_keys, is_heavy
+from sievework.operators.skew import HEAVY_ROWS, TASK_ROWS, heavy_keys, is_heavy, tasks_for
 from sievework.session import saved
 
 # Invalid rows spread over this many groups, and those of a heavy key in one input partition over 16.
@@ -73,6 +73,7 @@ def quality_gate(
     spec: GateSpec,
     heavy: Sequence[int] | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """All rows of ``df``, cleaned, with their outcome in ``quality_rule``.
 
@@ -80,15 +81,21 @@ def quality_gate(
     of :func:`heavy_keys`. With ``[]`` nothing runs until the result is used; by default one job over the key
     columns looks for heavy keys first. The rows of heavy keys are ranked and saved in the shared folder, and
     the input is read twice, so save a costly or random input before.
+
+    As that job counts the rows, tables beyond four times ``task_rows`` are dealt out over tasks of about so many rows,
+    whatever the session's number of shuffle partitions. Given ``heavy``, the session's number holds.
     """
     tagged = _apply_row_rules(df, spec)
     valid = F.col(OUTCOME).isNull()
+    tasks = 1
     if heavy is None:
-        heavy = heavy_keys(tagged, spec.key, heavy_rows, among=valid)
+        rows = tagged.count()
+        heavy = heavy_keys(tagged, spec.key, heavy_rows, among=valid, rows=rows)
+        tasks = tasks_for(rows, task_rows) if rows > 4 * task_rows else 1
     if not heavy:
-        return _settle_by_window(tagged, spec, df)
+        return _settle_by_window(tagged, spec, df, tasks)
     large = valid & is_heavy(spec.key, heavy)
-    by_window = _settle_by_window(tagged.filter(~large), spec, df)
+    by_window = _settle_by_window(tagged.filter(~large), spec, df, tasks)
     by_lanes = _settle_by_lanes(tagged.filter(large).drop(OUTCOME), spec, df, len(heavy))
     return by_window.unionByName(by_lanes)
 
@@ -119,12 +126,14 @@ def _total_order(spec: GateSpec, df: DataFrame) -> list[Column]:
     return [*map(F.col, [*measure, *spec.ranking(df.columns)]), *exact]
 
 
-def _settle_by_window(tagged: DataFrame, spec: GateSpec, df: DataFrame) -> DataFrame:
+def _settle_by_window(tagged: DataFrame, spec: GateSpec, df: DataFrame, tasks: int = 1) -> DataFrame:
     order = _total_order(spec, df)
     # Invalid rows share missing keys. They pass through in lanes by their content instead of in one
     # group, which spares a second scan and, being deterministic, leaves filters free to reach it.
     lane = F.pmod(F.xxhash64(F.lit(0), *order), F.lit(_LANES))
     lanes = tagged.withColumn("_lane", F.when(F.col(OUTCOME).isNotNull(), lane))
+    if tasks > 1:  # the exchange that the window needs anyway, with a number of partitions that follows the rows
+        lanes = lanes.repartition(tasks, *spec.key, "_lane")
     rows = Window.partitionBy(*spec.key, "_lane").orderBy(*order)
     # With the measure leading the order, its extremes are the first and last value of the group and the rank
     # within a conflict-free key is the rank within (key, measure): one window serves all.

@@ -1,4 +1,4 @@
-"""Find the few keys that are too large for one task, and join on keys."""
+"""Find the few keys that are too large for one task, share out rows among tasks, and join on keys."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 # From so many rows a group is too much for one task.
 HEAVY_ROWS = 1_000_000
+# Rows that a task sorts or aggregates, about, and the most partitions of one exchange: beyond their product tasks grow.
+TASK_ROWS = 250_000
+MOST_TASKS = 20_000
 # Keys fall into this many classes by hash, each with a sketch of its own for every task. A sketch's
 # counts are off by at most about 3.5 / SKETCH_ITEMS of its class, which is 1/75,000 of all rows: beyond 75
 # billion rows that, and no longer HEAVY_ROWS, is the smallest group found for certain. It also bounds
@@ -19,31 +22,49 @@ SKETCH_ITEMS = 1024
 _MERGE_LANES = 64
 
 
+def tasks_for(rows: int, task_rows: int = TASK_ROWS) -> int:
+    """Partitions of about ``task_rows`` rows each, so that a task's share does not grow with the table."""
+    return min(max(1, -(-rows // task_rows)), MOST_TASKS)
+
+
+def spread_rows(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` dealt out over tasks of about ``task_rows`` rows; unchanged if it has no more than one's share.
+
+    For costly work on rows that a few large row groups of a file would leave to as many tasks. Rows are counted first.
+    """
+    n = tasks_for(df.count(), task_rows)
+    return df.repartition(n) if n > 1 else df
+
+
 def key_hash(key: Sequence[str]) -> Column:
     """64-bit routing hash of a key."""
     return F.xxhash64(*key)
 
 
 def heavy_keys(
-    df: DataFrame, key: Sequence[str], min_rows: int = HEAVY_ROWS, among: Column | None = None
+    df: DataFrame,
+    key: Sequence[str],
+    min_rows: int = HEAVY_ROWS,
+    among: Column | None = None,
+    rows: int | None = None,
 ) -> list[int]:
     """Routing hashes of the keys that hold at least ``min_rows`` rows, of those where ``among`` holds.
 
     Tables of fewer rows have none, which a bare count tells. Else the rows of each hash class are counted, and frequent-items
     sketches per task cover only the classes that are large enough: only sums and sketches are shuffled,
     never rows. The list only chooses between two exact ways to treat a key, so a missed or extra
-    key (or a hash collision) costs time and never changes a result.
+    key (or a hash collision) costs time and never changes a result. ``rows`` may pass the known number of rows.
     """
-    if df.count() < min_rows:
+    if (df.count() if rows is None else rows) < min_rows:
         return []
-    rows = df if among is None else df.filter(among)
-    counts = rows.groupBy(_hash_class(key_hash(key)).alias("class")).count()
+    chosen = df if among is None else df.filter(among)
+    counts = chosen.groupBy(_hash_class(key_hash(key)).alias("class")).count()
     classes = [r["class"] for r in counts.filter(F.col("count") >= min_rows).collect()]  # at most 256
     if not classes:
         return []
     if len(classes) < CLASSES:
-        rows = rows.filter(_hash_class(key_hash(key)).isin(classes))
-    found = sketched_counts(rows, key).filter(F.col("count") >= min_rows)
+        chosen = chosen.filter(_hash_class(key_hash(key)).isin(classes))
+    found = sketched_counts(chosen, key).filter(F.col("count") >= min_rows)
     return sorted(r["item"] for r in found.select("item").collect())  # at most 75,000
 
 

@@ -188,6 +188,18 @@ def test_ordinary_keys_take_one_exchange_one_sort_one_window(spark):
     assert plan.count("Window [") == 1
 
 
+def test_tasks_of_the_gate_follow_the_rows(spark):
+    """However few shuffle partitions the session has, and still one exchange and one sort."""
+    frame = spark.range(3000).select((F.col("id") % 700).alias("k"), (F.col("id") % 1400).alias("m"))
+    spec = GateSpec(key=["k"], measure="m")
+    gated = quality_gate(frame, spec, task_rows=100)
+    plan = gated._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    assert gated.rdd.getNumPartitions() == 30
+    assert rows(gated) == rows(quality_gate(frame, spec, heavy=[]))
+    assert quality_gate(frame, spec, task_rows=1000).rdd.getNumPartitions() <= 4  # up to four tasks' share
+
+
 def test_heavy_rows_are_ranked_in_lanes(spark):
     frame = spark.range(100).select((F.col("id") % 2).alias("k"), F.col("id").alias("m"))
     heavy = [frame.select(key_hash(["k"])).first()[0]]
