@@ -18,7 +18,7 @@ from sievework.catalogue.registry import (
 )
 from sievework.operators.checks import gate_counts
 from sievework.operators.model import build_dimension
-from sievework.operators.provenance import RunMetadata, with_provenance
+from sievework.operators.provenance import RunMetadata
 from sievework.operators.rules import classify, count_by_outcome, standard_rules
 from sievework.errors import SchemaContractError
 from sievework.plans import census
@@ -185,9 +185,11 @@ def saved_mart(spark, sf_dir):
 
 
 def _written(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    stamped = with_provenance(gated_lines(spark, sf_dir), RUN, LINE_MODEL.hash_columns)
     out = fresh_folder(spark, "gate-result")
-    return write_gate_result(stamped, RUN, f"{out}/accepted", f"{out}/quarantined")
+    gated = gated_lines(spark, sf_dir)
+    return write_gate_result(
+        gated, RUN, f"{out}/accepted", f"{out}/quarantined", hash_columns=LINE_MODEL.hash_columns
+    )
 
 
 _STAMP_SQL = """'LINES' as dataset_id, '1998' as edition, 3 as version,

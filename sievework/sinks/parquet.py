@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sievework.operators.gate import accepted_rows, quarantined_rows
-from sievework.operators.provenance import RunMetadata
+from sievework.operators.provenance import RunMetadata, with_provenance
 from sievework.operators.rules import ACCEPTED, OUTCOME
+from sievework.operators.skew import spread_rows
 from sievework.session import fresh_folder
 from sievework.sources.tables import read_layer
 
@@ -71,6 +72,7 @@ def write_gate_result(
     curated_path: str,
     quarantine_path: str,
     stage_path: str | None = None,
+    hash_columns: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Save accepted rows by edition and version, quarantined rows also by rule, in two places.
 
@@ -78,7 +80,14 @@ def write_gate_result(
     parts as read back. The gate runs once: its result is staged in a table partitioned by outcome
     (by default in the shared folder), and both layers are narrow copies of their part of it. The
     staged table is emptied once both are written.
+
+    With ``hash_columns`` the gate result is one without provenance: it is staged and shuffled as it is, and the copies get
+    the run's stamp and their fingerprints as they are written, which spares the staged table the widest columns.
     """
+
+    def stamped(part: DataFrame) -> DataFrame:
+        return part if hash_columns is None else with_provenance(part, run, hash_columns)
+
     spark: SparkSession = gated.sparkSession
     stage_path = stage_path or fresh_folder(spark, "gate")
     outcome = F.coalesce(F.col(OUTCOME), F.lit(ACCEPTED))
@@ -93,9 +102,9 @@ def write_gate_result(
     staged = read_layer(spark, stage_path, staged_schema)
     passed = staged.filter(F.col(staged_outcome) == ACCEPTED).drop(staged_outcome)
     failed = staged.filter(F.col(staged_outcome) != ACCEPTED).drop(staged_outcome)
-    accepted = accepted_rows(passed)
-    # rebalance: even files per rule, also when one rule holds most rows
-    quarantined = quarantined_rows(failed).hint("rebalance", F.col(OUTCOME))
+    accepted = stamped(accepted_rows(passed))
+    # even files per rule, also when one rule holds most rows, and a bounded sort by rule in each task
+    quarantined = stamped(spread_rows(quarantined_rows(failed)))
     replace_version(accepted, curated_path, run.edition, run.version)
     replace_version(quarantined, quarantine_path, run.edition, run.version, [OUTCOME])
     spark.createDataFrame([], gated.schema).write.mode("overwrite").parquet(stage_path)

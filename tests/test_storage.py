@@ -10,15 +10,18 @@ from conftest import FAULT_ROWS, SAMPLE_ROWS, SAMPLE_TOTALS, csv_text, metadata_
 from sievework import session as session_module
 from sievework.errors import ArtifactError, SchemaContractError
 from sievework.operators.evidence import collect_evidence
+from sievework.operators.gate import quality_gate
 from sievework.operators.ledger import with_object_key
 from sievework.operators.model import layer_counts
 from sievework.operators.provenance import PROVENANCE, RunMetadata
 from sievework.operators.rules import OUTCOME
+from sievework.operators.skew import spread_rows
 from sievework.plans import census
 from sievework.plans.landing import land_artifacts, read_definition
 from sievework.plans.warehouse import gate_and_stamp, publish
 from sievework.schemas import declare
 from sievework.session import fresh_folder, shared_folder
+from sievework.sinks import parquet
 from sievework.sinks.jdbc import write_jdbc
 from sievework.sinks.parquet import replace_version, save_gated, version_path, write_gate_result
 from sievework.sinks.reports import SUMMARY_SCHEMA, run_summary, write_json
@@ -133,6 +136,24 @@ def test_gate_result_round_trip(spark, tmp_path):
     assert tuple(saved.first()) == ("run-1", "TS009", "2021", 1, 15, 9, 6)
 
 
+def test_bare_gate_result_is_stamped_where_it_is_copied(spark, tmp_path, monkeypatch):
+    """Staged without the stamp's columns; the rest is dealt out by rows, not in one task per rule."""
+    source = spark.createDataFrame(SAMPLE_ROWS + FAULT_ROWS, census.source_schema())
+    stage = str(tmp_path / "stage")
+    monkeypatch.setattr(parquet, "spread_rows", lambda df: spread_rows(df, 2))
+    accepted, quarantined = write_gate_result(
+        quality_gate(source, census.MODEL.gate), run(), str(tmp_path / "a"), str(tmp_path / "q"), stage,
+        hash_columns=census.MODEL.hash_columns,
+    )
+    stamped = gate_and_stamp(source, census.MODEL, run())
+    assert accepted.columns == [*census.SOURCE_COLUMNS, *PROVENANCE]
+    assert rows(accepted) == rows(stamped.filter("quality_rule is null").drop(OUTCOME))
+    assert rows(quarantined.select(stamped.columns)) == rows(stamped.filter("quality_rule is not null"))
+    assert not set(PROVENANCE) & set(spark.read.parquet(stage).columns)
+    files = [f for f in (tmp_path / "q").rglob("*.parquet")]
+    assert len({f.name.split("-")[1] for f in files}) == 3  # six rows, two a task
+
+
 @pytest.fixture
 def long_plans(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
