@@ -36,7 +36,7 @@ from sievework.operators.rules import (
     split,
     standard_rules,
 )
-from sievework.operators.skew import rows_with_keys, rows_without_keys
+from sievework.operators.skew import rows_with_keys, rows_without_keys, tasks_for
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_GATE = GateSpec(
@@ -361,8 +361,10 @@ def provenance_stamp(spark, sf_dir):
 )
 def fingerprint_distinct(spark, sf_dir):
     accepted = accepted_rows(gated_lines(spark, sf_dir))
-    hashes = accepted.select(row_fingerprint(accepted.columns).alias("h"))
-    return hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).agg(
+    hashes = accepted.select(F.unhex(row_fingerprint(accepted.columns)).alias("h"))
+    # hardly any hash recurs, so all of them are held: in a number of tasks that follows their number
+    dealt = hashes.repartition(tasks_for(line_quantities(spark, sf_dir).count()), "h")
+    return dealt.groupBy("h").agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("n_rows"), F.count("h").alias("n_hashes")
     )
 
