@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from sievework.catalogue.gate_queries import gated_lines
 from sievework.catalogue.landing_queries import page_manifest
 from sievework.catalogue.registry import LINES_SQL, line_quantities, query, table
-from sievework.functions.canonical import canonical_hash
+from sievework.functions.canonical import HASHED_ROWS, canonical_hash
 from sievework.operators.contracts import accepted_values, constraint_violations
 from sievework.operators.gate import accepted_rows
 from sievework.operators.ledger import manifest_constraints, unknown_manifest_fields
 from sievework.operators.model import build_fact, layer_measures
+from sievework.operators.skew import spread_rows
 from sievework.plans.landing import land_artifacts
 from sievework.session import fresh_folder
 from sievework.sinks.tables import materialize
@@ -228,4 +229,5 @@ def json_exact_hash(spark, sf_dir):
         F.lit('{"z": '), F.col("c_custkey").cast("string"), F.lit('.50, "b": "1.0", "a": ['), F.col("c_nationkey").cast("string"),
         F.lit(".000, 10000e18, " + "7" * 45 + "]}"),
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", canonical_hash(document).alias("filter_hash"))
+    customers = spread_rows(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), HASHED_ROWS)
+    return customers.select("c_custkey", canonical_hash(document).alias("filter_hash"))

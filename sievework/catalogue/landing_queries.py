@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sievework.catalogue.check_queries import SUITE_SQL, suite_results
 from sievework.catalogue.gate_queries import gated_lines
 from sievework.catalogue.registry import LOADED_AT, document_digests, line_quantities, query, table
-from sievework.functions.canonical import canonical_hash
+from sievework.functions.canonical import HASHED_ROWS, canonical_hash
 from sievework.functions.status import job_status, parse_status
 from sievework.operators.checks import gate_counts
 from sievework.operators.definitions import definition_violations
@@ -24,6 +24,7 @@ from sievework.operators.ledger import (
     with_object_key,
 )
 from sievework.operators.provenance import RunMetadata
+from sievework.operators.skew import spread_rows
 from sievework.plans.landing import open_ledger
 from sievework.session import fresh_folder
 from sievework.sinks.parquet import save_layer
@@ -51,9 +52,9 @@ def json_canonical_hash(spark, sf_dir):
         "o_orderstatus",
         F.lit('"} }'),
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", canonical_hash(definition).alias("filter_hash")
-    )
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    orders = spread_rows(table(spark, sf_dir, "orders").select(*columns), HASHED_ROWS)
+    return orders.select("o_orderkey", canonical_hash(definition).alias("filter_hash"))
 
 
 @query(

@@ -156,6 +156,10 @@ def canonical_json(document: Column) -> Column:
     return F.array_join(F.transform(pieces, _ascii_piece), "")
 
 
+# Hashing documents costs many times what reading them does: about so many short ones are a task's share (``spread_rows``).
+HASHED_ROWS = 20_000
+
+
 def canonical_hash(document: Column) -> Column:
     """SHA-256 of :func:`canonical_json`."""
     return F.sha2(canonical_json(document), 256)

@@ -7,12 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.catalogue import QUERIES
+from sievework.catalogue import QUERIES, contract_queries, gate_queries, landing_queries
 from sievework.operators.checks import NotNull, negative_rows, null_counts, run_checks
 from sievework.operators.gate import GateSpec, quality_gate
 from sievework.operators.model import build_dimension, build_fact, conform
 from sievework.operators.provenance import RunMetadata, with_provenance
-from sievework.operators.skew import rows_with_keys
+from sievework.operators.skew import rows_with_keys, tasks_for
 from sievework.schemas import declare
 
 SHUFFLE = re.compile(r"Exchange (hash|range|RoundRobin|SinglePartition)")
@@ -82,6 +82,25 @@ def test_document_queries_are_row_local(spark, name):
     assert shuffles(QUERIES[name](spark, "/root/testdata/sf0.001")) == 0
 
 
+def test_fingerprints_are_held_by_as_many_tasks_as_their_number_asks_for(spark, monkeypatch):
+    monkeypatch.setattr(gate_queries, "tasks_for", lambda rows: tasks_for(rows, 500))
+    frame = QUERIES["fingerprint_distinct"](spark, "/root/testdata/sf0.001")
+    text = plan(frame)
+    assert re.search(r"hashpartitioning\(h#\d+, 12\), REPARTITION_BY_NUM", text)  # 6000 rows
+    assert "unhex(" in text
+    assert tuple(frame.first()) == tuple(QUERIES["fingerprint_distinct"](spark, "/root/testdata/sf0.001").first())
+
+
+@pytest.mark.parametrize("name, module", [("json_exact_hash", contract_queries), ("json_canonical_hash", landing_queries)])
+def test_documents_are_hashed_by_many_tasks(spark, monkeypatch, name, module):
+    """A file's single row group is one task's to read, but not to hash."""
+    expected = sorted(map(tuple, QUERIES[name](spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(module, "HASHED_ROWS", 10)
+    frame = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert frame.rdd.getNumPartitions() == -(-len(expected) // 10)
+    assert sorted(map(tuple, frame.collect())) == expected
+
+
 def test_filters_and_columns_reach_the_scan(spark, lines):
     text = plan(negative_rows(lines, "m").select("k"))
     assert "PushedFilters: [IsNotNull(m), LessThan(m,0)]" in text
