@@ -77,9 +77,11 @@ def collector_off() -> Iterator[None]:
             gc.enable()
 
 
-def release_memory() -> None:
+def release_memory(keep: bool = False) -> None:
     """Give memory that earlier tasks have freed back to the system: Spark reuses workers, and a C library keeps
-    what it once had."""
+    what it once had. Caches that another operator's tasks have left in this worker go too, unless ``keep``."""
+    if not keep:
+        worker_cache().clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -87,10 +89,15 @@ def release_memory() -> None:
         trim(0)
 
 
+def worker_cache() -> dict[str, Any]:
+    """What lasts in this Python worker from task to task."""
+    return sys.modules.setdefault("_sievework_worker", ModuleType("_sievework_worker")).__dict__.setdefault("held", {})
+
+
 def of_worker(kind: str, content: tuple[bytes | str, ...], make: Callable[[], Any]) -> Any:
     """What ``make`` gave for this content in this Python worker, which Spark reuses: later tasks go on with the caches of earlier
     ones. A worker holds one value of a kind."""
-    held = sys.modules.setdefault("_sievework_worker", ModuleType("_sievework_worker")).__dict__
+    held = worker_cache()
     digest = hashlib.sha256()
     for part in content:
         digest.update(part.encode() if isinstance(part, str) else part)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sievework.llm.common import as_bytes
+from sievework.llm.common import as_bytes, release_memory
 
 ORDER = 3
 # Documents per language that the trees are learned from, chosen by a hash of id and text.
@@ -210,6 +210,7 @@ def predict_language(docs: DataFrame, model: Model, text: str = "text", margin:
         schema = schema.add("margin", "double")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             codes, *numbers = verdicts(Model(*shared.value), as_bytes(batch, text))
             arrays = [pa.array(codes, pa.string()), *[pa.array(n, pa.float64()) for n in numbers]]
