@@ -28,7 +28,6 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import collector_off, record_batches, release_memory, tasks, written
+from sievework.llm.common import collector_off, record_batches, release_memory, tasks, worker_cache, written
 from sievework.session import fresh_folder
 
 # Constant and rotation of the mask.
@@ -44,8 +43,9 @@ _MASK, _TURN = 0xA282EAD8, 15
 _INDEX = np.dtype([("offset", "<u8"), ("ids", "<u8")])
 # A file is closed beyond this size and the task starts another one.
 FILE_BYTES = 256 << 20
-# Encodings of words kept by a worker, about so many bytes for each of two generations of two caches.
-_CACHE_BYTES = 32 << 20
+# Encodings kept by a worker, about so many bytes for each of two generations: of first parts, lines and signs,
+# which are few, and of words after a space.
+_FIRST_BYTES, _REST_BYTES = 12 << 20, 52 << 20
 
 
 def masked(data: bytes) -> int:
@@ -78,11 +78,11 @@ def payload_of(data: bytes, at: int = 0) -> tuple[bytes, int]:
 
 class WordCache(dict):
     """Ids, as bytes, of text between two word boundaries, encoded when first met. A generation ends at
-    ``_CACHE_BYTES``; the entries of the one before are kept until they are met again or replaced."""
+    ``most_bytes``; the entries of the one before are kept until they are met again or replaced."""
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
+    def __init__(self, encode: Callable[[str], bytes], most_bytes: int) -> None:
         super().__init__()
-        self.encode = encode
+        self.encode, self.most_bytes = encode, most_bytes
         self.older: dict[str, bytes] = {}
         self.size = 0
 
@@ -91,7 +91,7 @@ class WordCache(dict):
         if ids is None:
             ids = self.encode(part)
         if len(part) < 64:
-            if self.size >= _CACHE_BYTES:
+            if self.size >= self.most_bytes:
                 self.older = dict(self)
                 self.clear()
                 self.size = 0
@@ -119,7 +119,8 @@ class Encoder:
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.in_parts = _is_byte_level(json.loads(content))
         self.model = self.tokenizer.model
-        self.first, self.rest = WordCache(self._part), WordCache(lambda part: self._part(part, " "))
+        self.first = WordCache(self._part, _FIRST_BYTES)
+        self.rest = WordCache(lambda part: self._part(part, " "), _REST_BYTES)
 
     def _packed(self, ids: list[int]) -> bytes:
         packed = array("H" if self.dtype.itemsize == 2 else "I", ids)
@@ -164,7 +165,7 @@ class Encoder:
 
 def worker_encoder(content: str, end_id: int | None) -> Encoder:
     """The encoder of this Python worker, which Spark reuses: later tasks know the words of earlier ones."""
-    held = sys.modules.setdefault("_sievework_worker", ModuleType("_sievework_worker")).__dict__
+    held = worker_cache()
     key = f"{hashlib.sha256(content.encode()).hexdigest()}-{end_id}"
     if held.get("key") != key:
         held["key"], held["encoder"] = key, Encoder(content, end_id)
@@ -262,7 +263,7 @@ def write_records(
 
         part = TaskContext.get().partitionId()
         encode, out, number = None, None, 0
-        release_memory()
+        release_memory(keep=True)
         with collector_off():
             for batch in batches:
                 encode = encode or worker_encoder(shared.value, end_id)
