@@ -45,6 +45,10 @@ class Made(dict):
         self.older: dict[str, Any] = {}
         self.size = 0
 
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.size = {}, 0
+
     def __missing__(self, key: str) -> Any:
         value = self.older.get(key)
         if value is None:

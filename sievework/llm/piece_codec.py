@@ -35,10 +35,13 @@ _LINE = re.compile("(\n)")
 # Up to so many characters an agenda is a plain list.
 _SHORT = 40
 _NO_PIECE = float("inf")
-# Encodings of cuts that a task holds, about.
-MEMO_BYTES = 192 << 20
+# Encodings of cuts that a worker holds, about; more where it holds nothing else.
+MEMO_BYTES, CODER_MEMO_BYTES = 192 << 20, 384 << 20
 # Characters of texts that are encoded and checked together.
 CHECK_CHARS = 1 << 18
+# New cuts that the library encodes in a row, and what stands before those of spaces alone.
+_ROW = 256
+_LETTER = f"{SPACE}a"
 
 # each byte that is not UTF-8 comes back as one replacement character
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -51,7 +54,7 @@ class PieceModel:
     are taken, others raise ValueError.
     """
 
-    def __init__(self, content: bytes) -> None:
+    def __init__(self, content: bytes, memo_bytes: int = MEMO_BYTES) -> None:
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -95,7 +98,16 @@ class PieceModel:
         self.spaced = {i for i, said in enumerate(self.said) if said[:1] == b" " and i not in self.byte_ids}
         self.spaced.discard(self.unknown)
         self.silent = {i for i, said in enumerate(self.said) if not said}
-        self.cuts = Made(self._parts, MEMO_BYTES)
+        self.cuts = Made(self._made, memo_bytes)
+        # cuts can be checked apart from their texts; new ones are noted where that is asked for
+        self.by_cuts = bool(self.prefix and self.bytes)
+        self.fresh: list[tuple[str, tuple[int, ...]]] | None = None
+
+    def _made(self, cut: str) -> tuple[int, ...]:
+        ids = self._parts(cut)
+        if self.fresh is not None and cut[0] == SPACE:
+            self.fresh.append((cut, ids))
+        return ids
 
     def _parts(self, cut: str) -> tuple[int, ...]:
         if not self.bytes:
@@ -234,6 +246,26 @@ def checked(model: PieceModel, keys: list[int | None], texts: list[str], ids: li
     return model.library.decode(ids, num_threads=1)
 
 
+def checked_by_cuts(model: PieceModel, keys: list[int | None], texts: list[str], ids: list[list[int]]) -> list[str]:
+    """The library's decoded texts, once its ids of all cuts that are new since the last call are found to be the given ones.
+
+    A text's ids are those of its cuts one after the other, so cuts that recur need no second look. New ones go to the
+    library in a row, as in a text; those of spaces alone, which would run into the next one, after a letter each.
+    """
+    fresh, model.fresh = model.fresh or [], []
+    words = [f for f in fresh if f[0][-1] != SPACE]
+    rows = [words[i : i + _ROW] for i in range(0, len(words), _ROW)]
+    letter = (_LETTER, model.agenda(_LETTER))
+    rows += [[letter, f] for f in fresh if f[0][-1] == SPACE]
+    mine = [list(chain.from_iterable(found for _, found in row)) for row in rows]
+    # the library puts the first space itself
+    if rows and model.library.encode(["".join(cut for cut, _ in row)[1:] for row in rows], num_threads=1) != mine:
+        model.cuts.forget()
+        checked(model, keys, texts, ids)
+        raise LibraryDiffers("the library's ids of new cuts differ")
+    return model.library.decode(ids, num_threads=1)
+
+
 _OUT = "doc_id long, ids array<int>, decoded string"
 
 
@@ -243,8 +275,9 @@ def encode_pieces(
     """``doc_id``, ``ids`` (with the end id last, if ``end``) and ``decoded`` (their text) of every document.
 
     A NULL text counts as empty: the end id alone, and an empty decoded text. Rows repeated in full give as many rows, a
-    NULL id stays NULL, other columns are ignored, no rows give none. With ``check`` every Arrow batch goes through
-    the sentencepiece library too: other ids raise :class:`LibraryDiffers` rather than being returned, and the library decodes.
+    NULL id stays NULL, other columns are ignored, no rows give none. With ``check`` every cut that a
+    worker meets for the first time goes through the sentencepiece library too (whole texts, if the model has no bytes or puts no
+    space first): other ids raise :class:`LibraryDiffers` rather than being returned, and the library decodes all ids.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
@@ -282,12 +315,21 @@ def _coder(docs: DataFrame, model: bytes, check: bool, out, schema: pa.Schema):
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = of_worker("pieces", (shared.value,), lambda: PieceModel(shared.value))
+        # checked cuts and others are not held together
+        kind = "checked-pieces" if check else "pieces"
+        pieces = of_worker(kind, (shared.value,), lambda: PieceModel(shared.value, CODER_MEMO_BYTES))
+        if check and pieces.by_cuts and pieces.fresh is None:
+            pieces.fresh = []
 
         def rows() -> Iterator[tuple]:
             for keys, texts in _portions(batches):
                 ids = [pieces.encode(text) for text in texts]
-                decoded = checked(pieces, keys, texts, ids) if check else list(map(pieces.decode, ids))
+                if not check:
+                    decoded = list(map(pieces.decode, ids))
+                elif pieces.by_cuts:
+                    decoded = checked_by_cuts(pieces, keys, texts, ids)
+                else:
+                    decoded = checked(pieces, keys, texts, ids)
                 for one in zip(keys, ids, decoded):
                     yield out(pieces, *one)
 

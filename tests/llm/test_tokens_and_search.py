@@ -15,7 +15,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from sievework.llm import lexical_search, piece_codec, queries, token_alignment
+from sievework.llm import binary_records, common, lexical_search, piece_codec, queries, token_alignment
 from sievework.llm.memo import Made, Memo
 
 TOKENIZER = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
@@ -108,6 +108,53 @@ def test_a_difference_from_the_library_is_raised():
         piece_codec.checked(model, [1, 2], ["some words"] * 2, [ids, ids[1:]])
 
 
+def test_other_operators_caches_leave_the_worker():
+    """Only the tasks that fill a cache keep it when they give memory back."""
+    held = common.worker_cache()
+    before = dict(held)
+    common.of_worker("test", ("x",), lambda: [1])
+    common.release_memory(keep=True)
+    assert common.of_worker("test", ("x",), lambda: [2]) == [1]
+    common.release_memory()
+    assert not held
+    held.update(before)
+
+
+def test_words_get_the_larger_cache_and_small_ones_change_nothing(monkeypatch):
+    tokenizer = binary_records.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert binary_records.Encoder(tokenizer, 2).rest.most_bytes > 40 << 20
+    texts = [" ".join(f"word{i % 7}, other{i}." for i in range(n, n + 40)) for n in range(9)]
+    expected = [binary_records.Encoder(tokenizer, 2)(t) for t in texts]
+    monkeypatch.setattr(binary_records, "_FIRST_BYTES", 300)
+    monkeypatch.setattr(binary_records, "_REST_BYTES", 2000)
+    small = binary_records.Encoder(tokenizer, 2)
+    assert [small(t) for t in texts] == expected and small.rest.older
+
+
+def test_library_sees_every_cut_once_and_other_ids_stop_the_job():
+    model = piece_codec.PieceModel(MODEL)
+    model.fresh = []
+    texts = ["some words, and some", " two  spaces  ", "", " ", "a\n\nline\n b", "▁x ▁ y", "é中😀 some words,", "x" * 99, "tail "]
+    for _ in range(2):  # the second time only what is too long to be held
+        ids = [model.encode(t) for t in texts]
+        assert ids == model.library.encode(texts)
+        seen = [cut for cut, _ in model.fresh]
+        assert len(seen) == len(set(seen)) and model.fresh
+        assert piece_codec.checked_by_cuts(model, list(range(9)), texts, ids) == model.library.decode(ids)
+        assert model.fresh == []
+    assert seen == [piece_codec.SPACE + "x" * 99]
+    text = "quite new words"
+    for wrong in (piece_codec.SPACE + "new", piece_codec.SPACE):
+        model = piece_codec.PieceModel(MODEL)
+        model.fresh, parts = [], model._parts
+        model._parts = lambda cut, wrong=wrong, parts=parts: parts(cut)[:-1] if cut == wrong else parts(cut)
+        texts = [text, text + " "]
+        ids = [model.encode(t) for t in texts]
+        with pytest.raises(piece_codec.LibraryDiffers, match="document [78]"):
+            piece_codec.checked_by_cuts(model, [7, 8], texts, ids)
+        assert not model.cuts and not model.cuts.older  # a task that is tried again finds it again
+
+
 def test_other_models_are_refused():
     from sentencepiece import sentencepiece_model_pb2
 
