@@ -8,7 +8,8 @@ tokens are empty but for the last. Only groups in which both split characters ar
 of their tokens' decoded bytes.
 
 A space after another character than white space begins a token in both, so a text falls into chunks there that are
-aligned on their own, and recurring chunks are aligned once.
+aligned on their own. A chunk falls into parts between a letter and a sign, and around a single newline, wherever the two
+characters stand side by side in no piece of B: A's words end there too. Recurring parts are aligned once.
 
 Links are counted over the corpus as (A id, B id) pairs per document. Pairs beyond the most frequent ones, whose
 number is bounded, are looked up by a shuffle; no such pair is frequent enough to make a hot key.
@@ -20,9 +21,10 @@ import hashlib
 import json
 import os
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,11 +40,14 @@ from sievework.llm.piece_codec import SPACE, PieceModel
 # Place before a space that follows another character than white space and is not the last character.
 _CHUNK = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 _SPACES = [chr(c) + " " for c in range(0x3001) if chr(c).isspace() and c != 32]
+# Letters of every Unicode version, and places around a single newline between other characters than white space.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ɏ]"
+_LINES = r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)"
 # Pairs whose counts are broadcast at most (about 24 bytes each).
 HOT_PAIRS = 1 << 20
 # Characters of new chunks that are encoded together.
 ENCODE_CHARS = 1 << 18
-# Alignments of chunks that a task holds, about.
+# Alignments of parts that a task holds, about.
 MEMO_BYTES = 160 << 20
 # Groups of more links are multiplied by distinct ids rather than link by link.
 _LARGE = 64
@@ -57,8 +62,8 @@ def chunks_of(text: str) -> list[str]:
 
 
 class Chunk(NamedTuple):
-    """A chunk's alignment: tokens of A and B, groups, groups as text, links as pairs, and each pair's times (None: once each), both
-    as packed 64-bit numbers."""
+    """Alignment of a chunk or a part of one: tokens of A and B, groups, groups as text, links as pairs, and each pair's times (None:
+    once each), both as packed 64-bit numbers."""
 
     n_a: int
     n_b: int
@@ -89,41 +94,73 @@ class Aligner:
             added[i] if i in added else bytes(byte_of_sign(c) for c in self.a.id_to_token(i) or "") for i in range(size)
         ]
         self.a_names, self.b_names = [str(i) for i in range(size)], self.b.names
+        # A's names within and at the end of their side of a group, then B's, and the lengths of all
+        self.listed = [name + sign for names, signs in ((self.a_names, ",|"), (self.b_names, ",;")) for sign in signs for name in names]
+        self.listed_sizes = np.array([len(x) for x in self.listed])
         self.a_sizes, self.b_sizes = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b.said])
         self.width = pair_width(model)
         self.memo = Memo(MEMO_BYTES)
+        # unknown neighbours would be one token of B, and added tokens of A may stand anywhere
+        self.places = None
+        if self.b.bytes and all(t.get("special") for t in content.get("added_tokens") or ()):
+            joined = {p[1] for p in self.b.pairs if re.match(_LETTERS, p)}
+            signs = "".join(c for c in string.punctuation if c not in joined)
+            places = [f"(?<={_LETTERS})(?=[{re.escape(signs)}])"] if signs else []
+            if self.b.lines:
+                places.append(_LINES)
+            self.places = re.compile("|".join(places)) if places else None
 
     def chunks(self, texts: list[str]) -> dict[str, Chunk | None]:
         """Alignment of each chunk of the texts; None where the joined bytes of A or B are not the chunk's."""
+        return self.aligned([chunks_of(text) for text in texts])
+
+    def aligned(self, texts: list[list[str]]) -> dict[str, Chunk | None]:
+        """What :meth:`chunks` gives for texts that are cut into chunks already."""
         found: dict[str, Chunk | None] = {}
-        new: list[str] = []
+        new: list[list[str]] = []
         held = 0
-        for text in texts:
-            for chunk in chunks_of(text):
-                if chunk in found:
-                    continue
-                known = found[chunk] = self.memo.get(chunk)
+        memo = self.memo
+        for chunk in dict.fromkeys(chain.from_iterable(texts)):
+            known = memo.newer.get(chunk)
+            if known is None:
+                parts = self.parts(chunk)
+                if len(parts) > 1:
+                    known = _joined([memo.newer.get(p) or memo.get(p) for p in parts])
+                known = known or memo.get(chunk)
                 if known is None:
-                    new.append(chunk)
+                    new.append(parts)
                     held += len(chunk)
-                    if held >= ENCODE_CHARS:
-                        self._align_all(new, found)
-                        new, held = [], 0
+            found[chunk] = known
+            if held >= ENCODE_CHARS:
+                self._align_all(new, found)
+                new, held = [], 0
         self._align_all(new, found)
         return found
 
-    def _align_all(self, new: list[str], found: dict[str, Chunk | None]) -> None:
+    def parts(self, chunk: str) -> list[str]:
+        """A chunk cut where a token of A and one of B end, whatever stands before and behind."""
+        if self.places is None or chunk[1:].isalpha():
+            return [chunk]
+        return self.places.split(chunk)
+
+    def _align_all(self, new: list[list[str]], found: dict[str, Chunk | None]) -> None:
+        """``new``: chunks as their parts."""
         # one after the other, chunks are a text that falls into them again, but for those that end in white space
-        plain = [c for c in new if not c[-1].isspace() and SPACE not in c]
-        done = self._align_joined(plain) if plain else []
-        if done is None:
-            done, plain = [], []
-        settled = dict(zip(plain, done))
-        for chunk in new:
-            aligned = settled.get(chunk) or self._align_one(chunk)
-            found[chunk] = aligned
-            if aligned:
-                self.memo.put(chunk, aligned, 250 + len(aligned.pairs) + len(aligned.groups))
+        plain = [parts for parts in new if not parts[-1][-1].isspace() and not any([SPACE in p for p in parts])]
+        settled = self._align_joined(list(chain.from_iterable(plain))) if plain else {}
+        memo = self.memo
+        for parts in new:
+            chunk = "".join(parts)
+            aligned = found[chunk] = _joined([settled.get(p) for p in parts])
+            if aligned is None:
+                aligned = found[chunk] = self._align_one(chunk)
+                if aligned:
+                    memo.put(chunk, aligned, 250 + len(aligned.pairs) + len(aligned.groups))
+                continue
+            for part in parts:
+                if part not in memo.newer:
+                    one = settled[part]
+                    memo.put(part, one, 250 + len(one.pairs) + len(one.groups))
 
     def _align_one(self, chunk: str) -> Chunk | None:
         a = self.a.encode(chunk, add_special_tokens=False)
@@ -131,18 +168,18 @@ class Aligner:
         b = self.b.library.encode(chunk[1:], return_type="proto").pieces
         return self.align(chunk, a.ids, a.offsets, [p.id for p in b], [p.end for p in b])
 
-    def _align_joined(self, chunks: list[str]) -> list[Chunk | None] | None:
-        """Alignments of chunks that are encoded as one text, as :meth:`align` gives them; None for a chunk with a large group, and
-        None in all if the joined bytes of A or B are not the text's."""
-        text = "".join(chunks)
+    def _align_joined(self, parts: list[str]) -> dict[str, Chunk]:
+        """Alignments of parts that are encoded as one text, as :meth:`align` gives them, without those that have a large group; none
+        at all if the joined bytes of A or B are not the text's, or a part does not end with a token of both."""
+        text = "".join(parts)
         data = text.encode()
         first = self.a.encode(text, add_special_tokens=False)
         second = self.b.library.encode(text[1:], return_type="proto").pieces
         a, b = first.ids, [p.id for p in second]
         if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b.said.__getitem__, b)) != data:
-            return None
+            return {}
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        spans = np.array(first.offsets, np.int64)
+        spans = np.fromiter(chain.from_iterable(first.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         ends_b = np.fromiter((p.end for p in second), np.int64, len(b)) + 1
         raw = np.frombuffer(data, np.uint8)
         places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
@@ -159,31 +196,40 @@ class Aligner:
         at[ends_a] = 1
         at[ends_b] |= 2
         at[0] = 0
+        part_ends = places[np.fromiter(map(len, parts), np.int64, len(parts)).cumsum()]
+        if (at[part_ends] != 3).any():
+            return {}
         cut_a = np.concatenate(([0], np.flatnonzero(at[ends_a] == 3) + 1))
         cut_b = np.concatenate(([0], np.flatnonzero(at[ends_b] == 3) + 1))
         n_a, n_b = np.diff(cut_a), np.diff(cut_b)
         n_links = n_a * n_b
-        # every chunk ends with a group
-        last = np.searchsorted(ends_a[cut_a[1:] - 1], np.cumsum([len(c.encode()) for c in chunks])) + 1
+        # every part ends with a group
+        last = np.searchsorted(ends_a[cut_a[1:] - 1], part_ends) + 1
         large = np.flatnonzero(n_links > _LARGE)
         small = np.where(n_links > _LARGE, 0, n_links)
         group = np.repeat(np.arange(len(small)), small)
         place = np.arange(len(group)) - np.repeat(small.cumsum() - small, small)
         pairs = ids_a[cut_a[group] + place // n_b[group]] * self.width + ids_b[cut_b[group] + place % n_b[group]]
         link_ends = small.cumsum()
-        names_a, names_b = [self.a_names[i] for i in a], [self.b_names[i] for i in b]
-        texts = [
-            f"{','.join(names_a[i:j])}|{','.join(names_b[k:l])}"
-            for i, j, k, l in zip(cut_a.tolist(), cut_a[1:].tolist(), cut_b.tolist(), cut_b[1:].tolist())
-        ]
         packed = pairs.astype(np.int64).tobytes()
-        out: list[Chunk | None] = []
-        i = x = y = z = 0
-        for j, to_a, to_b, to in zip(last.tolist(), cut_a[last].tolist(), cut_b[last].tolist(), link_ends[last - 1].tolist()):
-            out.append(Chunk(to_a - x, to_b - y, j - i, ";".join(texts[i:j]), packed[8 * z : 8 * to], None))
-            i, x, y, z = j, to_a, to_b, to
+        # a group's tokens of A and then those of B, each side with another sign at its end
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + np.repeat(cut_b[:-1], n_a)] = ids_a
+        names[np.arange(len(b)) + np.repeat(cut_a[1:], n_b)] = ids_b + 2 * len(self.a_names)
+        names[cut_a[1:] + cut_b[:-1] - 1] += len(self.a_names)
+        names[cut_a[1:] + cut_b[1:] - 1] += len(self.b_names)
+        groups = "".join(map(self.listed.__getitem__, names.tolist()))
+        to_a, to_b = cut_a[last], cut_b[last]
+        sign_ends = self.listed_sizes[names].cumsum()[to_a + to_b - 1]
+        ends = zip(parts, *[x.tolist() for x in (last, to_a, to_b, sign_ends, link_ends[last - 1])])
+        out: dict[str, Chunk] = {}
+        i = x = y = s = z = 0
+        for part, j, k, l, t, to in ends:
+            if part not in out:
+                out[part] = Chunk(k - x, l - y, j - i, groups[s : t - 1], packed[8 * z : 8 * to], None)
+            i, x, y, s, z = j, k, l, t, to
         for n in set(np.searchsorted(last, large, side="right").tolist()):
-            out[n] = None
+            out.pop(parts[n], None)
         return out
 
     def align(
@@ -294,9 +340,10 @@ def align_documents(
                 while to < len(texts) and size + len(texts[to]) <= ENCODE_CHARS:
                     size += len(texts[to])
                     to += 1
-                found = aligner.chunks([t for t in texts[at:to] if t])
-                for key, text in zip(keys[at:to], texts[at:to]):
-                    yield (row, key, *_document([found[c] for c in chunks_of(text)] if text else [None]))
+                cut = [chunks_of(t) if t else [] for t in texts[at:to]]
+                found = aligner.aligned(cut)
+                for key, chunks in zip(keys[at:to], cut):
+                    yield (row, key, *_document(list(map(found.__getitem__, chunks)) if chunks else [None]))
                     row += 1
                 at = to
 
@@ -309,13 +356,28 @@ def align_documents(
     return written(rows.mapInArrow(align, _ALIGNED), "aligned")
 
 
+def _joined(parts: list[Chunk | None]) -> Chunk | None:
+    """Alignment of a chunk from those of its parts, if all are known and none has a large group."""
+    if len(parts) == 1:
+        return parts[0]
+    n_a = n_b = n_groups = 0
+    for part in parts:
+        if part is None or part[5] is not None:
+            return None
+        n_a += part[0]
+        n_b += part[1]
+        n_groups += part[2]
+    return Chunk(n_a, n_b, n_groups, ";".join([p[3] for p in parts]), b"".join([p[4] for p in parts]), None)
+
+
 def _document(chunks: list[Chunk | None]) -> tuple:
     if None in chunks:
         return 0, 0, 0, 0, "", [], []
-    counts = sum([c[0] for c in chunks]), sum([c[1] for c in chunks]), sum([c[2] for c in chunks])
-    digest = hashlib.sha256(";".join([c[3] for c in chunks]).encode()).hexdigest()
-    pairs = np.frombuffer(b"".join([c[4] for c in chunks]), np.int64)
-    if not any([c[5] for c in chunks]):
+    n_a, n_b, n_groups, groups, packed, often = zip(*chunks)
+    counts = sum(n_a), sum(n_b), sum(n_groups)
+    digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+    pairs = np.frombuffer(b"".join(packed), np.int64)
+    if not any(often):
         pairs, times = np.unique(pairs, return_counts=True)
     else:
         often = np.frombuffer(b"".join([c.times or np.ones(len(c.pairs) // 8, np.int64).tobytes() for c in chunks]), np.int64)

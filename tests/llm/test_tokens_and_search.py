@@ -255,6 +255,25 @@ def test_groups_are_the_same_however_little_is_encoded_at_once(texts, monkeypatc
     assert token_alignment.Aligner(TOKENIZER, MODEL).chunks(spaced) == want
 
 
+def test_words_and_signs_that_recur_are_not_encoded_again(monkeypatch):
+    aligner = token_alignment.Aligner(TOKENIZER, MODEL)
+    aligner.chunks([" Words, été!\nlines"])
+    want = token_alignment.Aligner(TOKENIZER, MODEL).chunks([" été, Words!\nlines, Words!"])
+    monkeypatch.setattr(aligner, "a", None)
+    assert aligner.chunks([" été, Words!\nlines, Words!"]) == want
+
+
+def test_parts_of_chunks_do_not_depend_on_what_stands_beside_them(texts):
+    aligner = token_alignment.Aligner(TOKENIZER, MODEL)
+    rng = random.Random(6)
+    signs = [*SIGNS, "I'll", "d'", "re", "'", "…", "²", "_", "(", "\r", ".\n"]
+    spaced = [" " + t for t in texts if t] + [" " + "".join(rng.choices(signs, k=40)) for _ in range(200)]
+    aligner.chunks(spaced)
+    found = aligner.chunks([" ".join(rng.sample(spaced, 2)) for _ in range(200)])
+    assert sum(len(aligner.parts(chunk)) > 1 for chunk in found) > 200
+    assert found == {chunk: aligner._align_one(chunk) for chunk in found}
+
+
 # --- ranked search -------------------------------------------------------------------------------
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
