@@ -7,8 +7,11 @@ last l - 1, two that link still have one in common, which puts them into one can
 A group's whole sets are stored in a trie; a set walks the trie with its overlap so far, which
 all sets below a node share, and leaves subtrees that the remaining lengths put out of reach.
 
-Sets that are equal are one. Groups too large for a task compare all members with blocks of pivots
-until only members known to be connected remain unchecked.
+Only those members are visited that the rarest shingles of the walking set leave possible.
+
+Sets that are equal are one. Members of larger groups are compared with some pivots first, and those that are
+then outside the group's largest connected part with all, in blocks; groups too large for a task deal
+these blocks out to many tasks.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ HOT_SAMPLE, HOT_SHARE, HOT_LEAST = 4000, 0.005, 20
 _HELD = 1 << 19
 # Members, and shingles of all of them, that one task compares with each other; pivots of a larger group.
 GROUP, GROUP_SHINGLES, PIVOTS = 20_000, 4_000_000, 256
+# Shingles of the sets that one tree holds, and of those that one task of a larger group compares with them.
+BLOCK_SHINGLES = 1_000_000
 # Ids of documents whose sets are needed; broadcast up to this number, else shuffled.
 BROADCAST_IDS = 500_000
 # Rank of a frequent shingle among a document's: after all that were counted.
@@ -81,20 +86,6 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 # --- sets and frequent shingles --------------------------------------------------------------------
 
 
-def _digests(texts: DataFrame) -> DataFrame:
-    """Size and key of every document's set."""
-    schema = pa.schema([("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_memory()
-        for batch in batches:
-            found = [(len(s), *set_key(s)) for s in shingle_sets(as_bytes(batch, "text"))]
-            arrays = [batch.column("doc_id"), *(pa.array(c, t.type) for c, t in zip(zip(*found), schema))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "a", "b"])
-
-    return texts.mapInArrow(digest, "doc_id long, n long, a long, b long")
-
-
 def frequent_shingles(texts: DataFrame) -> np.ndarray:
     """Shingles of at least ``HOT_SHARE`` of a bounded sample of documents, sorted.
 
@@ -129,8 +120,9 @@ def _wide(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
-    """``key`` (40 bits of a set's key), ``token``, ``seen`` for prefix shingles of several sets.
+def _sets_and_runs(texts: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Texts are hashed once: rows of ``doc_id``, size ``n`` and key (``a``, ``b``) of every document's set, and
+    rows of ``bucket`` and ``run`` with prefix shingles.
 
     Shingles and keys travel as 40 bits each (a shingle also by its bucket), packed and sorted:
     shortened numbers can only add candidates. Shingles of the frequent list are known to be shared
@@ -139,7 +131,14 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     spark = texts.sparkSession
     buckets = tasks(spark, 2)
     shared = spark.sparkContext.broadcast(hot)
+    digests = [("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]
     blobs = pa.schema([("bucket", pa.int64()), ("run", pa.binary())])
+    both = pa.schema([*digests, *blobs])
+
+    def filled(batch: pa.RecordBatch) -> pa.RecordBatch:
+        names = batch.schema.names
+        columns = [batch.column(f.name) if f.name in names else pa.nulls(len(batch), f.type) for f in both]
+        return pa.RecordBatch.from_arrays(columns, schema=both)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
@@ -162,8 +161,11 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
 
         size = 0
         for batch in batches:
+            digest: list[tuple] = []
             for s in shingle_sets(as_bytes(batch, "text")):
-                if len(s) == 0 or (which := set_key(s)) in seen:
+                which = set_key(s)
+                digest.append((len(s), *which))
+                if len(s) == 0 or which in seen:
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(which)
@@ -171,14 +173,25 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 held.append(p)
                 keys.append(np.full(len(p), which[0] & int(_LOW40), np.uint64))
                 size += len(p)
+            if digest:
+                arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*digest))]
+                yield filled(pa.RecordBatch.from_arrays(arrays, schema=pa.schema(digests)))
             if size >= _HELD:
-                yield from record_batches(runs(), blobs)
+                yield from map(filled, record_batches(runs(), blobs))
                 held, keys, size = [], [], 0
                 seen.clear()
         if size:
-            yield from record_batches(runs(), blobs)
+            yield from map(filled, record_batches(runs(), blobs))
+
+    return texts.mapInArrow(pack, "doc_id long, n long, a long, b long, bucket long, run binary")
+
+
+def _shared_prefixes(packed: DataFrame) -> DataFrame:
+    """``key`` (40 bits of a set's key), ``token``, ``seen`` for prefix shingles of several sets, from ``bucket``
+    and ``run``."""
 
     hits = pa.schema([("key", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())])
+
     def find(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         bucket = group[0].as_py()
@@ -207,7 +220,7 @@ def _shared_prefixes(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 [pa.array(key[part].view(np.int64)), pa.array(named[part]), pa.array(count[part])], schema=hits
             )
 
-    return texts.mapInArrow(pack, "bucket long, run binary").groupBy("bucket").applyInArrow(find, "key long, token long, seen long")
+    return packed.groupBy("bucket").applyInArrow(find, "key long, token long, seen long")
 
 
 def _cut(which: np.ndarray, token: np.ndarray, key: np.ndarray) -> Iterator[tuple]:
@@ -252,6 +265,7 @@ class Trie:
         self.depth: list[int] = []  # ranks down to and with the node
         self.roots: list[int] = []
         path: list[int] = []  # nodes from the root to the last set inserted
+        self.members = len(sets)
         last = np.zeros(0, np.uint32)
         for i in order:
             s = sets[i]
@@ -296,6 +310,11 @@ class Trie:
         starts = np.cumsum(sizes) - sizes
         spans, depth = np.array(self.spans, np.int64).reshape(-1, 2), np.array(self.depth, np.int64)
         self.flat = np.concatenate(self.runs).astype(np.int64)
+        self.parent = np.full(len(self.runs), -1, np.int64)
+        self.end = np.zeros(self.members, np.int64)
+        for node, (below, ends) in enumerate(zip(self.below, self.ends)):
+            self.parent[below] = node
+            self.end[ends] = node
         out, nodes = [], np.array(self.roots, np.int64)
         parents = np.zeros(len(nodes), np.int64)
         while len(nodes):
@@ -305,17 +324,31 @@ class Trie:
             nodes = np.array([c for b in below for c in b], np.int64)
         return out
 
-    def partners(self, present: np.ndarray, n: int) -> Iterator[int]:
-        """Members that link with a set of ``n`` shingles, given as a flag per rank.
+    def _towards(self, members: np.ndarray) -> np.ndarray:
+        """Flag per node: whether one of ``members`` ends there or below."""
+        flags = np.zeros(len(self.runs), bool)
+        at = np.unique(self.end[members])
+        while len(at):
+            flags[at] = True
+            at = np.unique(self.parent[at])
+            at = at[at >= 0]
+            at = at[~flags[at]]
+        return flags
+
+    def partners(self, present: np.ndarray, n: int, among: np.ndarray | None = None) -> Iterator[int]:
+        """Members that link with a set of ``n`` shingles, given as a flag per rank; where ``among`` is
+        given, at least those of its members that do.
 
         All nodes of a level are visited together; those out of reach are left with all below them.
         """
         if not hasattr(self, "levels"):
             self.levels = self._levels()
+        towards = None if among is None else self._towards(among)
         above = np.zeros(1, np.int64)
         for nodes, parents, starts, sizes, depth, low, high in self.levels:
             overlap = above[parents]
-            alive = np.flatnonzero((overlap >= 0) & _reachable(overlap, depth - sizes, n, low, high))
+            visited = (overlap >= 0) & _reachable(overlap, depth - sizes, n, low, high)
+            alive = np.flatnonzero(visited if towards is None else visited & towards[nodes])
             if len(alive) == 0:
                 return
             length = sizes[alive]
@@ -353,6 +386,35 @@ class _Ranks:
         return present
 
 
+class _Lists:
+    """Which of some sets, given by their ranks, have a rank."""
+
+    def __init__(self, sets: list[np.ndarray], kinds: int) -> None:
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        ranks = np.concatenate(sets).astype(np.int64)
+        self.members = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[np.argsort(ranks, kind="stable")]
+        self.often = np.bincount(ranks, minlength=kinds)
+        self.starts = np.cumsum(self.often) - self.often
+
+    def possible(self, ranks: np.ndarray, n: int) -> np.ndarray:
+        """Sets that can link with one of ``n`` shingles, of which these occur here: all that do, and few others.
+
+        A partner lacks at most ``len(ranks) - needed(n)`` of them, so it has one of the rarest. Those are
+        counted; the others are taken as shared.
+        """
+        counted = len(ranks) - needed(n) + 1
+        if counted < 1:
+            return np.zeros(0, np.int64)
+        often = self.often[ranks]
+        rare = np.argpartition(often, counted - 1)[:counted]
+        length = often[rare]
+        begins = np.cumsum(length) - length
+        at = np.repeat(self.starts[ranks[rare]] - begins, length) + np.arange(length.sum())
+        shared = np.bincount(self.members[at], minlength=len(self.sizes))
+        most = shared + len(ranks) - counted
+        return np.flatnonzero((shared > 0) & ((WHOLE + PART) * most >= PART * (n + self.sizes)))
+
+
 def _root(parent: dict[int, int], i: int) -> int:
     while parent.get(i, i) != i:
         parent[i] = parent.get(parent[i], parent[i])
@@ -368,11 +430,18 @@ def joined(sets: list[np.ndarray], pivots: list[np.ndarray] | None = None) -> li
     """
     held = sets if pivots is None else pivots
     ranks = _Ranks(held)
-    trie = Trie([ranks.of(s) for s in held])
+    own = [ranks.of(s) for s in held]
+    trie, lists = Trie(own), _Lists(own, len(ranks.kinds))
     links: list[tuple[int, int]] = []
     parent: dict[int, int] = {}
     for i, s in enumerate(sets):
-        found = list(trie.partners(ranks.flags(ranks.of(s)), len(s)))
+        known = own[i] if pivots is None else ranks.of(s)
+        possible = lists.possible(known, len(s))
+        if pivots is None:
+            possible = possible[possible < i]
+        if len(possible) == 0:
+            continue
+        found = list(trie.partners(ranks.flags(known), len(s), possible))
         if pivots is None:
             for j in found:
                 if j < i and _root(parent, i) != _root(parent, j):
@@ -397,33 +466,53 @@ def joined_group(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         return joined(sets)
     links: list[tuple[int, int]] = []
     parent: dict[int, int] = {}
-    open_members = list(range(len(sets)))
-    pivots = open_members[:: -(-len(sets) // PIVOTS)]
-    anchor = None
-    while pivots:
-        for i, j in joined(sets, [sets[p] for p in pivots]):
-            u, v = i if i >= 0 else pivots[-1 - i], pivots[j]
+
+    def compare(some: list[int], held: list[int]) -> None:
+        for i, j in joined([sets[m] for m in some], [sets[m] for m in held]):
+            u, v = some[i] if i >= 0 else held[-1 - i], held[j]
             if _root(parent, u) != _root(parent, v):
                 parent[_root(parent, u)] = _root(parent, v)
                 links.append((u, v))
-        if anchor is None:  # a member of the part that counts as settled from now on
-            labels = [_root(parent, i) for i in range(len(sets))]
-            kinds, often = np.unique(labels, return_counts=True)
-            anchor = int(kinds[often.argmax()])
-        done = set(pivots)
+
+    every = list(range(len(sets)))
+    pivots = every[:: -(-len(sets) // PIVOTS)]
+    compare(every, pivots)
+    labels = [_root(parent, i) for i in every]
+    kinds, often = np.unique(labels, return_counts=True)
+    anchor = int(kinds[often.argmax()])  # a member of the part that counts as settled from now on
+    done = set(pivots)
+    for block in _blocks(sets):
         main = _root(parent, anchor)
-        open_members = [i for i in open_members if i not in done and _root(parent, i) != main]
-        pivots = open_members[: 8 * PIVOTS]
+        open_members = [i for i in every if i not in done and _root(parent, i) != main]
+        if not open_members:
+            break
+        compare(open_members, block)
     return links
 
 
+def _blocks(sets: list[np.ndarray]) -> Iterator[list[int]]:
+    """Numbers of the sets, in runs of at most ``BLOCK_SHINGLES`` or one set."""
+    held: list[int] = []
+    size = 0
+    for i, s in enumerate(sets):
+        if held and size + len(s) > BLOCK_SHINGLES:
+            yield held
+            held, size = [], 0
+        held.append(i)
+        size += len(s)
+    if held:
+        yield held
+
+
 # --- groups ----------------------------------------------------------------------------------------
 
 
 def _group_sets(texts: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Whole sets of the candidate groups: ``root``, ``a``, ``b``, ``n``, ``shingles``."""
+    """Whole sets of the candidate groups: ``root``, ``a``, ``b``, ``n``, ``shingles``, and whether the group ``fits`` a task."""
     grouped = sets.join(groups, "key").select("root", "a", "b", "n", "doc_id")
     grouped = written(grouped, "candidates")
+    fits = (F.count("*") <= GROUP) & (F.sum("n") <= GROUP_SHINGLES)
+    counts = grouped.groupBy("root").agg(F.count("*").alias("size"), fits.alias("fits")).filter("size > 1").drop("size")
     ids = grouped.select(F.col("doc_id").alias("_id")).distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -444,7 +533,7 @@ def _group_sets(texts: DataFrame, sets: DataFrame, groups: DataFrame) -> DataFra
 
     # ids may be repeated with other texts: the key decides
     whole = chosen.mapInArrow(collect, "a long, b long, shingles binary").dropDuplicates(["a", "b"])
-    return written(grouped.drop("doc_id").join(whole, ["a", "b"]), "candidate-sets")
+    return written(grouped.drop("doc_id").join(counts, "root").join(whole, ["a", "b"]), "candidate-sets")
 
 
 _LINK = "ua long, ub long, va long, vb long"
@@ -463,29 +552,35 @@ def _small_links(members: DataFrame) -> DataFrame:
     return members.groupBy("root").applyInArrow(link, _LINK)
 
 
-def _pivot_links(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Every member against the pivots of its group, in tasks of bounded size."""
-    salts = members.groupBy("root").agg(F.ceil(F.count("*") / GROUP).alias("salts"))
-    salted = members.join(salts, "root").withColumn("salt", F.pmod(F.xxhash64("a", "b"), "salts")).drop("salts")
-    pieces = salts.select(F.col("root").alias("_root"), (F.col("salts") - 1).alias("last"))
-    copies = (
-        pivots.join(pieces, F.col("root") == F.col("_root"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))))
-        .drop("_root", "last")
-    )
+def _pieces(sets: DataFrame, number: str) -> DataFrame:
+    """``root`` and into how many pieces of bounded size a group's sets are dealt."""
+    most = F.greatest(F.count("*") / GROUP, F.sum("n") / BLOCK_SHINGLES)
+    return sets.groupBy("root").agg(F.ceil(most).alias(number))
+
+
+def _block_links(sets: DataFrame, held: DataFrame) -> DataFrame:
+    """Every set against the held ones of its group, piece by piece in tasks of bounded size."""
+    numbers = _pieces(sets, "rows").join(_pieces(held, "columns"), "root")
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        piece = F.pmod(F.xxhash64("a", "b"), own).alias(f"{own}_at")
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"{other}_at")
+        return side.join(numbers, "root").select("root", "a", "b", "shingles", piece, copies)
 
     def link(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows, held = left.to_pylist(), right.to_pylist()
+        rows, others = left.to_pylist(), right.to_pylist()
         found: list[tuple] = []
-        if rows and held:
-            sets = [np.frombuffer(r["shingles"], "<u8") for r in rows]
-            for i, j in joined(sets, [np.frombuffer(r["shingles"], "<u8") for r in held]):
-                u = rows[i] if i >= 0 else held[-1 - i]
-                found.append((u["a"], u["b"], held[j]["a"], held[j]["b"]))
+        if rows and others:
+            wanted = [np.frombuffer(r["shingles"], "<u8") for r in rows]
+            for i, j in joined(wanted, [np.frombuffer(r["shingles"], "<u8") for r in others]):
+                u = rows[i] if i >= 0 else others[-1 - i]
+                found.append((u["a"], u["b"], others[j]["a"], others[j]["b"]))
         columns = zip(*found) if found else [[]] * 4
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_LINKS)
 
-    return salted.groupBy("root", "salt").cogroup(copies.groupBy("root", "salt")).applyInArrow(link, _LINK)
+    by = ["root", "rows_at", "columns_at"]
+    left, right = dealt(sets, "rows", "columns"), dealt(held, "columns", "rows")
+    return left.groupBy(by).cogroup(right.groupBy(by)).applyInArrow(link, _LINK)
 
 
 def _node(a: str, b: str):
@@ -493,39 +588,28 @@ def _node(a: str, b: str):
 
 
 def _large_links(members: DataFrame) -> DataFrame | None:
-    """Links of groups beyond ``GROUP`` members.
+    """Links of groups beyond ``GROUP`` members, by a number of jobs that does not follow their sizes.
 
-    Members connected to one another need no comparison. Pivots are compared with the whole group; what is
-    outside the group's largest connected part afterwards serves as pivots of the next rounds.
+    Members connected to one another need no comparison. Pivots are compared with the whole group, and what
+    is outside the group's largest connected part afterwards is too, in blocks of both sides.
     """
-    links: DataFrame | None = None
     left = written(members, "large-groups")
-    open_members = left
-    # a node of each group's main part, fixed in the first round: members that were settled against that
-    # part stay settled as it grows
-    anchors: DataFrame | None = None
-    while not open_members.isEmpty():
-        rank = F.row_number().over(_by_hash())
-        pivots = written(open_members.withColumn("_r", rank).filter(F.col("_r") <= PIVOTS).drop("_r"), "pivots")
-        new = _pivot_links(left.join(pivots.select("root").distinct(), "root", "left_semi"), pivots)
-        links = written(new if links is None else links.unionByName(new), "group-links")
-        parts = written(
-            components(links.select(_node("ua", "ub").alias("u"), _node("va", "vb").alias("v"))), "group-parts"
-        )
-        labelled = left.select("root", "a", "b", _node("a", "b").alias("node")).join(
-            parts.withColumnRenamed("root", "part"), "node", "left"
-        )
-        if anchors is None:
-            counts = labelled.filter("part is not null").groupBy("root", "part").agg(F.count("*").alias("n"))
-            largest = counts.groupBy("root").agg(F.max(F.struct("n", "part"))["part"].alias("node"))
-            anchors = written(largest, "group-anchors")
-        main = anchors.join(parts.select("node", F.col("root").alias("main")), "node").select("root", "main")
-        settled = labelled.join(main, "root").filter("part = main").select("a", "b")
-        open_members = written(
-            open_members.join(pivots.select("a", "b"), ["a", "b"], "left_anti").join(settled, ["a", "b"], "left_anti"),
-            "open-members",
-        )
-    return links
+    if left.isEmpty():
+        return None
+    rank = F.row_number().over(_by_hash())
+    pivots = written(left.withColumn("_r", rank).filter(F.col("_r") <= PIVOTS).drop("_r"), "pivots")
+    links = written(_block_links(left, pivots), "group-links")
+    parts = written(
+        components(links.select(_node("ua", "ub").alias("u"), _node("va", "vb").alias("v"))), "group-parts"
+    )
+    labelled = left.select("root", "a", "b", _node("a", "b").alias("node")).join(
+        parts.withColumnRenamed("root", "part"), "node"
+    )
+    counts = labelled.groupBy("root", "part").agg(F.count("*").alias("size"))
+    largest = counts.groupBy("root").agg(F.max(F.struct("size", "part"))["part"].alias("part"))
+    settled = labelled.join(largest, ["root", "part"]).select("a", "b").unionByName(pivots.select("a", "b"))
+    open_members = written(left.join(settled, ["a", "b"], "left_anti"), "open-members")
+    return links.unionByName(written(_block_links(open_members, left), "open-links"))
 
 
 def _by_hash() -> WindowSpec:
@@ -542,19 +626,17 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Other columns are ignored.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    digests = written(_digests(texts), "set-digests")
+    hashed = written(_sets_and_runs(texts, frequent_shingles(texts)), "sets-and-runs")
+    digests = hashed.filter("bucket is null").select("doc_id", "n", "a", "b")
     sets = written(
         digests.filter("n > 0").groupBy("a", "b").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))
         .withColumn("key", F.col("a").bitwiseAND(F.lit((1 << 40) - 1))), "sets",
     )
-    hits = _shared_prefixes(texts, frequent_shingles(texts))
+    hits = _shared_prefixes(hashed.filter("bucket is not null").select("bucket", "run"))
     groups = written(_candidate_groups(sets, hits), "candidate-groups")
     whole = _group_sets(texts, sets, groups)
-    fits = (F.count("*") <= GROUP) & (F.sum("n") <= GROUP_SHINGLES)
-    counts = whole.groupBy("root").agg(F.count("*").alias("size"), fits.alias("fits"))
-    sized = whole.join(counts, "root")
-    links = _small_links(sized.filter(F.col("fits") & (F.col("size") > 1)).drop("size", "fits"))
-    large = _large_links(sized.filter(~F.col("fits") & (F.col("size") > 1)).drop("size", "fits"))
+    links = _small_links(whole.filter("fits").drop("fits"))
+    large = _large_links(whole.filter("not fits").drop("fits"))
     links = links if large is None else links.unionByName(large)
     parts = components(links.select(_node("ua", "ub").alias("u"), _node("va", "vb").alias("v")))
     labelled = sets.join(parts, _node("a", "b") == F.col("node"), "left").select("a", "b", "doc_id", "root")

@@ -651,6 +651,53 @@ def test_large_groups_are_connected_alike(monkeypatch):
         assert parts(ngram_join.joined_group(sets)) == parts(ngram_join.joined(sets))
 
 
+def test_rounds_of_a_large_group_do_not_follow_its_size(spark, monkeypatch):
+    # unlike texts chained by a common passage are one group; only a bounded number of tables is written for it
+    monkeypatch.setattr(ngram_join, "GROUP", 20)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 500)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(40)])) for i in range(90)]
+    for i in range(60):  # near copies, some of them beyond the limit
+        words = rows[i % 6][1].split()
+        for at in rng.sample(range(len(words)), rng.randrange(4)):
+            words[at] = "other"
+        rows.append((100 + i, " ".join(words)))
+    counted = Counter()
+    plain = ngram_join.written
+
+    def counting(df, name):
+        counted[name] += 1
+        return plain(df, name)
+
+    monkeypatch.setattr(ngram_join, "written", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in ngram_join.similar_documents(docs).collect()) == components_by_force(rows)
+    assert counted["large-groups"] == counted["pivots"] == counted["open-links"] == 1
+
+
+def test_rarest_shingles_leave_every_partner_and_few_others():
+    rng = random.Random(13)
+    base = rng.sample(range(1000), 200)
+    sets = []
+    for i in range(300):
+        own = {*rng.sample(base, len(base) - rng.randint(0, 60)), *range(1000 + 60 * i, 1000 + 60 * i + rng.randint(0, 60))}
+        sets.append(np.array(sorted(own), np.uint64))
+    ranks = ngram_join._Ranks(sets)
+    own = [ranks.of(s) for s in sets]
+    trie, lists = ngram_join.Trie(own), ngram_join._Lists(own, len(ranks.kinds))
+    kept = linked = 0
+    for known, s in zip(own, sets):
+        possible = lists.possible(known, len(s))
+        near = set(trie.partners(ranks.flags(known), len(s)))
+        assert near <= set(possible.tolist())
+        assert set(trie.partners(ranks.flags(known), len(s), possible)) == near
+        kept, linked = kept + len(possible), linked + len(near)
+    assert 0 < linked < len(sets) ** 2 / 4
+    assert kept - linked < (len(sets) ** 2 - linked) / 4
+
+
 def test_prefixes_of_linked_sets_share_what_is_promised():
     rng = np.random.default_rng(3)
     hot = np.sort(rng.choice(400, 30, replace=False).astype(np.uint64))
