@@ -26,10 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe when an executor is lost."""
     folder = fresh_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

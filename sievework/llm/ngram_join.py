@@ -177,11 +177,11 @@ def _sets_and_runs(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in zip(*digest))]
                 yield filled(pa.RecordBatch.from_arrays(arrays, schema=pa.schema(digests)))
             if size >= _HELD:
-                yield from map(filled, record_batches(runs(), blobs))
+                yield from map(filled, record_batches(runs(), blobs, most_bytes=1 << 20))
                 held, keys, size = [], [], 0
                 seen.clear()
         if size:
-            yield from map(filled, record_batches(runs(), blobs))
+            yield from map(filled, record_batches(runs(), blobs, most_bytes=1 << 20))
 
     return texts.mapInArrow(pack, "doc_id long, n long, a long, b long, bucket long, run binary")
 
@@ -626,7 +626,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Other columns are ignored.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    hashed = written(_sets_and_runs(texts, frequent_shingles(texts)), "sets-and-runs")
+    # hashes do not shrink, and compressing such large values takes memory beside the heap
+    hashed = written(_sets_and_runs(texts, frequent_shingles(texts)), "sets-and-runs", compression="none")
     digests = hashed.filter("bucket is null").select("doc_id", "n", "a", "b")
     sets = written(
         digests.filter("n > 0").groupBy("a", "b").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"))

@@ -667,9 +667,9 @@ def test_rounds_of_a_large_group_do_not_follow_its_size(spark, monkeypatch):
     counted = Counter()
     plain = ngram_join.written
 
-    def counting(df, name):
+    def counting(df, name, **options):
         counted[name] += 1
-        return plain(df, name)
+        return plain(df, name, **options)
 
     monkeypatch.setattr(ngram_join, "written", counting)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
